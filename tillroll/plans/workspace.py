@@ -1,0 +1,40 @@
+"""Intermediate tables in the shared folder, so that a lost executor costs no recomputation."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="tillroll-")
+    raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+
+
+class Workspace:
+    """Writes a DataFrame once as Parquet and hands back a reader of it.
+
+    Unlike a cached or checkpointed plan, the stored table is columnar, so each later use reads
+    only the columns it needs, and it outlives the executors that wrote it.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        self.spark = spark
+        self.folder = f"{folder or shared_folder(spark)}/tillroll-{uuid.uuid4().hex}"
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
+    def store(self, frame: DataFrame, name: str) -> DataFrame:
+        frame.write.mode("errorifexists").parquet(self.path(name))
+        return self.read(name, frame)
+
+    def read(self, name: str, like: DataFrame) -> DataFrame:
+        return self.spark.read.schema(like.schema).parquet(self.path(name))

@@ -1,0 +1 @@
+"""Empty on purpose: the source system is batch only, so there is no stream to offer."""
