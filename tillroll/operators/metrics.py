@@ -79,7 +79,6 @@ def customer_facts(orders: DataFrame, spec: FactSpec) -> DataFrame:
         cancelled = (F.col("kind") == CANCEL) & before
         aggregates += [
             F.min(F.when(bought, ts)).alias(f"first_{tag}"),
-            F.min(F.when(bought, F.col("ts_utc"))).alias(f"first_utc_{tag}"),
             F.max(F.when(bought, ts)).alias(f"last_{tag}"),
             F.count(F.when(bought, F.lit(1))).alias(f"frequency_{tag}"),
             F.sum(F.when(bought, revenue)).cast(money.MONEY).alias(f"gross_{tag}"),
@@ -141,7 +140,7 @@ class At:
     def months_of_life(self) -> Column:
         """Months since the first purchase, at least 1."""
         ref_utc = clock.to_utc(clock.moment(self.ref))
-        seconds = clock.seconds_between(ref_utc, self._col("first_utc"))
+        seconds = clock.seconds_between(ref_utc, clock.to_utc(self._col("first")))
         months = money.ratio(seconds, F.lit(MONTH_SECONDS), 2, 12)
         return F.greatest(F.lit(1).cast("decimal(12,2)"), months)
 

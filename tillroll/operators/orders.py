@@ -18,9 +18,9 @@ def build_orders(lines: DataFrame) -> DataFrame:
         .groupBy("invoice")
         .agg(
             F.min("customer_id").alias("customer_id"),
-            F.min("kind").alias("kind"),
+            # Not min(kind): a string minimum would turn hash aggregation into sorting.
+            F.bool_or(F.col("kind") == CANCEL).alias("cancels"),
             F.min("ts_local").alias("ts_local"),
-            F.min("ts_utc").alias("ts_utc"),
             F.sum(F.when(product, F.col("value"))).alias("product_revenue"),
             F.sum(F.when(~product, F.col("value"))).alias("other_revenue"),
             F.sum(F.when(product, F.col("quantity"))).alias("units"),
@@ -30,9 +30,9 @@ def build_orders(lines: DataFrame) -> DataFrame:
     orders = rolled.select(
         "invoice",
         "customer_id",
-        "kind",
+        F.when(F.col("cancels"), F.lit(CANCEL)).otherwise(F.lit(SALE)).alias("kind"),
         "ts_local",
-        "ts_utc",
+        clock.to_utc(F.col("ts_local")).alias("ts_utc"),
         clock.month_of(F.col("ts_local")).alias("month"),
         money.total_or_zero(F.col("product_revenue")).alias("product_revenue"),
         money.total_or_zero(F.col("other_revenue")).alias("other_revenue"),

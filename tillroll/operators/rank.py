@@ -10,6 +10,7 @@ is run again gives the same blocks.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 from operator import or_
 
@@ -26,16 +27,18 @@ def _running(weight: str, keys: list[str], order: str) -> Column:
     return F.coalesce(F.sum(weight).over(frame), F.lit(0))
 
 
-def value_positions(values: DataFrame, keys: list[str], value: str = "v") -> DataFrame:
+def value_positions(
+    values: DataFrame, keys: list[str], value: str = "v", weight: Column | None = None
+) -> DataFrame:
     """Per key and distinct value (bigint, not null): `n` rows hold it, `before` rows hold a
-    smaller one, `total` rows in the key.
+    smaller one, `total` rows in the key. A row may stand for `weight` rows.
 
     rank = before + 1; percent_rank = before / (total - 1); cume_dist = (before + n) / total.
     """
     mid, top = F.shiftright(value, _BITS), F.shiftright(value, 2 * _BITS)
     distinct = (
         values.groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n"))
         .withColumns({"_mid": mid, "_top": top})
     )
     mids = distinct.groupBy(*keys, "_top", "_mid").agg(F.sum("n").alias("_n"))
@@ -117,3 +120,59 @@ def in_top(value: Column, identity: Column, limit: tuple[int, int] | None) -> Co
         return F.lit(False)
     v_limit, id_limit = limit
     return (value > v_limit) | ((value == v_limit) & (identity <= id_limit))
+
+
+def percentiles(
+    values: DataFrame, key: str, percents: tuple[int, ...], weight: Column | None = None
+) -> DataFrame:
+    """Exact continuous percentiles per key: columns p50, ... with two more decimals than v,
+    and the number of rows."""
+    positions = value_positions(values, [key], weight=weight)
+
+    def at(index: Column) -> Column:
+        holds = (F.col("before") <= index) & (index < F.col("before") + F.col("n"))
+        return F.max(F.when(holds, F.col("v")))
+
+    picked = []
+    for percent in percents:
+        steps = (F.col("total") - 1) * percent
+        low = F.call_function("div", steps, F.lit(100))
+        high = F.least(low + 1, F.col("total") - 1)
+        picked += [at(low).alias(f"low{percent}"), at(high).alias(f"high{percent}")]
+    rows = positions.groupBy(key, "total").agg(*picked)
+
+    def between(percent: int) -> Column:
+        low, high = (F.col(f"{side}{percent}").cast("decimal(24,0)") for side in ("low", "high"))
+        part = ((F.col("total") - 1) * percent % 100).cast("decimal(3,0)")
+        value = (low * 100 + (high - low) * part) * F.lit(Decimal("0.01"))
+        return value.cast("decimal(24,2)").alias(f"p{percent}")
+
+    return rows.select(key, F.col("total").alias("rows"), *[between(p) for p in percents])
+
+
+def top_share(values: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Sum of v over the first ceil(total * numerator / denominator) rows, largest first, and
+    over all rows. Ties need no order here: equal values add the same."""
+    flipped = values.select(F.lit(1).alias("key"), (-F.col("v")).alias("v"))
+    positions = value_positions(flipped, ["key"])
+    wanted = F.call_function(
+        "div", F.col("total") * numerator + (denominator - 1), F.lit(denominator)
+    )
+    taken = F.greatest(F.lit(0), F.least(F.col("n"), wanted - F.col("before")))
+    amount = (-F.col("v")).cast("decimal(27,0)")
+    return positions.agg(
+        F.sum(amount * taken).cast("decimal(38,0)").alias("top"),
+        F.sum(amount * F.col("n")).cast("decimal(38,0)").alias("everything"),
+    )
+
+
+def within_top_tenth(values: DataFrame) -> DataFrame:
+    """Sum of v over rows with cume_dist (largest first) <= 0.1, and over all rows."""
+    flipped = values.select(F.lit(1).alias("key"), (-F.col("v")).alias("v"))
+    positions = value_positions(flipped, ["key"])
+    inside = (F.col("before") + F.col("n")) * 10 <= F.col("total")
+    amount = (-F.col("v")).cast("decimal(27,0)") * F.col("n")
+    return positions.agg(
+        F.sum(F.when(inside, amount)).cast("decimal(38,0)").alias("top"),
+        F.sum(amount).cast("decimal(38,0)").alias("everything"),
+    )

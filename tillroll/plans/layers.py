@@ -86,7 +86,7 @@ class Layers:
     @cached_property
     def snapshot(self) -> DataFrame:
         """Customers at the end: metrics, scores, churn, last twelve months, expected value."""
-        return self._layer("customer", self._snapshot)
+        return self._layer("snapshot", self._snapshot)
 
     def _snapshot(self) -> DataFrame:
         params = self.params
@@ -128,8 +128,10 @@ class Layers:
 
     @cached_property
     def customer(self) -> DataFrame:
-        """The snapshot with the customer's country."""
-        return self.snapshot.join(self.customer_dim, "customer_id")
+        """The snapshot with the customer's country, under one stored table in a full run."""
+        return self._layer(
+            "customer", lambda: self.snapshot.join(self.customer_dim, "customer_id")
+        )
 
     @cached_property
     def churn_validation(self) -> DataFrame:
@@ -155,3 +157,6 @@ class Layers:
         return self._layer(
             "clv_validation", lambda: clv.clv_validation(self.clv_validation_customer)
         )
+
+    def table(self, name: str) -> DataFrame:
+        return getattr(self, name)

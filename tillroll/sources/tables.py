@@ -36,6 +36,18 @@ PARAMETERS = Parameters(
 )
 
 
+_LINE_COLUMNS = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+)
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -56,27 +68,46 @@ def codes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_lines(spark: SparkSession, folder: str, country: bool = True) -> DataFrame:
-    """All lines as text, with batch, file and row. Without `country` (NULL then) the supplier
-    and nation tables are not read, which only country reports need."""
+def _hundredths(rate: Column) -> Column:
+    """A rate with two decimals, held as a double, in whole hundredths."""
+    return (rate * 100 + F.lit(0.5)).cast("int")
+
+
+def _spread(scan: DataFrame) -> DataFrame:
+    """Rows dealt out evenly when the files give fewer splits than there are cores (one row
+    group cannot be split). A scan with enough splits, as of any large input, stays as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def raw_lines(spark: SparkSession, folder: str, lean: bool = False) -> DataFrame:
+    """All lines as text, with batch, file and row.
+
+    What depends on the order alone (date, customer, batches) is worked out per order, before
+    the join with its lines. `lean` leaves the line's place and the country NULL, for plans
+    that use neither: the supplier and nation tables are then not read.
+    """
     order_key = F.col("l_orderkey")
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
+    discount, tax = _hundredths(F.col("l_discount")), _hundredths(F.col("l_tax"))
     flag = F.col("l_returnflag")
-    cancels = (flag == "R") & (discount >= F.lit("0.08").cast("decimal(4,2)"))
-    adjusts = (
-        (flag == "A")
-        & (discount >= F.lit("0.10").cast("decimal(4,2)"))
-        & (tax >= F.lit("0.08").cast("decimal(4,2)"))
-    )
-    keeps_sign = (F.col("l_linenumber") == 7) & (tax >= F.lit("0.08").cast("decimal(4,2)"))
+    cancels = (flag == "R") & (discount >= 8)
+    adjusts = (flag == "A") & (discount >= 10) & (tax >= 8)
+    keeps_sign = (F.col("l_linenumber") == 7) & (tax >= 8)
     free = (flag == "N") & (tax == 0) & (discount == 0)
     prefix = F.when(cancels, F.lit("C")).when(adjusts, F.lit("A")).otherwise(F.lit(""))
     quantity = F.col("l_quantity").cast("int")
 
-    lines = _table(spark, folder, "lineitem").select(
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.row_index").alias("source_row"),
+    place = (
+        [F.lit(None).cast("string"), F.lit(None).cast("bigint")]
+        if lean
+        else [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    )
+    scan = _table(spark, folder, "lineitem").select(
+        place[0].alias("source_file"), place[1].alias("source_row"), *_LINE_COLUMNS
+    )
+    lines = _spread(scan).select(
+        "source_file",
+        "source_row",
         order_key,
         "l_partkey",
         "l_suppkey",
@@ -85,23 +116,39 @@ def raw_lines(spark: SparkSession, folder: str, country: bool = True) -> DataFra
             _padded(F.col("l_partkey"), 5),
             F.when(F.col("l_linenumber") == 1, F.lit(" ")).otherwise(F.lit("")),
         ).alias("stock_code"),
-        F.when(cancels & ~keeps_sign, -quantity).otherwise(quantity).alias("quantity"),
+        F.when(cancels & ~keeps_sign, -quantity).otherwise(quantity).cast("string").alias("quantity"),
         free.alias("free"),
     )
+    hours = (F.lit(6) + F.col("o_orderkey") % 15).cast("int")
     orders = _table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
-        F.when(
-            F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_custkey") + 10000
-        ).alias("customer_id"),
-        F.col("o_orderdate").alias("day"),
+        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_custkey") + 10000)
+        .cast("string")
+        .alias("customer_id"),
+        (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hours)).alias("at"),
+    )
+    in_older = F.col("at") < clock.moment(OLDER_UNTIL)
+    in_newer = F.col("at") >= clock.moment(NEWER_FROM)
+    sheets = (
+        F.when(in_older & in_newer, F.array(F.lit(OLDER), F.lit(NEWER)))
+        .when(in_older, F.array(F.lit(OLDER)))
+        .otherwise(F.array(F.lit(NEWER)))
+    )
+    orders = orders.select(
+        "l_orderkey",
+        "customer_id",
+        F.col("at").cast("string").alias("invoice_date"),
+        F.explode(sheets).alias("sheet"),
     )
     parts = _table(spark, folder, "part").select(
         F.col("p_partkey").alias("l_partkey"),
         F.col("p_name").alias("description"),
-        F.col("p_retailprice").cast(money.PRICE).alias("price"),
+        F.col("p_retailprice").cast(money.PRICE).cast("string").alias("price"),
     )
     joined = lines.join(orders, "l_orderkey").join(parts, "l_partkey", "left")
-    if country:
+    if lean:
+        joined = joined.withColumn("country", F.lit(None).cast("string"))
+    else:
         # 25 nations; suppliers grow with the data and get no hint.
         nations = _table(spark, folder, "nation").select(
             F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("country")
@@ -111,26 +158,17 @@ def raw_lines(spark: SparkSession, folder: str, country: bool = True) -> DataFra
         )
         homes = suppliers.join(F.broadcast(nations), "s_nationkey", "left").drop("s_nationkey")
         joined = joined.join(homes, "l_suppkey", "left")
-    else:
-        joined = joined.withColumn("country", F.lit(None).cast("string"))
 
-    hours = (F.lit(6) + F.col("l_orderkey") % 15).cast("int")
-    at = F.col("day") + F.make_dt_interval(F.lit(0), hours)
-    price = F.when(F.col("free"), F.lit(0).cast(money.PRICE)).otherwise(F.col("price"))
-    in_older, in_newer = at < clock.moment(OLDER_UNTIL), at >= clock.moment(NEWER_FROM)
-    sheets = F.array_compact(
-        F.array(F.when(in_older, F.lit(OLDER)), F.when(in_newer, F.lit(NEWER)))
-    )
     return joined.select(
-        F.explode(sheets).alias("sheet"),
+        "sheet",
         "source_file",
         "source_row",
         "invoice",
         "stock_code",
         "description",
-        F.col("quantity").cast("string").alias("quantity"),
-        at.cast("string").alias("invoice_date"),
-        price.cast("string").alias("unit_price"),
-        F.col("customer_id").cast("string").alias("customer_id"),
+        "quantity",
+        "invoice_date",
+        F.when(F.col("free"), F.lit("0.000")).otherwise(F.col("price")).alias("unit_price"),
+        "customer_id",
         "country",
     )
