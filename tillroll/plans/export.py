@@ -6,6 +6,8 @@ Refused unless the run's checks exist and all passed, and never with a customer'
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,10 +38,6 @@ def _plain(value: Column, dtype: T.DataType) -> Column:
     return value
 
 
-def plain(frame: DataFrame) -> DataFrame:
-    return frame.select(*[_plain(F.col(f.name), f.dataType).alias(f.name) for f in frame.schema])
-
-
 def check_exportable(quality: DataFrame) -> None:
     counts = quality.agg(F.count_if(~F.col("ok")).alias("failed"), F.count(F.lit(1)).alias("n"))
     row = counts.first()
@@ -47,6 +45,15 @@ def check_exportable(quality: DataFrame) -> None:
         raise ExportError(f"{row.failed} of {row.n} checks failed: nothing is exported")
 
 
+@dataclass(frozen=True)
+class Section:
+    """A small table, the order of its rows, and whether it is one object or a list."""
+
+    rows: DataFrame
+    order: tuple[Column, ...] = ()
+    single: bool = False
+
+
 def sections(
     *,
     raw: DataFrame,
@@ -59,48 +66,80 @@ def sections(
     clv_validation_customer: DataFrame,
     quality: DataFrame,
     params: Parameters,
-) -> dict[str, DataFrame]:
-    """The nine sections, each ordered for display. All are aggregates of bounded size."""
+) -> dict[str, Section]:
+    """The nine sections. All are aggregates whose size months, segments and cut-offs bound."""
     monthly = monthly_revenue(orders, params.end)
     model_order = F.array_position(F.array(*[F.lit(m) for m in MODELS]), F.col("model"))
+    newest_first = -F.unix_date("cutoff")
     return {
-        "summary": headline(monthly, customer, quality),
-        "cleaning": cleaning_report(raw, params.batches),
-        "monthly_revenue": monthly.select(
-            "month",
-            "partial_month",
-            "sale_with_customer",
-            "sale_without_customer",
-            "cancelled_product",
-            "active_customers",
-            "new_customers",
-        ).orderBy("month"),
-        "segments": segment_summary(customer).drop("mean_ticket").orderBy("segment_order"),
-        "churn": churn_validation.drop("window_months", "tp", "fp", "fn", "tn").orderBy(
-            F.desc("cutoff"), "days"
+        "summary": Section(headline(monthly, customer, quality), single=True),
+        "cleaning": Section(cleaning_report(raw, params.batches), single=True),
+        "monthly_revenue": Section(
+            monthly.select(
+                "month",
+                "partial_month",
+                "sale_with_customer",
+                "sale_without_customer",
+                "cancelled_product",
+                "active_customers",
+                "new_customers",
+            ),
+            (F.col("month"),),
+        ),
+        "segments": Section(
+            segment_summary(customer).drop("mean_ticket"), (F.col("segment_order"),)
+        ),
+        "churn": Section(
+            churn_validation.drop("window_months", "tp", "fp", "fn", "tn"),
+            (newest_first, F.col("days")),
+        ),
+        "churn_bands": Section(churn_band, (newest_first, F.col("ord"))),
+        "cohorts": Section(
+            settled(cohorts).select("cohort", "size", "months_since", "retention"),
+            (F.col("cohort"), F.col("months_since")),
+        ),
+        "clv_validation": Section(clv_validation, (model_order,)),
+        "clv_segments": Section(
+            clv_by_segment(clv_validation_customer), (F.col("segment_order"),)
         ),
-        "churn_bands": churn_band.orderBy(F.desc("cutoff"), "ord"),
-        "cohorts": settled(cohorts)
-        .select("cohort", "size", "months_since", "retention")
-        .orderBy("cohort", "months_since"),
-        "clv_validation": clv_validation.orderBy(model_order),
-        "clv_segments": clv_by_segment(clv_validation_customer).orderBy("segment_order"),
     }
 
 
-def refuse_individuals(parts: Mapping[str, DataFrame]) -> None:
-    named = [name for name, frame in parts.items() if "customer_id" in frame.columns]
+def refuse_individuals(parts: Mapping[str, Section]) -> None:
+    named = [name for name, part in parts.items() if "customer_id" in part.rows.columns]
     if named:
         raise ExportError(f"sections with single customers: {named}")
 
 
-def export(parts: Mapping[str, DataFrame], quality: DataFrame, path: str) -> None:
-    """Write one JSON line per section row: {"section": ..., "position": ..., "row": {...}}.
+def section_text(part: Section) -> DataFrame:
+    """One row: the section as JSON text, rows in display order."""
+    values = [_plain(F.col(f.name), f.dataType).alias(f.name) for f in part.rows.schema]
+    text = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
+    order = [column.alias(f"o{i}") for i, column in enumerate(part.order)]
+    rows = part.rows.select(F.struct(*order, text.alias("text")).alias("row"))
+    listed = F.transform(F.array_sort(F.collect_list("row")), lambda row: row.getField("text"))
+    joined = F.array_join(listed, ",")
+    wrapped = joined if part.single else F.concat(F.lit("["), joined, F.lit("]"))
+    return rows.agg(wrapped.alias("body"))
 
-    Sections are small by construction (months, segments, cut-offs, cohorts), so each is one
-    file; the rows never pass through the driver.
-    """
-    check_exportable(quality)
+
+def document(parts: Mapping[str, Section]) -> DataFrame:
+    """One row per section: its place, name and JSON body."""
     refuse_individuals(parts)
-    for name, frame in parts.items():
-        plain(frame).coalesce(1).write.option("ignoreNullFields", False).json(f"{path}/{name}")
+    bodies = [
+        section_text(part).select(
+            F.lit(place).alias("place"), F.lit(name).alias("section"), F.col("body").alias("json")
+        )
+        for place, (name, part) in enumerate(parts.items(), start=1)
+    ]
+    return reduce(DataFrame.unionByName, bodies)
+
+
+def export(parts: Mapping[str, Section], quality: DataFrame, path: str) -> None:
+    """Write the sections as one JSON document, a single line of text."""
+    check_exportable(quality)
+    entry = F.concat(F.lit('"'), F.col("section"), F.lit('":'), F.col("json"))
+    entries = F.array_sort(F.collect_list(F.struct("place", entry.alias("entry"))))
+    text = F.array_join(F.transform(entries, lambda item: item.getField("entry")), ",")
+    whole = document(parts).agg(F.concat(F.lit("{"), text, F.lit("}")).alias("value"))
+    whole.write.text(path)
