@@ -16,7 +16,8 @@ from tillroll.operators.rfm import rfm_at
 from tillroll.params import add_months
 from tillroll.plans import measures, publish, quality, report
 from tillroll.plans.export import document, sections
-from tillroll.plans.layers import Layers, all_needs, snapshot_needs
+from tillroll.plans.layers import Layers, snapshot_needs
+from tillroll.plans.workspace import Workspace
 from tillroll.sources import ingest, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,10 +53,13 @@ def _snapshot(spark: SparkSession, folder: str, keep: bool = False) -> DataFrame
     return layers.snapshot
 
 
-def _full(spark: SparkSession, folder: str, lean: bool = True) -> Layers:
-    """For queries over many tables: each layer read more than once is stored."""
-    keep = ("orders", "snapshot", "cohort_retention", "churn_validation", "churn_band")
-    return _layers(spark, folder, spec=all_needs(PARAMS), keep=keep, lean=lean)
+def _full(spark: SparkSession, folder: str) -> Layers:
+    """For queries over many tables: the raw lines and each layer read more than once are
+    stored, as a run does."""
+    workspace = Workspace(spark)
+    raw = workspace.store(tables.raw_lines(spark, folder), "raw")
+    keep = (*publish.TABLES, "snapshot")
+    return Layers(raw, tables.codes(spark, folder), PARAMS, keep=keep, workspace=workspace)
 
 
 # Lines
@@ -402,28 +406,28 @@ def _quality(layers: Layers) -> DataFrame:
         cohorts=layers.cohort_retention,
         churn_validation=layers.churn_validation,
         params=PARAMS,
+        overlap_from=layers.overlap_from,
     )
 
 
 def _checked(spark: SparkSession, folder: str) -> tuple[Layers, DataFrame]:
-    layers = _full(spark, folder, lean=False)
+    layers = _full(spark, folder)
     return layers, layers.workspace.store(_quality(layers), "quality")
 
 
 @query
 def dq_checks(spark, folder):
-    return _quality(_full(spark, folder, lean=False))
+    return _quality(_full(spark, folder))
 
 
 @query
 def checks_card(spark, folder):
-    return measures.checks_card(_quality(_full(spark, folder, lean=False)))
+    return measures.checks_card(_quality(_full(spark, folder)))
 
 
 @query
 def invariants(spark, folder):
-    keep = (*publish.TABLES, "snapshot")
-    layers = _layers(spark, folder, keep=keep, lean=False)
+    layers = _full(spark, folder)
     return quality.check_rules(
         lines=layers.clean_line,
         orders=layers.orders,

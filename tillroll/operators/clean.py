@@ -43,26 +43,31 @@ def is_overlap(batches: Batches, ts_local: Column, start: Column) -> Column:
     return (F.col("sheet") == batches.older) & (ts_local >= start)
 
 
-def kept_raw(raw: DataFrame, batches: Batches) -> DataFrame:
-    """Raw lines without the older batch's copy of the overlap. Repeats inside a batch stay."""
-    ts_local = F.col("invoice_date").cast("timestamp_ntz")
-    return raw.filter(~is_overlap(batches, ts_local, overlap_start(raw, batches)))
+def overlap_start_value(raw: DataFrame, batches: Batches) -> Column:
+    """The same as a literal, for plans that use it several times: one scan, one value."""
+    day = raw.sparkSession.range(1).select(
+        overlap_start(raw, batches).cast("string").alias("day")
+    )
+    return F.lit(day.first().day).cast("timestamp_ntz")
 
 
-def overlap_lines(raw: DataFrame, batches: Batches) -> DataFrame:
-    """The older batch's lines that the newer batch repeats."""
+def kept_raw(raw: DataFrame, batches: Batches, start: Column | None = None) -> DataFrame:
+    """Raw lines without the older batch's copy of the overlap. Repeats inside a batch stay."""
+    start = overlap_start(raw, batches) if start is None else start
     ts_local = F.col("invoice_date").cast("timestamp_ntz")
-    return raw.filter(is_overlap(batches, ts_local, overlap_start(raw, batches)))
+    return raw.filter(~is_overlap(batches, ts_local, start))
 
 
-def clean(raw: DataFrame, codes: DataFrame, batches: Batches) -> DataFrame:
+def clean(
+    raw: DataFrame, codes: DataFrame, batches: Batches, start: Column | None = None
+) -> DataFrame:
     """Typed lines without the overlap, with kind, value and the product flag.
 
-    `codes` lists the codes that are not goods. The join carries no broadcast hint: Spark
+    `start` is the overlap's first day when it is known already. `codes` lists the codes that are not goods. The join carries no broadcast hint: Spark
     broadcasts the list while it is small and shuffles when it is not.
     """
-    lines = typed(raw)
-    lines = lines.filter(~is_overlap(batches, F.col("ts_local"), overlap_start(raw, batches)))
+    start = overlap_start(raw, batches) if start is None else start
+    lines = typed(raw).filter(~is_overlap(batches, F.col("ts_local"), start))
     listed = codes.select(F.col("code").alias("stock_code"), F.lit(True).alias("listed")).distinct()
     value = (F.col("quantity") * F.col("unit_price")).cast(money.LINE_VALUE)
     return lines.join(listed, "stock_code", "left").select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -16,14 +16,16 @@ from tillroll.schemas import RAW_COLUMNS
 _STRETCH = 1_000_000
 
 
-def overlap_difference(raw: DataFrame, batches: Batches) -> DataFrame:
+def overlap_difference(
+    raw: DataFrame, batches: Batches, start: Column | None = None
+) -> DataFrame:
     """Lines of the overlap found in one batch only, as a count (0 = identical, copies counted).
 
     EXCEPT ALL in both directions as one grouped count: older lines add 1, newer ones take 1
     away, and what does not cancel out is different. Copies merge on the map side.
     """
     ts = F.col("invoice_date").cast("timestamp_ntz")
-    start = overlap_start(raw, batches)
+    start = overlap_start(raw, batches) if start is None else start
     older = is_overlap(batches, ts, start)
     until = raw.filter(older).agg(F.max(ts).alias("until")).scalar()
     newer = (F.col("sheet") == batches.newer) & (ts <= until)
@@ -37,10 +39,11 @@ def overlap_difference(raw: DataFrame, batches: Batches) -> DataFrame:
     return balance.agg(F.coalesce(F.sum(F.abs("balance")), F.lit(0)).alias("different_lines"))
 
 
-def cleaning_report(raw: DataFrame, batches: Batches) -> DataFrame:
+def cleaning_report(raw: DataFrame, batches: Batches, start: Column | None = None) -> DataFrame:
     """Raw lines, overlap removed, repeats kept and the sales value of those repeats."""
     ts = F.col("invoice_date").cast("timestamp_ntz")
-    older = is_overlap(batches, ts, overlap_start(raw, batches))
+    start = overlap_start(raw, batches) if start is None else start
+    older = is_overlap(batches, ts, start)
     quantity, price = F.col("quantity").cast("int"), F.col("unit_price").cast(money.PRICE)
     # The repeats of a line are its count minus one. Numbering them would put all copies of a
     # line into one task; counting merges them on the map side. Identical lines share their

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import money
 from tillroll.functions.predicates import churn_status
 from tillroll.operators import churn, clv, cohorts
-from tillroll.operators.clean import clean, customer_dim
+from tillroll.operators.clean import clean, customer_dim, overlap_start_value
 from tillroll.operators.metrics import FactSpec, customer_facts, net_column, span
 from tillroll.operators.orders import build_orders
 from tillroll.operators.rfm import Limits, score_limits
@@ -61,10 +61,20 @@ class Layers:
         frame = build()
         return self.workspace.store(frame, name) if name in self.keep else frame
 
+    @cached_property
+    def overlap_from(self) -> Column | None:
+        """First day of the overlap: found once when the lines are read for several layers, else
+        left to a subquery of the one plan that needs it."""
+        if "clean_line" in self.keep:
+            return overlap_start_value(self.raw, self.params.batches)
+        return None
+
     @cached_property
     def clean_line(self) -> DataFrame:
-        build = lambda: clean(self.raw, self.codes, self.params.batches)
-        return self._layer("clean_line", build)
+        return self._layer(
+            "clean_line",
+            lambda: clean(self.raw, self.codes, self.params.batches, self.overlap_from),
+        )
 
     @cached_property
     def customer_dim(self) -> DataFrame:

@@ -76,7 +76,7 @@ def _facts(frame: DataFrame, entries: list[tuple[str, str, Column]]) -> DataFram
     return totals.select(F.inline(F.array(*rows)))
 
 
-def _raw_checks(raw: DataFrame, params: Parameters) -> DataFrame:
+def _raw_checks(raw: DataFrame, params: Parameters, start: Column) -> DataFrame:
     formats, batches = params.formats, params.batches
     good = (
         matches(F.col("invoice"), formats.invoice)
@@ -86,7 +86,7 @@ def _raw_checks(raw: DataFrame, params: Parameters) -> DataFrame:
         & (F.col("customer_id").isNull() | matches(F.col("customer_id"), formats.customer_id))
     )
     ts = F.col("invoice_date").cast("timestamp_ntz")
-    copied = is_overlap(batches, ts, overlap_start(raw, batches))
+    copied = is_overlap(batches, ts, start)
     value = F.col("quantity").cast("decimal(12,0)") * F.col("unit_price").cast(money.PRICE)
     lines = raw.select(good.alias("good"), copied.alias("copied"), value.alias("value"))
     return _facts(
@@ -100,15 +100,25 @@ def _raw_checks(raw: DataFrame, params: Parameters) -> DataFrame:
     )
 
 
-def _clean_checks(lines: DataFrame, params: Parameters) -> DataFrame:
-    known = F.col("invoice").isin(*params.known_anomalies) if params.known_anomalies else F.lit(False)
+def _anomaly_checks(
+    lines: DataFrame, params: Parameters, known_anomalies: DataFrame | None
+) -> DataFrame:
+    """Anomalies on invoices that are not known for one, by parameter or by a list."""
+    odd = lines.filter(F.col("kind") == ANOMALY)
+    if params.known_anomalies:
+        odd = odd.filter(~F.col("invoice").isin(*params.known_anomalies))
+    if known_anomalies is not None:
+        odd = odd.join(known_anomalies.select("invoice"), "invoice", "left_anti")
+    return _facts(odd, [("clean_new_anomalies", OBTAINED, F.count(F.lit(1)))])
+
+
+def _clean_checks(lines: DataFrame) -> DataFrame:
     traded = F.col("kind").isin(SALE, CANCEL)
     return _facts(
         lines,
         [
             ("clean_lines", OBTAINED, F.count(F.lit(1))),
             ("clean_value_conserved", OBTAINED, _sum3(F.col("value"))),
-            ("clean_new_anomalies", OBTAINED, F.count_if((F.col("kind") == ANOMALY) & ~known)),
             ("clean_ambiguous_hour", OBTAINED, F.count_if(F.hour("ts_local") == 1)),
             ("orders_sum_to_clean", EXPECTED, _sum3(F.when(traded, F.col("value")))),
         ],
@@ -248,13 +258,16 @@ def check_quality(
     cohorts: DataFrame,
     churn_validation: DataFrame,
     params: Parameters,
+    known_anomalies: DataFrame | None = None,
+    overlap_from: Column | None = None,
 ) -> DataFrame:
     """check, layer, description, expected, obtained, ok: one row per check."""
+    start = overlap_start(raw, params.batches) if overlap_from is None else overlap_from
     load = _facts(
         last_load_lines(load_log), [("raw_lines_of_last_load", EXPECTED, F.max("rows"))]
     )
     overlap = _facts(
-        overlap_difference(raw, params.batches),
+        overlap_difference(raw, params.batches, start),
         [("overlap_identical", OBTAINED, F.max("different_lines"))],
     )
     validated = _facts(
@@ -265,8 +278,9 @@ def check_quality(
         _constants(raw),
         load,
         overlap,
-        _raw_checks(raw, params),
-        _clean_checks(lines, params),
+        _raw_checks(raw, params, start),
+        _clean_checks(lines),
+        _anomaly_checks(lines, params, known_anomalies),
         _code_checks(lines, params),
         _invoice_checks(lines),
         _order_checks(orders, customer),

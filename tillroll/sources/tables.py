@@ -36,20 +36,20 @@ PARAMETERS = Parameters(
 )
 
 
-_LINE_COLUMNS = (
-    "l_orderkey",
-    "l_partkey",
-    "l_suppkey",
-    "l_linenumber",
-    "l_quantity",
-    "l_discount",
-    "l_tax",
-    "l_returnflag",
-)
+# The columns used. Given here, so that opening a table starts no job to look at its files.
+_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_discount double, l_tax double, l_returnflag string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+}
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _padded(number: Column, width: int) -> Column:
@@ -73,11 +73,27 @@ def _hundredths(rate: Column) -> Column:
     return (rate * 100 + F.lit(0.5)).cast("int")
 
 
+def _cancels() -> Column:
+    return (F.col("l_returnflag") == "R") & (_hundredths(F.col("l_discount")) >= 8)
+
+
+def _keeps_sign() -> Column:
+    return (F.col("l_linenumber") == 7) & (_hundredths(F.col("l_tax")) >= 8)
+
+
+def known_anomalies(spark: SparkSession, folder: str) -> DataFrame:
+    """Invoices that the rules make anomalous on purpose: cancellations with a positive line."""
+    lines = _table(spark, folder, "lineitem").filter(_cancels() & _keeps_sign())
+    return lines.select(F.concat(F.lit("C"), _padded(F.col("l_orderkey"), 6)).alias("invoice"))
+
+
 def _spread(scan: DataFrame) -> DataFrame:
-    """Rows dealt out evenly when the files give fewer splits than there are cores (one row
+    """Rows dealt out by line when the files give fewer splits than there are cores (one row
     group cannot be split). A scan with enough splits, as of any large input, stays as it is."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 
 def raw_lines(spark: SparkSession, folder: str, lean: bool = False) -> DataFrame:
@@ -90,9 +106,9 @@ def raw_lines(spark: SparkSession, folder: str, lean: bool = False) -> DataFrame
     order_key = F.col("l_orderkey")
     discount, tax = _hundredths(F.col("l_discount")), _hundredths(F.col("l_tax"))
     flag = F.col("l_returnflag")
-    cancels = (flag == "R") & (discount >= 8)
+    cancels = _cancels()
     adjusts = (flag == "A") & (discount >= 10) & (tax >= 8)
-    keeps_sign = (F.col("l_linenumber") == 7) & (tax >= 8)
+    keeps_sign = _keeps_sign()
     free = (flag == "N") & (tax == 0) & (discount == 0)
     prefix = F.when(cancels, F.lit("C")).when(adjusts, F.lit("A")).otherwise(F.lit(""))
     quantity = F.col("l_quantity").cast("int")
@@ -103,7 +119,7 @@ def raw_lines(spark: SparkSession, folder: str, lean: bool = False) -> DataFrame
         else [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
     )
     scan = _table(spark, folder, "lineitem").select(
-        place[0].alias("source_file"), place[1].alias("source_row"), *_LINE_COLUMNS
+        place[0].alias("source_file"), place[1].alias("source_row"), "*"
     )
     lines = _spread(scan).select(
         "source_file",
