@@ -89,11 +89,11 @@ def file_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def check_digests(spark: SparkSession, expected: Mapping[str, str]) -> None:
     """Refuse the load when a file's digest is not the expected one. Only failures are fetched."""
-    wanted = F.create_map(
-        *[F.lit(part) for path, digest in expected.items() for part in (_name(path), digest)]
+    wanted = spark.createDataFrame(
+        [(_name(path), digest) for path, digest in expected.items()], "file string, wanted string"
     )
-    found = file_digests(spark, list(expected))
-    wrong = found.filter(~F.col("sha256").eqNullSafe(wanted[F.col("file")])).select("file")
+    found = file_digests(spark, list(expected)).join(wanted, "file", "left")
+    wrong = found.filter(~F.col("sha256").eqNullSafe(F.col("wanted"))).select("file")
     names = [row.file for row in wrong.take(20)]
     if names:
         raise LoadError(f"checksum mismatch: {names}")
