@@ -18,16 +18,20 @@ def customer_months(orders: DataFrame) -> DataFrame:
     window below is bounded by the calendar.
     """
     purchase = F.col("is_purchase")
-    revenue = F.col("product_revenue")
+    revenue = F.col("_revenue")
     counted = counts_as_revenue(F.col("kind"), purchase)
-    months = orders.groupBy("customer_id", "month").agg(
+    whole = {
+        "_revenue": money.thousandths(F.col("product_revenue")),
+        "_other": money.thousandths(F.col("other_revenue")),
+    }
+    months = orders.withColumns(whole).groupBy("customer_id", "month").agg(
         F.count_if(purchase).alias("purchases"),
         F.min(F.when(purchase, F.col("ts_local"))).alias("first_ts"),
-        F.sum(F.when(counted, revenue)).alias("net"),
-        F.sum(F.when(F.col("kind") == SALE, revenue)).alias("sold"),
-        F.sum(F.when(F.col("kind") == CANCEL, revenue)).alias("cancelled"),
-        F.sum(revenue).alias("product"),
-        F.sum("other_revenue").alias("other"),
+        money.from_thousandths(F.sum(F.when(counted, revenue))).alias("net"),
+        money.from_thousandths(F.sum(F.when(F.col("kind") == SALE, revenue))).alias("sold"),
+        money.from_thousandths(F.sum(F.when(F.col("kind") == CANCEL, revenue))).alias("cancelled"),
+        money.from_thousandths(F.sum(revenue)).alias("product"),
+        money.from_thousandths(F.sum("_other")).alias("other"),
     )
     bought = F.when(F.col("purchases") > 0, F.col("month"))
     per_customer = Window.partitionBy("customer_id")

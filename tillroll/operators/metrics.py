@@ -70,7 +70,7 @@ def net_column(window: Span) -> str:
 def customer_facts(orders: DataFrame, spec: FactSpec) -> DataFrame:
     ts = F.col("ts_local")
     purchase = F.col("is_purchase")
-    revenue = F.col("product_revenue")
+    revenue = F.col("_revenue")
     aggregates: list[Column] = []
     for ref in sorted(spec.refs):
         tag = _stamp(ref)
@@ -81,8 +81,8 @@ def customer_facts(orders: DataFrame, spec: FactSpec) -> DataFrame:
             F.min(F.when(bought, ts)).alias(f"first_{tag}"),
             F.max(F.when(bought, ts)).alias(f"last_{tag}"),
             F.count(F.when(bought, F.lit(1))).alias(f"frequency_{tag}"),
-            F.sum(F.when(bought, revenue)).cast(money.MONEY).alias(f"gross_{tag}"),
-            money.total_or_zero(F.sum(F.when(cancelled, -revenue))).alias(f"cancelled_{tag}"),
+            money.from_thousandths(F.sum(F.when(bought, revenue))).alias(f"gross_{tag}"),
+            _total(cancelled, -revenue).alias(f"cancelled_{tag}"),
             F.sum(F.when(bought, F.col("units"))).alias(f"units_{tag}"),
         ]
     for window in sorted(spec.returns):
@@ -92,10 +92,16 @@ def customer_facts(orders: DataFrame, spec: FactSpec) -> DataFrame:
         )
     for window in sorted(spec.nets):
         counted = counts_as_revenue(F.col("kind"), purchase) & clock.within(ts, *window)
-        total = money.total_or_zero(F.sum(F.when(counted, revenue)))
-        aggregates.append(total.alias(net_column(window)))
+        aggregates.append(_total(counted, revenue).alias(net_column(window)))
     known = F.col("customer_id").isNotNull() & (ts < clock.moment(spec.latest()))
-    return orders.filter(known).groupBy("customer_id").agg(*aggregates)
+    seen = orders.filter(known).withColumn(
+        "_revenue", money.thousandths(F.col("product_revenue"))
+    )
+    return seen.groupBy("customer_id").agg(*aggregates)
+
+
+def _total(condition: Column, amount: Column) -> Column:
+    return money.from_thousandths(F.sum(F.when(condition, amount).otherwise(F.lit(0))))
 
 
 @dataclass(frozen=True)

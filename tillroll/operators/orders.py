@@ -13,6 +13,9 @@ def build_orders(lines: DataFrame) -> DataFrame:
     """Roll lines up to invoices. Every aggregate merges on the map side, so an invoice with
     very many lines costs one row per task in the shuffle."""
     product = F.col("is_product")
+    # quantity x price in whole thousandths, equal to the line's value.
+    price = (F.col("unit_price") * F.lit(1000)).cast("bigint")
+    worth = F.col("quantity").cast("bigint") * price
     rolled = (
         lines.filter(F.col("kind").isin(SALE, CANCEL))
         .groupBy("invoice")
@@ -21,8 +24,8 @@ def build_orders(lines: DataFrame) -> DataFrame:
             # Not min(kind): a string minimum would turn hash aggregation into sorting.
             F.bool_or(F.col("kind") == CANCEL).alias("cancels"),
             F.min("ts_local").alias("ts_local"),
-            F.sum(F.when(product, F.col("value"))).alias("product_revenue"),
-            F.sum(F.when(~product, F.col("value"))).alias("other_revenue"),
+            F.sum(F.when(product, worth).otherwise(F.lit(0))).alias("product_revenue"),
+            F.sum(F.when(product, F.lit(0)).otherwise(worth)).alias("other_revenue"),
             F.sum(F.when(product, F.col("quantity"))).alias("units"),
             F.count(F.lit(1)).alias("lines"),
         )
@@ -34,8 +37,8 @@ def build_orders(lines: DataFrame) -> DataFrame:
         "ts_local",
         clock.to_utc(F.col("ts_local")).alias("ts_utc"),
         clock.month_of(F.col("ts_local")).alias("month"),
-        money.total_or_zero(F.col("product_revenue")).alias("product_revenue"),
-        money.total_or_zero(F.col("other_revenue")).alias("other_revenue"),
+        money.from_thousandths(F.col("product_revenue")).alias("product_revenue"),
+        money.from_thousandths(F.col("other_revenue")).alias("other_revenue"),
         F.coalesce("units", F.lit(0)).cast("bigint").alias("units"),
         "lines",
     )
