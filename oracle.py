@@ -399,9 +399,10 @@ def _pick(percent: int) -> str:
     return f"(v[{low} + 1] * 100 + (v[{high} + 1] - v[{low} + 1]) * {part})"
 
 
-def clv_models() -> str:
+def compared(rows: str, label: str) -> str:
+    """Errors and capture per model over (model, customer_id, estimate, actual) rows."""
     return f"""
-    SELECT model, count(*) AS customers, {cents('sum(estimate)')} AS total_predicted,
+    SELECT model AS {label}, count(*) AS customers, {cents('sum(estimate)')} AS total_predicted,
       {cents('sum(actual)')} AS total_actual,
       {ratio('100 * (sum(estimate) - sum(actual))', 'sum(actual)', 2)} AS total_error_pct,
       {scaled(quotient('sum(abs(estimate - actual))', 'count(*)', 1), 2, 18)} AS mean_abs_error,
@@ -410,22 +411,25 @@ def clv_models() -> str:
     FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY estimate DESC, customer_id) AS pos_e,
             row_number() OVER (PARTITION BY model ORDER BY actual DESC, customer_id) AS pos_a,
             count(*) OVER (PARTITION BY model) AS n
-          FROM (SELECT 'predicted' AS model, customer_id, predicted AS estimate, actual FROM clv_cust
-                UNION ALL SELECT 'naive', customer_id, naive, actual FROM clv_cust
-                UNION ALL SELECT 'seasonal_naive', customer_id, seasonal_naive, actual FROM clv_cust))
+          FROM ({rows}))
     GROUP BY model"""
 
 
+def clv_models() -> str:
+    models = ("predicted", "naive", "seasonal_naive")
+    rows = " UNION ALL ".join(
+        f"SELECT '{m}' AS model, customer_id, {m} AS estimate, actual FROM clv_cust" for m in models
+    )
+    return compared(rows, "model")
+
+
 def sensitivity(priors: tuple[int, ...]) -> str:
-    parts = [
-        f"""SELECT {b} AS prior_months, {cents('sum(e.clv_c)')} AS total_predicted,
-          {cents('sum(c.actual)')} AS total_actual,
-          {ratio('100 * (sum(e.clv_c) - sum(c.actual))', 'sum(c.actual)', 2)} AS total_error_pct,
-          {scaled(quotient('sum(abs(e.clv_c - c.actual))', 'count(*)', 1), 2, 18)} AS mean_abs_error
+    rows = " UNION ALL ".join(
+        f"""SELECT {b} AS model, e.customer_id, e.clv_c AS estimate, c.actual
         FROM ({estimate('rfm_cut', 'cal_cut', b)}) e JOIN clv_cust c USING (customer_id)"""
         for b in priors
-    ]
-    return " UNION ALL ".join(parts)
+    )
+    return f"SELECT * EXCLUDE (customers) FROM ({compared(rows, 'prior_months')})"
 
 
 TOP10 = f"""(SELECT {ratio('sum(net_m) FILTER (WHERE cd <= 0.1)', 'sum(net_m)', 4, 8)}
@@ -748,5 +752,85 @@ SELECTS: dict[str, str] = {
 }
 
 
+def _count(table: str, rule: str, source: str, broken: str) -> str:
+    return f"""SELECT '{table}' AS "table", '{rule}' AS rule,
+      (SELECT count(*) FROM {source} WHERE {broken}) AS violations"""
+
+
+def _missing(table: str, source: str, columns: str) -> str:
+    nulls = " OR ".join(f"{c.strip()} IS NULL" for c in columns.split(","))
+    return _count(table, "required columns are filled", source, nulls)
+
+
+def _repeated(table: str, source: str, key: str) -> str:
+    return _count(
+        table, "key is unique", f"(SELECT 1 FROM {source} GROUP BY {key} HAVING count(*) > 1)", "TRUE"
+    )
+
+
+def invariants_sql() -> str:
+    known = "'sale', 'cancel', 'no_value', 'debt_adjust', 'anomaly'"
+    digit = "regexp_matches(invoice, '^[0-9]')"
+    clv_models_ = f"({clv_models()})"
+    rules = [
+        ("clean_line", "invoice format", "clean", "NOT regexp_full_match(invoice, '[CA]?[0-9]{6,}')"),
+        ("clean_line", "kind is known", "clean", f"kind NOT IN ({known})"),
+        ("clean_line", "code is trimmed and not empty", "clean",
+         "stock_code <> trim(stock_code) OR stock_code = ''"),
+        ("clean_line", "sale", "clean",
+         f"kind = 'sale' AND NOT ({digit} AND quantity > 0 AND unit_price > 0)"),
+        ("clean_line", "cancel", "clean",
+         "kind = 'cancel' AND NOT (invoice LIKE 'C%' AND quantity < 0 AND unit_price > 0)"),
+        ("clean_line", "no value", "clean", f"kind = 'no_value' AND NOT ({digit} AND unit_price = 0)"),
+        ("clean_line", "debt adjustment", "clean", "kind = 'debt_adjust' AND invoice NOT LIKE 'A%'"),
+        ("orders", "kind is sale or cancel", "ord", "kind NOT IN ('sale', 'cancel')"),
+        ("orders", "month is a first day", "ord", "day(month) <> 1"),
+        ("orders", "has lines", "ord", "lines <= 0"),
+        ("orders", "sale is not negative", "ord", "kind = 'sale' AND (product_m < 0 OR other_m < 0)"),
+        ("orders", "cancel is not positive", "ord",
+         "kind = 'cancel' AND (product_m > 0 OR other_m > 0)"),
+        ("customer", "recency is not negative", "cust", "recency < 0"),
+        ("customer", "has a purchase", "cust", "frequency < 1"),
+        ("customer", "gross is positive", "cust", "gross_m <= 0"),
+        ("customer", "cancelled is not negative", "cust", "cancelled_m < 0"),
+        ("customer", "net = gross - cancelled", "cust", "net_m <> gross_m - cancelled_m"),
+        ("customer", "last is not before first", "cust", "last_purchase < first_purchase"),
+        ("customer", "scores are 1 to 5", "cust",
+         "NOT (r BETWEEN 1 AND 5 AND f BETWEEN 1 AND 5 AND m BETWEEN 1 AND 5)"),
+        ("customer", "status is known", "cust", "churn_status NOT IN ('active', 'at_risk', 'inactive')"),
+        ("customer", "segment is known", "cust", "segment NOT IN (SELECT segment FROM seg)"),
+        ("churn_validation", "matrix adds up to customers", "churn_val", "tp + fp + fn + tn <> customers"),
+        ("churn_validation", "tp + fp = flagged", "churn_val", "tp + fp <> flagged"),
+        ("churn_validation", "tp + fn = not returned", "churn_val", "tp + fn <> not_returned"),
+        ("churn_band", "band has customers", "bands", "customers <= 0"),
+        ("churn_band", "not returned <= customers", "bands",
+         "not_returned < 0 OR not_returned > customers"),
+        ("churn_band", "rate is a share", "bands", "rate < 0 OR rate > 1"),
+        ("cohort_retention", "cohort is a first day", "cohorts", "day(cohort) <> 1"),
+        ("cohort_retention", "active <= size", "cohorts", "active > size"),
+        ("cohort_retention", "retention is a share", "cohorts", "retention4 < 0 OR retention4 > 10000"),
+        ("cohort_retention", "all are active in month 0", "cohorts", "months_since = 0 AND active <> size"),
+        ("clv_validation_customer", "prediction is not negative", "clv_cust", "predicted < 0"),
+        ("clv_validation", "model is known", clv_models_,
+         "model NOT IN ('predicted', 'naive', 'seasonal_naive')"),
+    ]
+    parts = [_count(*rule) for rule in rules]
+    parts += [
+        _missing("clean_line", "clean",
+                 "invoice, kind, stock_code, quantity, ts_local, unit_price, country"),
+        _missing("orders", "ord", "invoice, kind, ts_local, month"),
+        _missing("customer", "cust", "customer_id, segment, clv_c"),
+        _missing("clv_validation", clv_models_,
+                 "customers, total_predicted, total_actual, mean_abs_error"),
+        _repeated("clean_line", "clean", "sheet, source_row"),
+        _repeated("orders", "ord", "invoice"),
+        _repeated("customer", "cust", "customer_id"),
+    ]
+    return " UNION ALL ".join(parts)
+
+
+SELECTS["invariants"] = invariants_sql()
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: query(select) for name, select in SELECTS.items()}

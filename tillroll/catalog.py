@@ -371,7 +371,8 @@ def clv_by_segment(spark, folder):
 @query
 def clv_sensitivity(spark, folder):
     layers = _validation_layers(spark, folder)
-    return clv.clv_sensitivity(layers.facts, PARAMS, PRIORS, layers.limits)
+    estimates = clv.estimates_by_prior(layers.facts, PARAMS, PRIORS, layers.limits)
+    return clv.clv_sensitivity(layers.workspace.store(estimates, "estimates"), PRIORS)
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -171,13 +172,14 @@ def clv_validation_customer(
     )
 
 
-def clv_validation(customers: DataFrame) -> DataFrame:
-    """Per model: total error, mean absolute error, and the share of actual revenue that the
-    best-estimated fifth of customers brings, relative to the truly best fifth.
+def compare_models(customers: DataFrame, models: Sequence[str]) -> DataFrame:
+    """Per model (a column of estimates beside `actual`): total error, mean absolute error, and
+    the share of actual revenue that the best-estimated fifth of customers brings, relative to
+    the truly best fifth.
 
     `customers` is read three times, so pass a stored table.
     """
-    by = {**{model: model for model in MODELS}, "truth": "actual"}
+    by = {**{model: model for model in models}, "truth": "actual"}
     ordered = customers.select(
         F.inline(
             F.array(
@@ -204,7 +206,7 @@ def clv_validation(customers: DataFrame) -> DataFrame:
         F.sum("actual").alias("actual"),
         top("truth").alias("top_truth"),
     ]
-    for model in MODELS:
+    for model in models:
         columns += [
             F.sum(model).alias(f"sum_{model}"),
             F.sum(F.abs(F.col(model) - F.col("actual"))).alias(f"off_{model}"),
@@ -220,7 +222,7 @@ def clv_validation(customers: DataFrame) -> DataFrame:
             F.col(f"top_{model}").alias("top"),
             F.col("top_truth"),
         )
-        for model in MODELS
+        for model in models
     ]
     unfolded = customers.agg(*columns).select(F.inline(F.array(*rows)))
     predicted, actual = (F.col(f"total_{x}").cast(money.CENTS) for x in ("predicted", "actual"))
@@ -235,14 +237,23 @@ def clv_validation(customers: DataFrame) -> DataFrame:
     )
 
 
-def clv_sensitivity(
-    facts: DataFrame, params: Parameters, priors: tuple[int, ...], limits: Limits | None = None
+def clv_validation(customers: DataFrame) -> DataFrame:
+    """The estimate against the two naive models, over `clv_validation_customer` (stored)."""
+    return compare_models(customers, MODELS)
+
+
+def _prior_column(prior: int) -> str:
+    return f"prior_{prior}"
+
+
+def estimates_by_prior(
+    facts: DataFrame, params: Parameters, priors: Sequence[int], limits: Limits | None = None
 ) -> DataFrame:
-    """Total error at the cut-off for several prior weights, in one pass over the customers."""
+    """The estimate at the cut-off under several prior weights, side by side, and the truth."""
     months = params.clv_validation_months
-    actual_column = net_column(validation_windows(params)["actual"])
+    actual = net_column(validation_windows(params)["actual"])
     inputs = estimate_inputs(
-        facts, params.cutoff, months, params.wholesale_units, actual_column, limits=limits
+        facts, params.cutoff, months, params.wholesale_units, actual, limits=limits
     )
     rate, life = F.col("base_rate"), F.col("months_of_life")
 
@@ -250,34 +261,15 @@ def clv_sensitivity(
         per_month = purchases_per_month(F.col("frequency"), life, rate, prior)
         return expected_value(F.col("p_active"), F.col("avg_ticket"), per_month, months)
 
-    actual = F.round(F.col(actual_column), 2)
-    valued = inputs.select(
-        actual.cast(money.CENTS).alias("actual"),
-        *[value(prior).alias(f"b{prior}") for prior in priors],
-    )
-    totals = valued.agg(
-        F.sum("actual").alias("actual"),
-        *[F.sum(f"b{prior}").alias(f"b{prior}") for prior in priors],
-        *[F.sum(F.abs(F.col(f"b{prior}") - F.col("actual"))).alias(f"off{prior}") for prior in priors],
-        F.count(F.lit(1)).alias("customers"),
-    )
-    rows = [
-        F.struct(
-            F.lit(prior).alias("prior_months"),
-            F.col(f"b{prior}").alias("total_predicted"),
-            F.col("actual").alias("total_actual"),
-            F.col(f"off{prior}").alias("off"),
-            F.col("customers"),
-        )
-        for prior in priors
-    ]
-    predicted, actual_total = (
-        F.col(f"total_{x}").cast(money.CENTS) for x in ("predicted", "actual")
-    )
-    return totals.select(F.inline(F.array(*rows))).filter(F.col("customers") > 0).select(
-        "prior_months",
-        predicted.alias("total_predicted"),
-        actual_total.alias("total_actual"),
-        money.ratio((predicted - actual_total) * 100, actual_total, 2).alias("total_error_pct"),
-        money.ratio(F.col("off"), F.col("customers"), 2).alias("mean_abs_error"),
+    return inputs.select(
+        "customer_id",
+        F.round(actual, 2).cast(money.CENTS).alias("actual"),
+        *[value(prior).alias(_prior_column(prior)) for prior in priors],
     )
+
+
+def clv_sensitivity(estimates: DataFrame, priors: Sequence[int]) -> DataFrame:
+    """Errors and capture per prior weight, over `estimates_by_prior` (stored)."""
+    compared = compare_models(estimates, [_prior_column(prior) for prior in priors])
+    prior = F.regexp_extract("model", r"_(\d+)$", 1).cast("int")
+    return compared.withColumn("prior_months", prior).drop("model", "customers")
