@@ -17,7 +17,7 @@ from tillroll.params import add_months
 from tillroll.plans import measures, publish, quality, report
 from tillroll.plans.export import document, sections
 from tillroll.plans.layers import Layers, snapshot_needs
-from tillroll.plans.workspace import Workspace
+from tillroll.workspace import Workspace
 from tillroll.sources import ingest, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,16 +135,18 @@ def repeat_lines(spark, folder):
 
 @query
 def duplicate_profile(spark, folder):
-    layers = _layers(spark, folder, lean=False)
-    report_ = duplicates.cleaning_report(layers.raw, PARAMS.batches)
-    kept = cleaning.kept_raw(layers.raw, PARAMS.batches)
+    layers = _full(spark, folder)
+    start = layers.overlap_from
+    report_ = duplicates.cleaning_report(layers.raw, PARAMS.batches, start)
+    kept = cleaning.kept_raw(layers.raw, PARAMS.batches, start)
     pairs = duplicates.repeated_pairs(layers.clean_line)
+    pair_counts = pairs.select(F.struct("*")).scalar()
     return report_.select(
         "overlap_lines",
         "repeats_kept",
         duplicates.adjacent_repeats(kept).scalar().alias("adjacent_repeats"),
-        pairs.select("repeated_pairs").scalar().alias("repeated_pairs"),
-        pairs.select("pairs_with_other_quantity").scalar().alias("pairs_with_other_quantity"),
+        pair_counts.getField("repeated_pairs").alias("repeated_pairs"),
+        pair_counts.getField("pairs_with_other_quantity").alias("pairs_with_other_quantity"),
     )
 
 
@@ -156,8 +158,9 @@ def non_product_revenue(spark, folder):
 
 @query
 def order_medians(spark, folder):
-    layers = _layers(spark, folder, keep=("clean_line",))
-    return measurements.order_medians(layers.clean_line)
+    layers = _layers(spark, folder)
+    sold = layers.workspace.store(measurements.sold_products(layers.clean_line), "sold")
+    return measurements.order_medians(sold)
 
 
 # Orders and customers

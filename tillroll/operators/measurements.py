@@ -99,9 +99,17 @@ def units_quantiles(customers: DataFrame) -> DataFrame:
     )
 
 
-def order_medians(lines: DataFrame) -> DataFrame:
-    """The typical purchase: products and value (medians), and the typical unit price."""
+def sold_products(lines: DataFrame) -> DataFrame:
+    """The columns of product sales that `order_medians` reads."""
     sold = lines.filter((F.col("kind") == SALE) & F.col("is_product"))
+    return sold.select("invoice", "stock_code", "value", "unit_price")
+
+
+def order_medians(sold: DataFrame) -> DataFrame:
+    """The typical purchase: products and value (medians), and the typical unit price.
+
+    `sold` (see `sold_products`) is read twice, so pass a stored table.
+    """
     # Reduced to invoice and product first, so no task holds all lines of one invoice.
     pairs = sold.groupBy("invoice", "stock_code").agg(F.sum("value").alias("value"))
     invoices = pairs.groupBy("invoice").agg(

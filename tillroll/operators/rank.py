@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tillroll.workspace import Workspace
+
 _BITS = 21
 
 
@@ -34,11 +36,17 @@ def value_positions(
     smaller one, `total` rows in the key. A row may stand for `weight` rows.
 
     rank = before + 1; percent_rank = before / (total - 1); cume_dist = (before + n) / total.
+
+    The counts per value are stored, as three steps read them: what `values` is made of runs
+    once.
     """
     mid, top = F.shiftright(value, _BITS), F.shiftright(value, 2 * _BITS)
+    counts = values.groupBy(*keys, value).agg(
+        (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n")
+    )
     distinct = (
-        values.groupBy(*keys, value)
-        .agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n"))
+        Workspace(values.sparkSession)
+        .store(counts, "counts")
         .withColumns({"_mid": mid, "_top": top})
     )
     mids = distinct.groupBy(*keys, "_top", "_mid").agg(F.sum("n").alias("_n"))

@@ -16,7 +16,7 @@ from tillroll.operators.metrics import FactSpec, customer_facts, net_column, spa
 from tillroll.operators.orders import build_orders
 from tillroll.operators.rfm import Limits, score_limits
 from tillroll.params import Parameters, add_months
-from tillroll.plans.workspace import Workspace
+from tillroll.workspace import Workspace
 
 
 def year_before_end(params: Parameters):

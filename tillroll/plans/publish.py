@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tillroll.params import Parameters
 from tillroll.plans.layers import Layers
 from tillroll.plans.quality import check_quality
-from tillroll.plans.workspace import Workspace
+from tillroll.workspace import Workspace
 from tillroll.reference_data import parameter_table, segment_map, segments
 
 TABLES = (
