@@ -517,10 +517,12 @@ def _measure(label: str, value: str) -> str:
     return f"SELECT '{label}' AS measure, CAST(({value}) AS DECIMAL(30,4)) AS value"
 
 
+def _mean(column: str, table: str, where: str = "") -> str:
+    total = f"sum(CAST({column} * 10000 AS BIGINT))"
+    return f"SELECT {ratio(total, f'count({column}) * 10000', 4)} FROM {table} {where}"
+
+
 def measures_sql() -> str:
-    mean = lambda column, table, where="": (
-        f"SELECT {ratio(f'sum(CAST({column} * 10000 AS BIGINT))', f'count({column}) * 10000', 4)} FROM {table} {where}"
-    )
     rows = [
         _measure("product revenue", f"SELECT {money('sum(net_m)')} FROM months_"),
         _measure("sale with customer", f"SELECT {money('sum(with_m)')} FROM months_"),
@@ -545,13 +547,13 @@ def measures_sql() -> str:
             f"SELECT {money('sum(revenue_12m_m)')} FROM cust WHERE churn_status = 'at_risk'",
         ),
         _measure("clv 6 months", f"SELECT {cents('sum(clv_c)')} FROM cust"),
-        _measure("not returned", mean("rate", "bands")),
+        _measure("not returned", _mean("rate", "bands")),
         _measure(
             "precision of the rule",
-            mean('"precision"', "churn_full", f"WHERE chosen AND cutoff = DATE '{CUT}'"),
+            _mean('"precision"', "churn_full", f"WHERE chosen AND cutoff = DATE '{CUT}'"),
         ),
-        _measure("precision", mean('"precision"', "churn_full")),
-        _measure("recall", mean("recall", "churn_full")),
+        _measure("precision", _mean('"precision"', "churn_full")),
+        _measure("recall", _mean("recall", "churn_full")),
         _measure(
             "retention", f"SELECT {ratio('sum(active)', 'sum(size)', 4)} FROM cohorts WHERE {SETTLED}"
         ),

@@ -25,10 +25,6 @@ def to_utc(wall_clock: Column) -> Column:
     return F.convert_timezone(F.lit(LONDON), F.lit("UTC"), wall_clock)
 
 
-def to_london(utc: Column) -> Column:
-    return F.convert_timezone(F.lit("UTC"), F.lit(LONDON), utc)
-
-
 def start_of_day(wall_clock: Column) -> Column:
     return F.to_date(wall_clock).cast("timestamp_ntz")
 

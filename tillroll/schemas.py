@@ -31,7 +31,3 @@ SOURCE_TITLES = {
     "customer_id": "Customer ID",
     "country": "Country",
 }
-
-LOAD_LOG = "load_id string, file string, sha256 string, rows bigint, loaded_at timestamp"
-
-MANIFEST = "run_id string, published_at timestamp, tables array<string>"
