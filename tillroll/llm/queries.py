@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import exact, lines
+from tillroll.llm import bpe, decontaminate, exact, language, lines, secrets
 from tillroll.llm.common import read, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,54 @@ def op4_exact_dedup(spark, folder):
     return groups.select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
+
+
+@query()
+def op2_decontaminate(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.contaminated(docs, read(spark, folder, "benchmark"))
+    result = F.col("contamination")
+    return found.select(
+        "doc_id",
+        result["n_words"].alias("n_words"),
+        decontaminate.hit_words(result).alias("n_hit"),
+        F.size(result["items"]).cast("long").alias("n_items"),
+        sha256(F.array_join(result["items"], ",")).alias("items_sha256"),
+        (F.size(result["hits"]) > 0).alias("contaminated"),
+    )
+
+
+@query()
+def op7_secret_scan(spark, folder):
+    found = secrets.secrets(read(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("secrets")
+    return found.select(
+        "doc_id",
+        *[F.size(secrets.of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        sha256(secrets.as_text(secrets.of_kind(spans, "assign", "access", "hex"))).alias("base_sha256"),
+        secrets.as_text(spans).alias("spans"),
+        F.size(secrets.of_kind(spans, "novel")).cast("long").alias("n_novel"),
+    )
+
+
+@query()
+def op8_language_id(spark, folder):
+    docs = read(spark, folder, "documents")
+    model = language.train(docs)
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", language.in_fold(F.col("doc_id")).alias("held_out"), "language.*"
+    )
+
+
+@query()
+def op10_byte_bpe(spark, folder):
+    encoded = bpe.encode(read(spark, folder, "documents").select("doc_id", "text"))
+    decoded = bpe.decode(encoded.drop("text"))
+    ids = F.col("token_ids")
+    return decoded.select(
+        "doc_id",
+        F.size(ids).cast("long").alias("n_tokens"),
+        sha256(F.array_join(ids.cast("array<string>"), " ")).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
