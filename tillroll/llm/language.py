@@ -172,7 +172,7 @@ def fit(
             slope = np.exp(logits - logits.max())
             slope /= slope.sum()
             slope[number[language]] -= 1
-            embeddings[used] = own - (rate) * np.outer(share, weights @ slope)
+            embeddings[used] = own - rate * np.outer(share, weights @ slope)
             weights -= rate * np.outer(mean, slope)
             bias -= 0.01 * rate * slope
     scores = np.vstack([embeddings @ weights, np.zeros((1, len(languages)), np.float32)])
