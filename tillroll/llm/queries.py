@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, exact, language, lines, secrets
+from tillroll.llm import bpe, decontaminate, exact, language, lines, ngram_join, secrets
 from tillroll.llm.common import read, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,3 +123,9 @@ def op10_byte_bpe(spark, folder):
         sha256(F.array_join(ids.cast("array<string>"), " ")).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op9_ngram_join(spark, folder):
+    found = ngram_join.jaccard_classes(read(spark, folder, "documents"))
+    return found.drop("key")
