@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, exact, language, lines, ngram_join, secrets
+from tillroll.llm import bpe, decontaminate, exact, language, lines, ngram_join, secrets, suffix
 from tillroll.llm.common import read, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,3 +129,11 @@ def op10_byte_bpe(spark, folder):
 def op9_ngram_join(spark, folder):
     found = ngram_join.jaccard_classes(read(spark, folder, "documents"))
     return found.drop("key")
+
+
+@query()
+def op1_suffix_dedup(spark, folder):
+    found = suffix.dedup_substrings(read(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
