@@ -15,12 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.bloom import SLOTS, bit_words, probed
 from tillroll.llm.common import text_or_empty
 from tillroll.workspace import Workspace
 
-#: Bits of each of the two tables (a power of two).
-SLOTS = 1 << 25
-
 WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -32,41 +30,12 @@ def digests(docs: DataFrame) -> DataFrame:
     """Row number, doc_id and the digest of the normalised text."""
     digest = F.unhex(F.sha2(normalised(text_or_empty()).cast("binary"), 256))
     return docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), digest.alias("digest")
+        F.monotonically_increasing_id().alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        digest.alias("digest"),
     ).withColumn("hash", F.xxhash64("digest"))
 
 
-def _slots(slots: int) -> list[Column]:
-    low = F.col("hash").bitwiseAND(F.lit(slots - 1))
-    high = F.shiftrightunsigned("hash", 32).bitwiseAND(F.lit(slots - 1))
-    return [low, high + F.lit(slots)]
-
-
-def repeated_slots(hashes: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """The filter: words of 64 bits, a bit set where at least two rows fell."""
-    hit = (
-        hashes.select(F.explode(F.array(*_slots(slots))).alias("slot"))
-        .groupBy("slot")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .filter("rows > 1")
-    )
-    bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
-    return hit.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
-
-
-def probed(hashes: DataFrame, words: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """Adds `suspect`: whether both of a row's bits are set."""
-    for i, slot in enumerate(_slots(slots)):
-        own = F.broadcast(words.select(F.col("word").alias(f"word{i}"), F.col("bits").alias(f"bits{i}")))
-        hashes = hashes.withColumn(f"slot{i}", slot)
-        hashes = hashes.join(own, F.shiftright(f"slot{i}", 6) == F.col(f"word{i}"), "left")
-    set_ = [
-        F.expr(f"shiftrightunsigned(coalesce(bits{i}, 0L), cast(slot{i} & 63 as int)) & 1L") == 1
-        for i in range(2)
-    ]
-    return hashes.withColumn("suspect", set_[0] & set_[1])
-
-
 def exact_groups(docs: DataFrame, slots: int = SLOTS, workspace: Workspace | None = None) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, digest.
 
@@ -77,8 +46,8 @@ def exact_groups(docs: DataFrame, slots: int = SLOTS, workspace: Workspace | Non
     """
     workspace = workspace or Workspace(docs.sparkSession)
     hashed = workspace.store(digests(docs), "digests")
-    words = workspace.store(repeated_slots(hashed.select("hash"), slots), "filter")
-    marked = probed(hashed, words, slots).select("row", "doc_id", "digest", "suspect")
+    words = workspace.store(bit_words(hashed.select("hash"), 2, slots), "filter")
+    marked = probed(hashed, F.col("hash"), words, "suspect", slots).drop("hash")
     alone = marked.filter(~F.col("suspect")).select(
         "doc_id",
         F.col("doc_id").alias("keep_id"),
@@ -91,6 +60,9 @@ def exact_groups(docs: DataFrame, slots: int = SLOTS, workspace: Workspace | Non
     groups = suspects.groupBy("digest").agg(
         F.min(order).alias("stays"), F.count(F.lit(1)).alias("group_size")
     )
+    # Stored, so that both sides of the join are dealt out for it alone and Spark can split the
+    # rows of a group that a third of them belong to.
+    groups = workspace.store(groups, "groups")
     grouped = suspects.join(groups, "digest").select(
         "doc_id",
         F.col("stays.doc_id").alias("keep_id"),
