@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, exact, language, lines, ngram_join, secrets, suffix
+from tillroll.llm import bpe, decontaminate, exact, language, licenses, lines, ngram_join, secrets, sentences, suffix
 from tillroll.llm.common import read, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +137,38 @@ def op1_suffix_dedup(spark, folder):
     return found.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query()
+def op5_sentence_spans(spark, folder):
+    found = sentences.dedup_spans(read(spark, folder, "documents"))
+    ranges = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return found.select(
+        "doc_id",
+        "n_sentences",
+        "n_removed",
+        F.array_join(ranges, ",").alias("spans"),
+        sha256(F.col("kept")).alias("kept_sha256"),
+    )
+
+
+@query()
+def op6_license_scan(spark, folder):
+    found = licenses.licenses(read(spark, folder, "documents").select("doc_id", "text"))
+    own = F.col("licenses")
+    best = F.reduce(
+        own,
+        F.lit(0.0),
+        lambda most, x: F.greatest(most, x["coverage"]),
+    )
+    names = F.array_sort(F.array_distinct(F.transform(own, lambda x: x["license"])))
+    spans = F.transform(
+        own, lambda x: F.concat_ws(":", x["license"], x["first"], x["stop"])
+    )
+    return found.select(
+        "doc_id",
+        F.size(own).cast("long").alias("n_matches"),
+        F.array_join(names, ",").alias("licenses"),
+        best.alias("best_coverage"),
+        F.array_join(spans, ",").alias("spans"),
+    )
