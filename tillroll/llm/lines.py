@@ -72,8 +72,8 @@ def dedup_lines(
     Lines end at a line feed and compare trimmed; blank lines are never boilerplate. Of a
     boilerplate line the first place stays: the smallest doc_id (null last), then the first line.
     A null site counts as no site. A null text stays null and has one empty line. A document keeps
-    its row even if no line stays. Rows that repeat doc_id and text are treated alike. Other
-    columns pass through. Writes small tables to the shared folder when called.
+    its row even if no line stays. Rows that repeat doc_id and text are treated alike. Columns
+    named as the two new ones are replaced; all others pass through. Writes small tables to the shared folder when called.
     """
     workspace = workspace or Workspace(docs.sparkSession)
     found = occurrences(docs)
@@ -87,22 +87,23 @@ def dedup_lines(
         found.drop("site")
         .join(common.select(*_LINE, "first"), _LINE)
         .filter(~own)
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"))
-        .agg(F.sort_array(F.collect_set("pos")).alias("_gone"))
+        .groupBy(F.col("doc_id").alias("__lines_doc"), F.col("key").alias("__lines_of"))
+        .agg(F.sort_array(F.collect_set("pos")).alias("__lines_gone"))
     )
-    keyed = docs.withColumn("_text_key", text_key())
+    docs = docs.drop("dedup_lines", "dedup_removed")
+    keyed = docs.withColumn("__lines_key", text_key())
     joined = keyed.join(
         removed,
-        keyed["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (keyed["_text_key"] == F.col("_key")),
+        keyed["doc_id"].cast("long").eqNullSafe(F.col("__lines_doc")) & (keyed["__lines_key"] == F.col("__lines_of")),
         "left",
     )
     pieces = F.split("text", BREAK)
-    shorter = F.array_join(without_positions(pieces, F.col("_gone")), BREAK)
-    changed = F.col("_gone").isNotNull()
+    shorter = F.array_join(without_positions(pieces, F.col("__lines_gone")), BREAK)
+    changed = F.col("__lines_gone").isNotNull()
     out = {
         "text": F.when(changed, shorter).otherwise(F.col("text")),
         "dedup_lines": F.size(F.split(text_or_empty(), BREAK)).cast("long"),
-        "dedup_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
+        "dedup_removed": F.coalesce(F.size("__lines_gone"), F.lit(0)).cast("long"),
     }
     result = joined.withColumns(out)
     if "n_chars" in docs.columns:

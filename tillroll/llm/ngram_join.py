@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.bloom import bit_words, probed
 from tillroll.llm.common import mixed, text_key, text_or_empty, words
 from tillroll.llm.graph import components
 from tillroll.workspace import Workspace
@@ -299,3 +300,36 @@ def _compared(docs: DataFrame, members: DataFrame, n: int, threshold: float) ->
     return paired.groupBy("part", "low", "high").applyInPandas(
         lambda group: _verified(group, n, threshold), "id long, links long, tied long"
     )
+
+
+def one_of_each(
+    docs: DataFrame,
+    n: int = N,
+    threshold: float = THRESHOLD,
+    recall: float = RECALL,
+    workspace: Workspace | None = None,
+) -> DataFrame:
+    """The rows of docs that stay, one of each group of jaccard_classes, all columns.
+
+    Of rows that repeat doc_id and text one stays. Rows without a class mate or link are told by a
+    Bloom filter and are not shuffled.
+    """
+    workspace = workspace or Workspace(docs.sparkSession)
+    found = jaccard_classes(docs, n, threshold, recall, workspace)
+    shared = found.filter((F.col("class_size") > 1) | (F.col("n_links") > 0))
+    decided = shared.groupBy("doc_id", "key").agg(F.max("stays").alias("__stays"))
+    decided = workspace.store(decided, "decided")
+    words_ = bit_words(decided.select(F.xxhash64("doc_id", "key").alias("hash")))
+    words_ = workspace.store(words_, "decided_filter")
+    hash_ = F.xxhash64(F.col("doc_id").cast("long"), text_key())
+    marked = probed(docs, hash_, words_, "__near")
+    near = marked.filter("__near").withColumn("__key", text_key())
+    decided = decided.select(F.col("doc_id").alias("__doc"), F.col("key").alias("__of"), "__stays")
+    same = near["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__of"))
+    kept = (
+        near.join(decided, same, "left")
+        .filter(F.coalesce("__stays", F.lit(True)))
+        .dropDuplicates(["doc_id", "__key"])
+    )
+    alone = marked.filter(~F.col("__near"))
+    return alone.select(docs.columns).unionByName(kept.select(docs.columns))

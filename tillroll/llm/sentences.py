@@ -21,9 +21,9 @@ from tillroll.workspace import Workspace
 SENTENCES = 3
 WORDS = 20
 
-#: A sentence ends after closing marks before white space, or at a line feed; the white space
-#: that follows belongs to it.
-_END = re.compile(rb"(?:[.!?]+(?=\s)|\n)\s*")
+#: A sentence ends after closing marks (and quotes or other signs after them) before white space,
+#: or at a line feed; the white space that follows belongs to it.
+_END = re.compile(rb"(?:[.!?]+[^0-9A-Za-z\x80-\xff\s]*(?=\s)|\n)\s*")
 
 
 def sentence_ends(text: bytes) -> list[int]:
