@@ -34,7 +34,7 @@ REACH = 48
 #: Characters of surrounding text that prime the compressor.
 AROUND = 512
 #: Marginal compressed bytes for each byte of a candidate from which on it is reported.
-LEAST_NOVELTY = 0.6
+LEAST_NOVELTY = 0.75
 
 #: Identifiers that code around credentials uses.
 IDENTIFIERS = (
