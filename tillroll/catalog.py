@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,11 @@ from tillroll.operators.metrics import FactSpec, customer_metrics
 from tillroll.operators.rfm import rfm_at
 from tillroll.params import add_months
 from tillroll.plans import measures, publish, quality, report
-from tillroll.plans.export import document, sections
+from tillroll.plans.export import checked_document, sections
 from tillroll.plans.layers import Layers, snapshot_needs
-from tillroll.workspace import Workspace
+from tillroll.reference_data import segment_map, segments
 from tillroll.sources import ingest, tables
+from tillroll.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,10 +41,16 @@ def _layers(
     folder: str,
     spec: FactSpec | None = None,
     keep: tuple[str, ...] = (),
-    lean: bool = True,
 ) -> Layers:
-    raw = tables.raw_lines(spark, folder, lean=lean)
-    return Layers(raw, tables.codes(spark, folder), PARAMS, spec=spec, keep=keep)
+    start, _ = tables.overlap_days(spark, folder)
+    return Layers(
+        tables.raw_lines(spark, folder),
+        tables.codes(spark, folder),
+        PARAMS,
+        spec=spec,
+        keep=keep,
+        overlap_from=start,
+    )
 
 
 def _snapshot(spark: SparkSession, folder: str, keep: bool = False) -> DataFrame:
@@ -58,8 +66,15 @@ def _full(spark: SparkSession, folder: str) -> Layers:
     stored, as a run does."""
     workspace = Workspace(spark)
     raw = workspace.store(tables.raw_lines(spark, folder), "raw")
-    keep = (*publish.TABLES, "snapshot")
-    return Layers(raw, tables.codes(spark, folder), PARAMS, keep=keep, workspace=workspace)
+    start, _ = tables.overlap_days(spark, folder)
+    keep = (*publish.TABLES, "invoices", "snapshot")
+    return Layers(
+        raw, tables.codes(spark, folder), PARAMS, keep=keep, workspace=workspace, overlap_from=start
+    )
+
+
+def _digests(spark: SparkSession, folder: str) -> DataFrame:
+    return ingest.file_digests(spark, [f"{folder}/lineitem.parquet"])
 
 
 # Lines
@@ -67,14 +82,14 @@ def _full(spark: SparkSession, folder: str) -> Layers:
 
 @query
 def lines_per_sheet(spark, folder):
-    return ingest.lines_per_sheet(tables.raw_lines(spark, folder, lean=True))
+    return ingest.lines_per_sheet(tables.raw_lines(spark, folder))
 
 
 @query
 def overlap_removed(spark, folder):
-    raw = tables.raw_lines(spark, folder, lean=True)
+    raw = tables.raw_lines(spark, folder)
     ts = F.col("invoice_date").cast("timestamp_ntz")
-    start = cleaning.overlap_start(raw, PARAMS.batches)
+    start, _ = tables.overlap_days(spark, folder)
     copied = cleaning.is_overlap(PARAMS.batches, ts, start)
     return raw.agg(
         F.count_if(copied).alias("overlap_lines"), F.count_if(~copied).alias("kept_lines")
@@ -83,12 +98,14 @@ def overlap_removed(spark, folder):
 
 @query
 def overlap_identical(spark, folder):
-    return duplicates.overlap_difference(tables.raw_lines(spark, folder), PARAMS.batches)
+    start, until = days = tables.overlap_days(spark, folder)
+    raw = tables.raw_lines(spark, folder, days)
+    return duplicates.overlap_difference(raw, PARAMS.batches, start, until)
 
 
 @query
 def clean_line(spark, folder):
-    return _layers(spark, folder, lean=False).clean_line.drop("source_file", "source_row")
+    return _layers(spark, folder).clean_line.drop("source_file", "source_row")
 
 
 @query
@@ -106,31 +123,32 @@ def non_product_split(spark, folder):
 
 @query
 def customer_dim(spark, folder):
-    return _layers(spark, folder, lean=False).customer_dim
+    return _layers(spark, folder).customer_dim
 
 
 @query
 def country_counts(spark, folder):
-    return measurements.countries_per_customer(_layers(spark, folder, lean=False).customer_dim)
+    return measurements.countries_per_customer(_layers(spark, folder).customer_dim)
 
 
 @query
 def country_share(spark, folder):
-    return measurements.country_share(_layers(spark, folder, lean=False).customer_dim)
+    return measurements.country_share(_layers(spark, folder).customer_dim)
 
 
 @query
 def lineage(spark, folder):
-    layers = _layers(spark, folder, lean=False)
+    layers = _layers(spark, folder)
     columns = ("sheet", "source_row", "invoice", "stock_code", "quantity", "unit_price")
-    return cleaning.lineage(layers.raw, layers.clean_line).select(
-        *columns, "kind", "value", "is_product"
-    )
+    beside = cleaning.lineage(layers.raw, layers.codes, PARAMS.batches, layers.overlap_from)
+    return beside.select(*columns, "kind", "value", "is_product")
 
 
 @query
 def repeat_lines(spark, folder):
-    return duplicates.cleaning_report(tables.raw_lines(spark, folder), PARAMS.batches)
+    start, _ = tables.overlap_days(spark, folder)
+    raw = Workspace(spark).store(tables.raw_lines(spark, folder), "raw")
+    return duplicates.cleaning_report(raw, PARAMS.batches, start)
 
 
 @query
@@ -158,9 +176,7 @@ def non_product_revenue(spark, folder):
 
 @query
 def order_medians(spark, folder):
-    layers = _layers(spark, folder)
-    sold = layers.workspace.store(measurements.sold_products(layers.clean_line), "sold")
-    return measurements.order_medians(sold)
+    return measurements.order_medians(measurements.sold_products(_layers(spark, folder).clean_line))
 
 
 # Orders and customers
@@ -201,7 +217,7 @@ def rfm_scores(spark, folder):
 
 @query
 def customer_snapshot(spark, folder):
-    return _layers(spark, folder, spec=snapshot_needs(PARAMS), lean=False).customer
+    return _layers(spark, folder, spec=snapshot_needs(PARAMS)).customer
 
 
 @query
@@ -391,42 +407,40 @@ def clv_top20_share(spark, folder):
 # Checks, reports, export
 
 
-def _load_log(layers: Layers) -> DataFrame:
-    """A registry entry for the lines at hand, as the load would have written it."""
-    return layers.raw.agg(
-        F.lit("this load").alias("load_id"),
-        F.count(F.lit(1)).alias("rows"),
-        F.current_timestamp().alias("loaded_at"),
-    )
-
-
-def _quality(layers: Layers) -> DataFrame:
+def _quality(layers: Layers, folder: str, known_anomalies: bool = False) -> DataFrame:
+    """The checks; the load's entry counts the lines as they are read, not as they were stored."""
+    spark = layers.spark
+    lines = tables.raw_lines(spark, folder)
     return quality.check_quality(
         raw=layers.raw,
-        load_log=_load_log(layers),
+        load_log=ingest.load_entry(lines, _digests(spark, folder), "this load"),
         lines=layers.clean_line,
+        invoices=layers.invoices,
         orders=layers.orders,
         customer=layers.snapshot,
         cohorts=layers.cohort_retention,
         churn_validation=layers.churn_validation,
         params=PARAMS,
+        known_anomalies=tables.known_anomalies(spark, folder) if known_anomalies else None,
         overlap_from=layers.overlap_from,
     )
 
 
-def _checked(spark: SparkSession, folder: str) -> tuple[Layers, DataFrame]:
+def _checked(
+    spark: SparkSession, folder: str, known_anomalies: bool = False
+) -> tuple[Layers, DataFrame]:
     layers = _full(spark, folder)
-    return layers, layers.workspace.store(_quality(layers), "quality")
+    return layers, layers.workspace.store(_quality(layers, folder, known_anomalies), "quality")
 
 
 @query
 def dq_checks(spark, folder):
-    return _quality(_full(spark, folder))
+    return _quality(_full(spark, folder), folder)
 
 
 @query
 def checks_card(spark, folder):
-    return measures.checks_card(_quality(_full(spark, folder)))
+    return measures.checks_card(_quality(_full(spark, folder), folder))
 
 
 @query
@@ -469,10 +483,22 @@ def bi_measures(spark, folder):
     )
 
 
+@query
+def bi_measures_by_profile(spark, folder):
+    return measures.by_profile(_snapshot(spark, folder, keep=True), measures.customer_measures)
+
+
+@query
+def segment_shares_by_profile(spark, folder):
+    return measures.by_profile(_snapshot(spark, folder, keep=True), measures.segment_shares)
+
+
 @query
 def export_document(spark, folder):
-    layers, checked = _checked(spark, folder)
-    return document(
+    """Refused, with no rows, unless every check passes; the anomalies that the tables' rules
+    make on purpose are known ones."""
+    layers, checked = _checked(spark, folder, known_anomalies=True)
+    return checked_document(
         sections(
             raw=layers.raw,
             orders=layers.orders,
@@ -484,16 +510,48 @@ def export_document(spark, folder):
             clv_validation_customer=layers.clv_validation_customer,
             quality=checked,
             params=PARAMS,
-        )
+            overlap_from=layers.overlap_from,
+        ),
+        checked,
     )
 
 
 @query
 def load_log(spark, folder):
-    """Digest and line count of the line file, as a load would register them."""
-    digests = ingest.file_digests(spark, [f"{folder}/lineitem.parquet"])
-    return ingest.load_entry(tables.raw_lines(spark, folder), digests, "this load").drop(
-        "loaded_at"
+    """Line count of each file, as a load registers it; the digest as whether it is one."""
+    entry = ingest.load_entry(tables.raw_lines(spark, folder), _digests(spark, folder), "this load")
+    has_digest = F.col("sha256").rlike(r"\A[0-9a-f]{64}\z")
+    return entry.select("load_id", "name", "rows", has_digest.alias("has_digest"))
+
+
+@query
+def published_run(spark, folder):
+    """Load, build, check, publish, and the rows of each table that a reader then finds."""
+    root = f"{Workspace(spark).folder}/published"
+    raw = ingest.register(tables.raw_lines(spark, folder), _digests(spark, folder), root)
+    publish.process(
+        raw,
+        tables.codes(spark, folder),
+        ingest.load_log(spark, root),
+        PARAMS,
+        root,
+        tables.known_anomalies(spark, folder),
     )
+    run = publish.current(spark, root)
+    counts = [
+        run.table(name).agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"))
+        for name in (*publish.TABLES, *publish.REFERENCE_TABLES, "quality")
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def segment_map_rules(spark, folder):
+    """The map over the scores that customers have: every one has a segment, and a segment's
+    place never falls as a score rises."""
+    cells = segment_map(spark).join(segments(spark), "segment")
+    scored = _snapshot(spark, folder).groupBy("r", "f").agg(F.count(F.lit(1)).alias("customers"))
+    found = scored.join(F.broadcast(cells), ["r", "f"], "left")
+    return found.select("r", "f", "segment", "segment_order", "customers")
 
 

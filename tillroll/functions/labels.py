@@ -17,12 +17,15 @@ def month_label(day: Column) -> Column:
 
 
 def money_label(amount: Column) -> Column:
-    """£1,2 mi / £838 mil / £45"""
+    """£1,2 mi / £838 mil / £45. Ties go to the even digit, as format_number rounds."""
     value = amount.cast("double")
     size = F.abs(value)
-    millions = F.translate(F.format_string("£%.1f mi", value / 1_000_000), ".", ",")
+
+    def number(scaled: Column, places: int) -> Column:
+        return F.translate(F.format_number(scaled, places), ".,", ",")
+
     return (
-        F.when(size >= 1_000_000, millions)
-        .when(size >= 1_000, F.format_string("£%.0f mil", value / 1_000))
-        .otherwise(F.format_string("£%.0f", value))
+        F.when(size >= 1_000_000, F.concat(F.lit("£"), number(value / 1_000_000, 1), F.lit(" mi")))
+        .when(size >= 1_000, F.concat(F.lit("£"), number(value / 1_000, 0), F.lit(" mil")))
+        .otherwise(F.concat(F.lit("£"), number(value, 0)))
     )

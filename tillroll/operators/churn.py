@@ -123,18 +123,21 @@ def purchase_intervals(orders: DataFrame) -> DataFrame:
     """Days since the customer's previous purchase, one row per purchase.
 
     The window runs over the customer's distinct purchase days, which the calendar bounds, not
-    over the orders. One order of each day carries the gap (found again by its invoice, a
-    unique key); the day's other orders are 0 days apart.
+    over the orders. A day of n purchases gives one row with the gap and n - 1 rows that are 0
+    days apart.
     """
-    purchases = orders.filter(F.col("is_purchase") & F.col("customer_id").isNotNull()).select(
-        "invoice", "customer_id", F.to_date("ts_local").alias("day")
-    )
-    days = _day_gaps(purchases.groupBy("customer_id", "day").agg(F.min("invoice").alias("invoice")))
-    first = days.select("invoice", F.lit(True).alias("is_first"), "gap")
-    return purchases.join(first, "invoice", "left").select(
+    others = F.array_repeat(F.lit(0), (F.col("n") - 1).cast("int"))
+    return _day_gaps(_purchase_days(orders)).select(
         "customer_id",
         "day",
-        F.when(F.col("is_first"), F.col("gap")).otherwise(F.lit(0)).alias("days_since_previous"),
+        F.explode(F.concat(F.array("gap"), others)).alias("days_since_previous"),
+    )
+
+
+def _purchase_days(orders: DataFrame) -> DataFrame:
+    purchases = orders.filter(F.col("is_purchase") & F.col("customer_id").isNotNull())
+    return purchases.groupBy("customer_id", F.to_date("ts_local").alias("day")).agg(
+        F.count(F.lit(1)).alias("n")
     )
 
 
@@ -148,11 +151,7 @@ def interval_counts(orders: DataFrame) -> DataFrame:
 
     Same as counting `purchase_intervals`, but from customer-days alone.
     """
-    purchases = orders.filter(F.col("is_purchase") & F.col("customer_id").isNotNull())
-    days = purchases.groupBy("customer_id", F.to_date("ts_local").alias("day")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    gaps = _day_gaps(days).select(
+    gaps = _day_gaps(_purchase_days(orders)).select(
         F.inline(
             F.array(
                 F.struct(

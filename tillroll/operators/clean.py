@@ -40,7 +40,9 @@ def overlap_start(raw: DataFrame, batches: Batches) -> Column:
 
 
 def is_overlap(batches: Batches, ts_local: Column, start: Column) -> Column:
-    return (F.col("sheet") == batches.older) & (ts_local >= start)
+    """A line without a date is no copy: it stays, and the row rules find it."""
+    copied = (F.col("sheet") == batches.older) & (ts_local >= start)
+    return F.coalesce(copied, F.lit(False))
 
 
 def overlap_start_value(raw: DataFrame, batches: Batches) -> Column:
@@ -105,7 +107,16 @@ def customer_dim(lines: DataFrame) -> DataFrame:
     )
 
 
-def lineage(raw: DataFrame, lines: DataFrame) -> DataFrame:
-    """Raw text beside the clean line it became, joined on the line key."""
-    result = lines.select(*LINE_KEY, "kind", "value", "is_product")
-    return raw.join(result, list(LINE_KEY))
+def lineage(
+    raw: DataFrame, codes: DataFrame, batches: Batches, start: Column | None = None
+) -> DataFrame:
+    """Raw text beside what its clean line became, worked out in one pass over the text."""
+    quantity, price = F.col("quantity").cast("int"), F.col("unit_price").cast(money.PRICE)
+    listed = codes.select(F.col("code").alias("__code"), F.lit(True).alias("__listed")).distinct()
+    kept = kept_raw(raw, batches, start)
+    return kept.join(listed, F.trim("stock_code") == F.col("__code"), "left").select(
+        *raw.columns,
+        line_kind(F.col("invoice"), quantity, price).alias("kind"),
+        (quantity * price).cast(money.LINE_VALUE).alias("value"),
+        F.col("__listed").isNull().alias("is_product"),
+    )

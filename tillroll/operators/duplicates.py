@@ -15,9 +15,22 @@ from tillroll.schemas import RAW_COLUMNS
 # Rows per stretch when neighbouring rows are compared.
 _STRETCH = 1_000_000
 
+_LINE = ("sheet", *RAW_COLUMNS)
+
+
+def repeated_lines(raw: DataFrame) -> DataFrame:
+    """Lines whose batch may hold an equal one: those that share a 96-bit hash with another.
+
+    Only hashes are shuffled to find them; the few lines left are compared in full by callers.
+    """
+    hashes = {"__hash": F.xxhash64(*_LINE), "__check": F.hash(*_LINE)}
+    hashed = raw.withColumns(hashes)
+    shared = hashed.groupBy(*hashes).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return hashed.join(shared.drop("n"), list(hashes), "left_semi").drop(*hashes)
+
 
 def overlap_difference(
-    raw: DataFrame, batches: Batches, start: Column | None = None
+    raw: DataFrame, batches: Batches, start: Column | None = None, until: Column | None = None
 ) -> DataFrame:
     """Lines of the overlap found in one batch only, as a count (0 = identical, copies counted).
 
@@ -27,7 +40,8 @@ def overlap_difference(
     ts = F.col("invoice_date").cast("timestamp_ntz")
     start = overlap_start(raw, batches) if start is None else start
     older = is_overlap(batches, ts, start)
-    until = raw.filter(older).agg(F.max(ts).alias("until")).scalar()
+    if until is None:
+        until = raw.filter(older).agg(F.max(ts).alias("until")).scalar()
     newer = (F.col("sheet") == batches.newer) & (ts <= until)
     side = F.when(older, F.lit(1)).when(newer, F.lit(-1))
     balance = (
@@ -45,32 +59,36 @@ def cleaning_report(raw: DataFrame, batches: Batches, start: Column | None = Non
     start = overlap_start(raw, batches) if start is None else start
     older = is_overlap(batches, ts, start)
     quantity, price = F.col("quantity").cast("int"), F.col("unit_price").cast(money.PRICE)
+    totals = raw.agg(F.count(F.lit(1)).alias("lines"), F.count_if(older).alias("copied"))
+    totals = totals.select(F.struct("lines", "copied")).scalar()
     # The repeats of a line are its count minus one. Numbering them would put all copies of a
-    # line into one task; counting merges them on the map side. Identical lines share their
-    # date, so a group is in the overlap or not, and one pass serves all four figures.
-    groups = raw.groupBy("sheet", *RAW_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    # line into one task; counting merges them on the map side.
+    groups = repeated_lines(raw.filter(~older)).groupBy(*_LINE).agg(F.count(F.lit(1)).alias("n"))
     groups = groups.select(
-        "n",
-        older.alias("overlap"),
+        (F.col("n") - 1).alias("repeats"),
         line_kind(F.col("invoice"), quantity, price).alias("kind"),
         (quantity * price).cast(money.LINE_VALUE).alias("value"),
     )
-    repeats = F.when(~F.col("overlap"), F.col("n") - 1)
-    sold = F.when(~F.col("overlap") & (F.col("kind") == SALE), F.col("value") * (F.col("n") - 1))
+    sold = F.when(F.col("kind") == SALE, F.col("value") * F.col("repeats"))
     return groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("raw_lines"),
-        F.coalesce(F.sum(F.when(F.col("overlap"), F.col("n"))), F.lit(0)).alias("overlap_lines"),
-        F.coalesce(F.sum(repeats), F.lit(0)).alias("repeats_kept"),
+        F.coalesce(F.sum("repeats"), F.lit(0)).alias("repeats_kept"),
         money.total_or_zero(F.sum(sold)).alias("value_of_repeats"),
+    ).select(
+        totals.getField("lines").alias("raw_lines"),
+        totals.getField("copied").alias("overlap_lines"),
+        "repeats_kept",
+        "value_of_repeats",
     )
 
 
 def adjacent_repeats(kept: DataFrame) -> DataFrame:
     """Repeats that directly follow their copy in the source, as a count.
 
-    Neighbours are compared inside stretches of a million rows; a stretch's last row is also
-    the first of the next one, so no pair is missed and no task holds a whole file.
+    Only lines that have an equal one are looked at. Neighbours are compared inside stretches of
+    a million rows; a stretch's last row is also the first of the next one, so no pair is missed
+    and no task holds a whole file.
     """
+    kept = repeated_lines(kept)
     row = F.col("source_row")
     stretch = F.call_function("div", row, F.lit(_STRETCH))
     is_last = row % _STRETCH == _STRETCH - 1

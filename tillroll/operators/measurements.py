@@ -108,10 +108,13 @@ def sold_products(lines: DataFrame) -> DataFrame:
 def order_medians(sold: DataFrame) -> DataFrame:
     """The typical purchase: products and value (medians), and the typical unit price.
 
-    `sold` (see `sold_products`) is read twice, so pass a stored table.
+    Lines are reduced to invoice, product and price first, so no task holds all lines of one
+    invoice; both halves start from that one shuffle.
     """
-    # Reduced to invoice and product first, so no task holds all lines of one invoice.
-    pairs = sold.groupBy("invoice", "stock_code").agg(F.sum("value").alias("value"))
+    dealt = sold.groupBy("invoice", "stock_code", "unit_price").agg(
+        F.sum("value").alias("value"), F.count(F.lit(1)).alias("lines")
+    )
+    pairs = dealt.groupBy("invoice", "stock_code").agg(F.sum("value").alias("value"))
     invoices = pairs.groupBy("invoice").agg(
         F.count(F.lit(1)).alias("products"), F.sum("value").cast(money.MONEY).alias("value")
     )
@@ -122,11 +125,11 @@ def order_medians(sold: DataFrame) -> DataFrame:
                 F.struct(F.lit("value").alias("what"), money.thousandths(F.col("value")).alias("v")),
             )
         )
+    ).withColumn("lines", F.lit(1).cast("bigint"))
+    prices = dealt.select(
+        F.lit("unit_price").alias("what"), money.thousandths(F.col("unit_price")).alias("v"), "lines"
     )
-    prices = sold.select(
-        F.lit("unit_price").alias("what"), money.thousandths(F.col("unit_price")).alias("v")
-    )
-    spread = rank.percentiles(values.unionByName(prices), "what", (50,))
+    spread = rank.percentiles(values.unionByName(prices), "what", (50,), F.col("lines"))
     scaled = F.when(F.col("what") == "products", F.col("p50")).otherwise(F.col("p50") / 1000)
     return spread.select(
         "what", "rows", scaled.cast("decimal(24,5)").alias("median")

@@ -24,18 +24,31 @@ class ExportError(RuntimeError):
     """The run is not in a state to be exported."""
 
 
-def _plain(value: Column, dtype: T.DataType) -> Column:
-    """Decimals to numbers with at most four places, dates to ISO text, inside nested values too."""
+def _json(value: Column, dtype: T.DataType) -> Column:
+    """JSON text: decimals as numbers of at most four places without idle zeros, dates as ISO
+    text, nested values alike."""
     if isinstance(dtype, T.DecimalType):
-        return F.round(value.cast("double"), 4)
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.substring(value.cast("string"), 1, 10)
-    if isinstance(dtype, T.StructType):
-        fields = [_plain(value.getField(f.name), f.dataType).alias(f.name) for f in dtype]
-        return F.struct(*fields)
-    if isinstance(dtype, T.ArrayType):
-        return F.transform(value, lambda item: _plain(item, dtype.elementType))
-    return value
+        digits = F.round(value, 4).cast("string")
+        text = F.when(digits.contains("."), F.regexp_replace(digits, r"\.?0+$", "")).otherwise(digits)
+    elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        text = F.concat(F.lit('"'), F.substring(value.cast("string"), 1, 10), F.lit('"'))
+    elif isinstance(dtype, T.StructType):
+        fields = [(f.name, _json(value.getField(f.name), f.dataType)) for f in dtype]
+        text = _object(fields)
+    elif isinstance(dtype, T.ArrayType):
+        items = F.transform(value, lambda item: _json(item, dtype.elementType))
+        text = F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
+    elif isinstance(dtype, T.StringType):
+        listed = F.to_json(F.array(value))
+        text = F.substr(listed, F.lit(2), F.length(listed) - 2)
+    else:
+        text = value.cast("string")
+    return F.when(value.isNull(), F.lit("null")).otherwise(text)
+
+
+def _object(fields: list[tuple[str, Column]]) -> Column:
+    members = [F.concat(F.lit(f'"{name}":'), text) for name, text in fields]
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
 
 
 def check_exportable(quality: DataFrame) -> None:
@@ -66,6 +79,7 @@ def sections(
     clv_validation_customer: DataFrame,
     quality: DataFrame,
     params: Parameters,
+    overlap_from: Column | None = None,
 ) -> dict[str, Section]:
     """The nine sections. All are aggregates whose size months, segments and cut-offs bound."""
     monthly = monthly_revenue(orders, params.end)
@@ -73,7 +87,7 @@ def sections(
     newest_first = -F.unix_date("cutoff")
     return {
         "summary": Section(headline(monthly, customer, quality), single=True),
-        "cleaning": Section(cleaning_report(raw, params.batches), single=True),
+        "cleaning": Section(cleaning_report(raw, params.batches, overlap_from), single=True),
         "monthly_revenue": Section(
             monthly.select(
                 "month",
@@ -113,8 +127,7 @@ def refuse_individuals(parts: Mapping[str, Section]) -> None:
 
 def section_text(part: Section) -> DataFrame:
     """One row: the section as JSON text, rows in display order."""
-    values = [_plain(F.col(f.name), f.dataType).alias(f.name) for f in part.rows.schema]
-    text = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
+    text = _object([(f.name, _json(F.col(f.name), f.dataType)) for f in part.rows.schema])
     order = [column.alias(f"o{i}") for i, column in enumerate(part.order)]
     rows = part.rows.select(F.struct(*order, text.alias("text")).alias("row"))
     listed = F.transform(F.array_sort(F.collect_list("row")), lambda row: row.getField("text"))
@@ -135,11 +148,17 @@ def document(parts: Mapping[str, Section]) -> DataFrame:
     return reduce(DataFrame.unionByName, bodies)
 
 
+def checked_document(parts: Mapping[str, Section], quality: DataFrame) -> DataFrame:
+    """The document of a run whose checks exist and all passed; else an error and no rows."""
+    check_exportable(quality)
+    return document(parts)
+
+
 def export(parts: Mapping[str, Section], quality: DataFrame, path: str) -> None:
     """Write the sections as one JSON document, a single line of text."""
-    check_exportable(quality)
+    whole_document = checked_document(parts, quality)
     entry = F.concat(F.lit('"'), F.col("section"), F.lit('":'), F.col("json"))
     entries = F.array_sort(F.collect_list(F.struct("place", entry.alias("entry"))))
     text = F.array_join(F.transform(entries, lambda item: item.getField("entry")), ",")
-    whole = document(parts).agg(F.concat(F.lit("{"), text, F.lit("}")).alias("value"))
+    whole = whole_document.agg(F.concat(F.lit("{"), text, F.lit("}")).alias("value"))
     whole.write.text(path)

@@ -13,7 +13,7 @@ from tillroll.functions.predicates import churn_status
 from tillroll.operators import churn, clv, cohorts
 from tillroll.operators.clean import clean, customer_dim, overlap_start_value
 from tillroll.operators.metrics import FactSpec, customer_facts, net_column, span
-from tillroll.operators.orders import build_orders
+from tillroll.operators.orders import build_invoices, orders_of
 from tillroll.operators.rfm import Limits, score_limits
 from tillroll.params import Parameters, add_months
 from tillroll.workspace import Workspace
@@ -50,12 +50,14 @@ class Layers:
         spec: FactSpec | None = None,
         keep: tuple[str, ...] = (),
         workspace: Workspace | None = None,
+        overlap_from: Column | None = None,
     ):
         self.spark = raw.sparkSession
         self.raw, self.codes, self.params = raw, codes, params
         self.spec = spec or all_needs(params)
         self.keep = keep
         self.workspace = workspace or Workspace(self.spark)
+        self._overlap_from = overlap_from
 
     def _layer(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         frame = build()
@@ -63,8 +65,10 @@ class Layers:
 
     @cached_property
     def overlap_from(self) -> Column | None:
-        """First day of the overlap: found once when the lines are read for several layers, else
-        left to a subquery of the one plan that needs it."""
+        """First day of the overlap: as the source gives it; else found once when the lines are
+        read for several layers, or left to a subquery of the one plan that needs it."""
+        if self._overlap_from is not None:
+            return self._overlap_from
         if "clean_line" in self.keep:
             return overlap_start_value(self.raw, self.params.batches)
         return None
@@ -80,9 +84,14 @@ class Layers:
     def customer_dim(self) -> DataFrame:
         return self._layer("customer_dim", lambda: customer_dim(self.clean_line))
 
+    @cached_property
+    def invoices(self) -> DataFrame:
+        """Lines grouped by invoice, once for the orders and for the checks."""
+        return self._layer("invoices", lambda: build_invoices(self.clean_line))
+
     @cached_property
     def orders(self) -> DataFrame:
-        return self._layer("orders", lambda: build_orders(self.clean_line))
+        return self._layer("orders", lambda: orders_of(self.invoices))
 
     @cached_property
     def facts(self) -> DataFrame:

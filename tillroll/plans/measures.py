@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,7 @@ from tillroll.functions import money
 from tillroll.functions.predicates import AT_RISK, INACTIVE
 from tillroll.params import Parameters
 from tillroll.operators.cohorts import settled
-from tillroll.plans.report import segment_summary
+from tillroll.plans.report import PROFILES, in_profile, segment_summary
 
 _VALUE = "decimal(30,4)"
 
@@ -32,6 +33,35 @@ def _mean(name: str, condition: Column | None = None) -> Column:
     return money.ratio(F.sum(value) * 10000, F.count(value) * 10000, 4)
 
 
+def customer_measures(customers: DataFrame) -> DataFrame:
+    """The measures over customers, for whichever are given (all, or one profile)."""
+    n = F.count(F.lit(1))
+    at_risk = F.col("churn_status") == AT_RISK
+    return _rows(
+        customers,
+        {
+            "customers": n,
+            "net revenue": F.sum("net_revenue"),
+            "average ticket": money.ratio(F.sum("net_revenue"), F.sum("frequency"), 2),
+            "churned customers": F.count_if("is_churned"),
+            "churned share": money.ratio(F.count_if("is_churned"), n, 4),
+            "at risk": F.count_if(at_risk),
+            "inactive": F.count_if(F.col("churn_status") == INACTIVE),
+            "revenue at risk": F.sum(F.when(at_risk, F.col("revenue_12m"))),
+            "clv 6 months": F.sum("clv_6m"),
+        },
+    )
+
+
+def by_profile(customers: DataFrame, measured: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What `measured` makes of each profile's customers, as a report's slicer shows it."""
+    parts = [
+        measured(in_profile(customers, profile)).select(F.lit(profile).alias("profile"), "*")
+        for profile in PROFILES
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def measures(
     *,
     monthly: DataFrame,
@@ -45,8 +75,6 @@ def measures(
 ) -> DataFrame:
     sold, unknown = F.sum("sale_with_customer"), F.sum("sale_without_customer")
     both = F.coalesce(sold, F.lit(0)) + F.coalesce(unknown, F.lit(0))
-    n = F.count(F.lit(1))
-    at_risk = F.col("churn_status") == AT_RISK
     rule = F.col("chosen") & (F.col("cutoff") == F.lit(params.cutoff))
     parts = [
         _rows(
@@ -58,20 +86,7 @@ def measures(
                 "share without customer": money.ratio(unknown, both, 4),
             },
         ),
-        _rows(
-            customers,
-            {
-                "customers": n,
-                "net revenue": F.sum("net_revenue"),
-                "average ticket": money.ratio(F.sum("net_revenue"), F.sum("frequency"), 2),
-                "churned customers": F.count_if("is_churned"),
-                "churned share": money.ratio(F.count_if("is_churned"), n, 4),
-                "at risk": F.count_if(at_risk),
-                "inactive": F.count_if(F.col("churn_status") == INACTIVE),
-                "revenue at risk": F.sum(F.when(at_risk, F.col("revenue_12m"))),
-                "clv 6 months": F.sum("clv_6m"),
-            },
-        ),
+        customer_measures(customers),
         _rows(churn_band, {"not returned": _mean("rate")}),
         _rows(
             churn_validation,
@@ -81,9 +96,10 @@ def measures(
                 "recall": _mean("recall"),
             },
         ),
+        _rows(cohorts, {"retention": money.ratio(F.sum("active"), F.sum("size"), 4)}),
         _rows(
             settled(cohorts),
-            {"retention": money.ratio(F.sum("active"), F.sum("size"), 4)},
+            {"retention, settled months": money.ratio(F.sum("active"), F.sum("size"), 4)},
         ),
         _rows(
             clv_validation_customer,
@@ -94,7 +110,7 @@ def measures(
                 "actual revenue (validation)": F.sum("actual"),
             },
         ),
-        _rows(quality, {"checks ok": F.count_if("ok"), "checks": n}),
+        _rows(quality, {"checks ok": F.count_if("ok"), "checks": F.count(F.lit(1))}),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -1,4 +1,4 @@
-"""One run: build every table, check it, and publish it only when all checks pass.
+"""One run: build every table, check it, and publish it only when all checks and row rules hold.
 
 Tables are written under a run id and nothing is overwritten. The manifest, a table that only
 grows, names the runs that passed; readers take its newest row. A failed run is never named,
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tillroll.params import Parameters
 from tillroll.plans.layers import Layers
-from tillroll.plans.quality import check_quality
+from tillroll.plans.quality import check_quality, check_rules
 from tillroll.workspace import Workspace
 from tillroll.reference_data import parameter_table, segment_map, segments
 
@@ -35,7 +35,7 @@ REFERENCE_TABLES = ("parameter", "segment_map", "segment", "non_product_code")
 
 
 class QualityError(RuntimeError):
-    """A run failed its checks and was not published."""
+    """A run failed its checks or broke a row rule, and was not published."""
 
 
 class Run(Workspace):
@@ -52,7 +52,7 @@ class Run(Workspace):
 
 def run_layers(raw: DataFrame, codes: DataFrame, params: Parameters, run: Workspace) -> Layers:
     """Layers that write each published table once; later ones read the stored tables."""
-    return Layers(raw, codes, params, keep=TABLES, workspace=run)
+    return Layers(raw, codes, params, keep=(*TABLES, "invoices"), workspace=run)
 
 
 def quality_of(
@@ -62,6 +62,7 @@ def quality_of(
         raw=layers.raw,
         load_log=load_log,
         lines=layers.clean_line,
+        invoices=layers.invoices,
         orders=layers.orders,
         customer=layers.customer,
         cohorts=layers.cohort_retention,
@@ -72,10 +73,25 @@ def quality_of(
     )
 
 
+def rules_of(layers: Layers) -> DataFrame:
+    return check_rules(
+        lines=layers.clean_line,
+        orders=layers.orders,
+        customer=layers.customer,
+        churn_validation=layers.churn_validation,
+        churn_band=layers.churn_band,
+        cohorts=layers.cohort_retention,
+        clv_validation_customer=layers.clv_validation_customer,
+        clv_validation=layers.clv_validation,
+        params=layers.params,
+    )
+
+
 # Tables of one step do not depend on each other; each step needs the ones before it.
 STEPS = (
     ("clean_line",),
-    ("customer_dim", "orders"),
+    ("customer_dim", "invoices"),
+    ("orders",),
     ("facts", "cohort_retention"),
     ("limits",),
     ("customer", "churn_validation", "churn_band", "clv_validation_customer"),
@@ -88,7 +104,7 @@ def build(layers: Layers) -> None:
     no executors idle."""
     with ThreadPoolExecutor(max_workers=max(map(len, STEPS))) as pool:
         for step in STEPS:
-            list(pool.map(inheritable_thread_target(layers.table), step))
+            list(pool.map(inheritable_thread_target(layers.spark)(layers.table), step))
 
 
 def process(
@@ -99,8 +115,8 @@ def process(
     root: str,
     known_anomalies: DataFrame | None = None,
 ) -> Run:
-    """Raw lines to published tables. Raises QualityError, and publishes nothing, on a failed
-    check."""
+    """Raw lines to published tables. Raises QualityError, and publishes nothing, when a check
+    fails or a row breaks a rule of its table. A cell that does not parse fails the job."""
     spark = raw.sparkSession
     run = Run(spark, root, uuid.uuid4().hex)
     layers = run_layers(raw, codes, params, run)
@@ -111,17 +127,20 @@ def process(
     run.store(codes, "non_product_code")
     checked = quality_of(layers, load_log, known_anomalies).withColumn("checked_at", F.current_timestamp())
     results = run.store(checked, "quality")
+    rules = run.store(rules_of(layers), "row_rules")
     failed = results.filter(~F.col("ok")).select("check", "expected", "obtained").collect()
-    if failed:
-        listed = "; ".join(f"{r.check}: expected {r.expected}, obtained {r.obtained}" for r in failed)
-        raise QualityError(f"run {run.run_id} not published: {listed}")
+    broken = rules.filter("violations > 0").collect()
+    if failed or broken:
+        listed = [f"{r.check}: expected {r.expected}, obtained {r.obtained}" for r in failed]
+        listed += [f"{r.table}, {r.rule}: {r.violations} rows" for r in broken]
+        raise QualityError(f"run {run.run_id} not published: {'; '.join(listed)}")
     publish(run)
     return run
 
 
 def publish(run: Run) -> None:
     """Append the run to the manifest: one small file, visible all at once or not at all."""
-    names = F.array(*[F.lit(name) for name in (*TABLES, *REFERENCE_TABLES, "quality")])
+    names = F.array(*[F.lit(name) for name in (*TABLES, *REFERENCE_TABLES, "quality", "row_rules")])
     entry = run.spark.range(1).select(
         F.lit(run.run_id).alias("run_id"),
         F.current_timestamp().alias("published_at"),

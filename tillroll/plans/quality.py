@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import money
 from tillroll.functions.predicates import (
-    ANOMALY,
     CANCEL,
     DEBT_ADJUST,
     KINDS,
@@ -94,26 +93,36 @@ def _raw_checks(raw: DataFrame, params: Parameters, start: Column) -> DataFrame:
         [
             ("raw_lines_of_last_load", OBTAINED, F.count(F.lit(1))),
             ("raw_formats", OBTAINED, F.count_if(~F.col("good"))),
-            ("clean_lines", EXPECTED, F.count_if(~F.col("copied"))),
+            ("clean_lines", EXPECTED, F.count(F.lit(1)) - F.count_if("copied")),
             ("clean_value_conserved", EXPECTED, _sum3(F.when(~F.col("copied"), F.col("value")))),
         ],
     )
 
 
 def _anomaly_checks(
-    lines: DataFrame, params: Parameters, known_anomalies: DataFrame | None
+    invoices: DataFrame, params: Parameters, known_anomalies: DataFrame | None
 ) -> DataFrame:
-    """Anomalies on invoices that are not known for one, by parameter or by a list."""
-    odd = lines.filter(F.col("kind") == ANOMALY)
+    """Anomalous lines on invoices that are not known for one, by parameter or by a list. A line
+    without an invoice is not known."""
+    odd = invoices.filter(F.col("anomalies") > 0)
     if params.known_anomalies:
-        odd = odd.filter(~F.col("invoice").isin(*params.known_anomalies))
+        known = F.coalesce(F.col("invoice").isin(*params.known_anomalies), F.lit(False))
+        odd = odd.filter(~known)
     if known_anomalies is not None:
         odd = odd.join(known_anomalies.select("invoice"), "invoice", "left_anti")
-    return _facts(odd, [("clean_new_anomalies", OBTAINED, F.count(F.lit(1)))])
+    total = F.coalesce(F.sum("anomalies"), F.lit(0))
+    return _facts(odd, [("clean_new_anomalies", OBTAINED, total)])
 
 
-def _clean_checks(lines: DataFrame) -> DataFrame:
+def _clean_checks(lines: DataFrame, params: Parameters) -> DataFrame:
+    """Every check over single lines, in one pass. A code that is a product by the list but does
+    not look like one is counted once."""
     traded = F.col("kind").isin(SALE, CANCEL)
+    formats, code = params.formats, F.col("stock_code")
+    odd = F.col("is_product") & ~matches(code, formats.product_code)
+    for prefix in formats.product_code_prefixes:
+        odd = odd & ~code.startswith(prefix)
+    odd = odd & ~code.isin(*formats.product_code_exceptions)
     return _facts(
         lines,
         [
@@ -121,36 +130,20 @@ def _clean_checks(lines: DataFrame) -> DataFrame:
             ("clean_value_conserved", OBTAINED, _sum3(F.col("value"))),
             ("clean_ambiguous_hour", OBTAINED, F.count_if(F.hour("ts_local") == 1)),
             ("orders_sum_to_clean", EXPECTED, _sum3(F.when(traded, F.col("value")))),
+            ("clean_unclassified_codes", OBTAINED, F.count_distinct(F.when(odd, code))),
         ],
     )
 
 
-def _code_checks(lines: DataFrame, params: Parameters) -> DataFrame:
-    """A code that is a product by the list, but does not look like one."""
-    formats = params.formats
-    code = F.col("stock_code")
-    odd = F.col("is_product") & ~matches(code, formats.product_code)
-    for prefix in formats.product_code_prefixes:
-        odd = odd & ~code.startswith(prefix)
-    odd = odd & ~code.isin(*formats.product_code_exceptions)
-    codes = lines.filter(odd).select("stock_code").distinct()
-    return _facts(codes, [("clean_unclassified_codes", OBTAINED, F.count(F.lit(1)))])
-
-
-def _invoice_checks(lines: DataFrame) -> DataFrame:
+def _invoice_checks(invoices: DataFrame) -> DataFrame:
     """Smallest and largest customer instead of a distinct count: both merge on the map side."""
-    customer = F.col("customer_id")
-    invoices = lines.groupBy("invoice").agg(
-        F.min(customer).alias("least"),
-        F.max(customer).alias("most"),
-        F.count(customer).alias("with_customer"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    mixed = (F.col("with_customer") > 0) & (F.col("with_customer") < F.col("n"))
+    known = F.col("lines_with_customer")
+    mixed = (known > 0) & (known < F.col("all_lines"))
+    several = F.col("least_customer") != F.col("most_customer")
     return _facts(
         invoices,
         [
-            ("clean_invoice_one_customer", OBTAINED, F.count_if(F.col("least") != F.col("most"))),
+            ("clean_invoice_one_customer", OBTAINED, F.count_if(several)),
             ("clean_invoice_mixed", OBTAINED, F.count_if(mixed)),
         ],
     )
@@ -253,6 +246,7 @@ def check_quality(
     raw: DataFrame,
     load_log: DataFrame,
     lines: DataFrame,
+    invoices: DataFrame,
     orders: DataFrame,
     customer: DataFrame,
     cohorts: DataFrame,
@@ -279,10 +273,9 @@ def check_quality(
         load,
         overlap,
         _raw_checks(raw, params, start),
-        _clean_checks(lines),
-        _anomaly_checks(lines, params, known_anomalies),
-        _code_checks(lines, params),
-        _invoice_checks(lines),
+        _clean_checks(lines, params),
+        _anomaly_checks(invoices, params, known_anomalies),
+        _invoice_checks(invoices),
         _order_checks(orders, customer),
         _customer_checks(customer),
         _cohort_checks(cohorts),

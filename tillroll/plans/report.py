@@ -12,6 +12,7 @@ from tillroll.operators.measurements import top10_share
 from tillroll.reference_data import RECENCY_BANDS, segments
 
 WHOLESALE, RETAIL = "Wholesale", "Retail"
+PROFILES = (RETAIL, WHOLESALE)
 
 
 def profile() -> Column:

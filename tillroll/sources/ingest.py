@@ -2,31 +2,41 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tillroll.params import Batches
 from tillroll.schemas import RAW_COLUMNS, SOURCE_TITLES
 
 # Title of the column that carries a line's row in its source (row 1 holds the titles).
 ROW_TITLE = "Row"
+# Title of the column that carries a line's file, where its reader had to note it.
+FILE_TITLE = "File path"
+# A file's content is one cell when its digest is taken.
+LARGEST_FILE = (1 << 31) - 1
 
 
 class LoadError(RuntimeError):
     """The source does not have the expected form."""
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
     """CSV as text: quotes doubled inside quotes, line breaks kept, empty cells NULL, and the
-    words NULL or \\N taken literally."""
-    return (
+    words NULL or \\N taken literally. Lines are numbered where the file does not do so.
+
+    With line_breaks a file is one task, since a break may be inside a cell. Files whose cells
+    hold none can be split: `functools.partial(read_csv, line_breaks=False)` as the reader.
+    """
+    frame = (
         spark.read.option("header", True)
         .option("inferSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", line_breaks)
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", "")
@@ -35,6 +45,28 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
+    return frame if ROW_TITLE in frame.columns else numbered(frame)
+
+
+def numbered(frame: DataFrame) -> DataFrame:
+    """A file's lines numbered as in its source, the titles being line 1.
+
+    Rows are numbered inside each split of a file as they are read; the rows of the splits before
+    it, a table of one row for each split, are added.
+    """
+    file, split = "_metadata.file_path", "_metadata.file_block_start"
+    own = frame.select("*", F.col(file).alias("__file"), F.col(split).alias("__split"))
+    own = own.withColumn("__id", F.monotonically_increasing_id())
+    splits = own.groupBy("__file", "__split").agg(
+        F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__rows")
+    )
+    earlier = Window.partitionBy("__file").orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("__rows").over(earlier), F.lit(0))
+    splits = splits.withColumn("__before", before).drop("__rows")
+    row = F.col("__id") - F.col("__first") + F.col("__before") + 2
+    return own.join(splits, ["__file", "__split"]).select(
+        *frame.columns, row.alias(ROW_TITLE), F.col("__file").alias(FILE_TITLE)
+    )
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -56,7 +88,7 @@ def as_batch(frame: DataFrame, sheet: str) -> DataFrame:
 
     return frame.select(
         F.lit(sheet).alias("sheet"),
-        F.col("_metadata.file_name").alias("source_file"),
+        F.col(FILE_TITLE if FILE_TITLE in frame.columns else "_metadata.file_path").alias("source_file"),
         F.col(ROW_TITLE).cast("bigint").alias("source_row"),
         *[cell(name) for name in RAW_COLUMNS],
     )
@@ -79,28 +111,42 @@ def lines_per_sheet(raw: DataFrame) -> DataFrame:
 
 
 def file_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """SHA-256 of every file, each read by the task it falls to (a file may not exceed 2 GB)."""
+    """Full path, name and SHA-256 of every file, each read by the task it falls to. A file's
+    identity is its path: files of one name in several folders are several files."""
     files = spark.read.format("binaryFile").load(paths)
+    if not files.filter(F.col("length") > LARGEST_FILE).isEmpty():
+        raise LoadError("a file beyond 2 GB has no digest: split it, or load without `expected`")
+    path = F.col("_metadata.file_path")
     return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
+        path.alias("file"),
+        F.col("_metadata.file_name").alias("name"),
         F.sha2("content", 256).alias("sha256"),
     )
 
 
-def check_digests(spark: SparkSession, expected: Mapping[str, str]) -> None:
-    """Refuse the load when a file's digest is not the expected one. Only failures are fetched."""
+def check_digests(spark: SparkSession, expected: Mapping[str, str], root: str) -> None:
+    """Refuse the load when a file's digest is not the expected one (path to digest). The files
+    that failed are all listed in a table, whose place the error names."""
     wanted = spark.createDataFrame(
-        [(_name(path), digest) for path, digest in expected.items()], "file string, wanted string"
+        [(_identity(path), digest) for path, digest in expected.items()], "known string, wanted string"
     )
-    found = file_digests(spark, list(expected)).join(wanted, "file", "left")
-    wrong = found.filter(~F.col("sha256").eqNullSafe(F.col("wanted"))).select("file")
-    names = [row.file for row in wrong.take(20)]
-    if names:
-        raise LoadError(f"checksum mismatch: {names}")
+    # A path given without scheme and host means the default ones.
+    path = F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
+    bare = F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/+", "/")
+    found = file_digests(spark, list(expected)).withColumn("known", F.explode(F.array_distinct(F.array(path, bare))))
+    matched = found.join(wanted, "known", "left")
+    by_file = matched.groupBy("file", "sha256").agg(F.max("wanted").alias("wanted"))
+    wrong = by_file.filter(~F.col("sha256").eqNullSafe(F.col("wanted")))
+    place = f"{root}/refused/{uuid.uuid4().hex}"
+    wrong.write.parquet(place)
+    n = spark.read.schema(wrong.schema).parquet(place).count()
+    if n:
+        raise LoadError(f"checksum mismatch in {n} files, listed in {place}")
 
 
-def _name(path: str) -> str:
-    return path.rstrip("/").rsplit("/", 1)[-1]
+def _identity(path: str) -> str:
+    """A path as the file system reports it: local ones with an empty host."""
+    return re.sub(r"^file:/*", "file:///", path)
 
 
 def load_entry(raw: DataFrame, digests: DataFrame, load_id: str) -> DataFrame:
@@ -109,6 +155,7 @@ def load_entry(raw: DataFrame, digests: DataFrame, load_id: str) -> DataFrame:
     return digests.join(counts, "file", "left").select(
         F.lit(load_id).alias("load_id"),
         "file",
+        "name",
         "sha256",
         F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
         F.current_timestamp().alias("loaded_at"),
@@ -129,14 +176,18 @@ def load(
     the previous one in place, and loading twice gives the same result.
     """
     if expected:
-        check_digests(spark, expected)
-    load_id = uuid.uuid4().hex
+        check_digests(spark, expected, root)
     raw = read_batches(spark, paths, batches, reader)
+    return register(raw, file_digests(spark, list(paths.values())), root)
+
+
+def register(raw: DataFrame, digests: DataFrame, root: str) -> DataFrame:
+    """Write raw lines under a new load id and enter their files; returns the stored lines."""
+    load_id = uuid.uuid4().hex
     target = f"{root}/raw/{load_id}"
     raw.write.parquet(target)
-    stored = spark.read.schema(raw.schema).parquet(target)
-    files = file_digests(spark, list(paths.values()))
-    load_entry(stored, files, load_id).coalesce(1).write.mode("append").parquet(f"{root}/load_log")
+    stored = raw.sparkSession.read.schema(raw.schema).parquet(target)
+    load_entry(raw, digests, load_id).coalesce(1).write.mode("append").parquet(f"{root}/load_log")
     return stored
 
 

@@ -31,7 +31,8 @@ PARAMETERS = Parameters(
         invoice=r"[CA]?[0-9]{6,}",
         customer_id=r"[0-9]{5,}",
         product_code=r"[0-9]{5,}",
-        customer_id_range=None,
+        # Fixed value: the rules add 10000 to a key from 0 on.
+        customer_id_range=(10_000, 10**12),
     ),
 )
 
@@ -87,21 +88,33 @@ def known_anomalies(spark: SparkSession, folder: str) -> DataFrame:
     return lines.select(F.concat(F.lit("C"), _padded(F.col("l_orderkey"), 6)).alias("invoice"))
 
 
-def _spread(scan: DataFrame) -> DataFrame:
-    """Rows dealt out by line when the files give fewer splits than there are cores (one row
-    group cannot be split). A scan with enough splits, as of any large input, stays as it is."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+def _order_time() -> Column:
+    hours = (F.lit(6) + F.col("o_orderkey") % 15).cast("int")
+    return F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hours)
+
+
+def overlap_days(spark: SparkSession, folder: str) -> tuple[Column, Column]:
+    """First day of the overlap and the older batch's last moment in it, from orders alone.
+
+    Every line between the two is in both batches, so orders without lines change nothing.
+    """
+    at = _order_time()
+    newer = at >= clock.moment(NEWER_FROM)
+    shared = newer & (at < clock.moment(OLDER_UNTIL))
+    ends = _table(spark, folder, "orders").agg(
+        clock.start_of_day(F.min(F.when(newer, at))).alias("start"),
+        F.max(F.when(shared, at)).alias("until"),
+    )
+    start = F.coalesce(ends.select("start").scalar(), clock.moment(clock.FAR_FUTURE))
+    return start, ends.select("until").scalar()
 
 
-def raw_lines(spark: SparkSession, folder: str, lean: bool = False) -> DataFrame:
-    """All lines as text, with batch, file and row.
+def raw_lines(spark: SparkSession, folder: str, days: tuple[Column, Column] | None = None) -> DataFrame:
+    """All lines as text, with batch, file and row; with `days`, those between two moments.
 
     What depends on the order alone (date, customer, batches) is worked out per order, before
-    the join with its lines. `lean` leaves the line's place and the country NULL, for plans
-    that use neither: the supplier and nation tables are then not read.
+    the join with its lines. Suppliers are grouped by their key, so that Spark knows that the
+    join adds no rows and leaves it out of plans that do not use the country.
     """
     order_key = F.col("l_orderkey")
     discount, tax = _hundredths(F.col("l_discount")), _hundredths(F.col("l_tax"))
@@ -113,15 +126,13 @@ def raw_lines(spark: SparkSession, folder: str, lean: bool = False) -> DataFrame
     prefix = F.when(cancels, F.lit("C")).when(adjusts, F.lit("A")).otherwise(F.lit(""))
     quantity = F.col("l_quantity").cast("int")
 
-    place = (
-        [F.lit(None).cast("string"), F.lit(None).cast("bigint")]
-        if lean
-        else [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
-    )
     scan = _table(spark, folder, "lineitem").select(
-        place[0].alias("source_file"), place[1].alias("source_row"), "*"
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.row_index").alias("source_row"),
+        "*",
     )
-    lines = _spread(scan).select(
+    # Dealt out by the key of the join that follows, which needs it in any case.
+    lines = scan.repartition("l_orderkey").select(
         "source_file",
         "source_row",
         order_key,
@@ -135,14 +146,15 @@ def raw_lines(spark: SparkSession, folder: str, lean: bool = False) -> DataFrame
         F.when(cancels & ~keeps_sign, -quantity).otherwise(quantity).cast("string").alias("quantity"),
         free.alias("free"),
     )
-    hours = (F.lit(6) + F.col("o_orderkey") % 15).cast("int")
     orders = _table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_custkey") + 10000)
         .cast("string")
         .alias("customer_id"),
-        (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hours)).alias("at"),
+        _order_time().alias("at"),
     )
+    if days:
+        orders = orders.filter(F.col("at").between(*days))
     in_older = F.col("at") < clock.moment(OLDER_UNTIL)
     in_newer = F.col("at") >= clock.moment(NEWER_FROM)
     sheets = (
@@ -162,19 +174,16 @@ def raw_lines(spark: SparkSession, folder: str, lean: bool = False) -> DataFrame
         F.col("p_retailprice").cast(money.PRICE).cast("string").alias("price"),
     )
     joined = lines.join(orders, "l_orderkey").join(parts, "l_partkey", "left")
-    if lean:
-        joined = joined.withColumn("country", F.lit(None).cast("string"))
-    else:
-        # 25 nations; suppliers grow with the data and get no hint.
-        nations = _table(spark, folder, "nation").select(
-            F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("country")
-        )
-        suppliers = _table(spark, folder, "supplier").select(
-            F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
-        )
-        homes = suppliers.join(F.broadcast(nations), "s_nationkey", "left").drop("s_nationkey")
-        joined = joined.join(homes, "l_suppkey", "left")
-
+    # 25 nations; suppliers grow with the data and get no hint.
+    nations = _table(spark, folder, "nation").select(
+        F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("country")
+    )
+    nations = nations.groupBy("s_nationkey").agg(F.min("country").alias("country"))
+    homes = _table(spark, folder, "supplier").groupBy(F.col("s_suppkey").alias("l_suppkey"))
+    homes = homes.agg(F.min("s_nationkey").alias("s_nationkey"))
+    joined = joined.join(homes, "l_suppkey", "left").join(
+        F.broadcast(nations), "s_nationkey", "left"
+    )
     return joined.select(
         "sheet",
         "source_file",

@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir."""
+    """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
+
+    A local session without that setting gets one folder of its own, since driver and executors
+    are then one process. On a cluster the setting is required.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tillroll-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="tillroll-")
+    return _LOCAL[context.applicationId]
 
 
 class Workspace:
@@ -23,11 +34,15 @@ class Workspace:
 
     Unlike a cached or checkpointed plan, the stored table is columnar, so each later use reads
     only the columns it needs, and it outlives the executors that wrote it.
+
+    The folder goes when the workspace is closed: at the end of a `with` block, or else when the
+    driver's process ends, since results that are read lazily need it until then.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.folder = f"{folder or shared_folder(spark)}/tillroll-{uuid.uuid4().hex}"
+        atexit.register(self.close)
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -38,3 +53,17 @@ class Workspace:
 
     def read(self, name: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.path(name))
+
+    def close(self) -> None:
+        """Removes the folder; a session that is gone, or a folder that is, is no error."""
+        atexit.unregister(self.close)
+        with contextlib.suppress(Exception):
+            hadoop = self.spark._jvm.org.apache.hadoop.fs
+            path = hadoop.Path(self.folder)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
