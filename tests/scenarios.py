@@ -1,5 +1,8 @@
 """Hand-built invoice lines."""
 
+import random
+from datetime import datetime, timedelta
+
 from tillroll.operators.clean import clean
 from tillroll.operators.orders import build_orders
 from tillroll.params import Parameters
@@ -64,3 +67,23 @@ def by(frame, key, *columns):
         name = tuple(row[k] for k in keys)
         result[name if len(name) > 1 else name[0]] = tuple(row[c] for c in columns)
     return result
+
+
+def trade(seed, customers=12, purchases=60, start=datetime(2009, 12, 5), days=735):
+    """Random sales and cancellations as (customer or None, moment, units); units below 0 cancel."""
+    own = random.Random(seed)
+    people = [None, *range(20011, 20011 + customers)]
+    events = []
+    for _ in range(purchases):
+        moment = start + timedelta(minutes=30 * own.randrange(48 * days))
+        moment += timedelta(hours=2) if moment.hour == 1 else timedelta(0)
+        events.append((own.choice(people), moment, own.choice([1, 2, 3, 5, 8, -1, -2])))
+    return events
+
+
+def lines_of(events):
+    """One invoice line per event, at 10.00 a unit."""
+    return [
+        buy(who, f"{'C' if units < 0 else ''}{700000 + i}", str(moment), units)
+        for i, (who, moment, units) in enumerate(events)
+    ]
