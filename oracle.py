@@ -936,5 +936,58 @@ def invariants_sql() -> str:
 SELECTS["invariants"] = invariants_sql()
 
 
+def _json_text(column: str) -> str:
+    """A column as JSON: dates and text in quotes, numbers without idle zeros."""
+    name, _, kind = column.partition(":")
+    text = f'CAST("{name}" AS VARCHAR)'
+    if kind == "text":
+        text = f'CAST(to_json("{name}") AS VARCHAR)'
+    elif kind == "date":
+        text = f"""'"' || {text} || '"'"""
+    else:
+        text = f"CASE WHEN contains({text}, '.') THEN regexp_replace({text}, '[.]?0+$', '') ELSE {text} END"
+    return f"""'"{name}":' || coalesce({text}, 'null')"""
+
+
+def _section(place: int, name: str, source: str, columns: str, order: str | None = None) -> str:
+    members = " || ',' || ".join(map(_json_text, columns.split()))
+    row = f"'{{' || {members} || '}}'"
+    body = f"'[' || string_agg({row}, ',' ORDER BY {order}) || ']'" if order else row
+    return f"SELECT {place} AS place, '{name}' AS section, {body} AS json FROM ({source})"
+
+
+def export_sql() -> str:
+    models = "['predicted', 'seasonal_naive', 'naive']"
+    parts = [
+        ("summary", headline("checks_known"),
+         "product_revenue without_customer_share customers net_revenue repurchase_rate churned at_risk "
+         "inactive revenue_at_risk clv_6m checks_ok checks top10_share", None),
+        ("cleaning", SELECTS["repeat_lines"], "raw_lines overlap_lines repeats_kept value_of_repeats", None),
+        ("monthly_revenue", SELECTS["monthly_revenue"],
+         "month:date partial_month sale_with_customer sale_without_customer cancelled_product "
+         "active_customers new_customers", "month"),
+        ("segments", SELECTS["segment_summary"],
+         "segment_order segment:text action:text customers customer_share net_revenue revenue_share "
+         "mean_recency_days mean_frequency churned at_risk inactive churned_revenue_12m clv_6m wholesale",
+         "segment_order"),
+        ("churn", SELECTS["churn_validation"],
+         "cutoff:date days customers not_returned flagged precision recall f1 accuracy chosen",
+         "cutoff DESC, days"),
+        ("churn_bands", SELECTS["churn_band"], "cutoff:date ord band:text customers not_returned rate",
+         "cutoff DESC, ord"),
+        ("cohorts", SELECTS["cohort_retention"] + f" WHERE {SETTLED}",
+         "cohort:date size months_since retention", "cohort, months_since"),
+        ("clv_validation", SELECTS["clv_validation"],
+         "model:text customers total_predicted total_actual total_error_pct mean_abs_error capture_top20",
+         f"list_position({models}, model)"),
+        ("clv_segments", SELECTS["clv_by_segment"],
+         "segment:text predicted naive seasonal_naive actual segment_order", "segment_order"),
+    ]
+    return " UNION ALL ".join(_section(i, *part) for i, part in enumerate(parts, 1))
+
+
+SELECTS["export_document"] = export_sql()
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: query(select) for name, select in SELECTS.items()}
