@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with a public vocabulary of ranks.
 
-A text is cut by the pattern of the vocabulary; every cut is a word. Each distinct word of a batch
-is encoded once: its bytes are folded by ranked merges, the lowest rank first and the leftmost of
-equals first, until no adjacent pair is in the rank map. Decoding concatenates the binary pieces.
+A text is cut by the pattern of the vocabulary; every cut is a word. The distinct
+words of a batch are encoded once, all together: their byte arrays are folded by ranked merges, the
+lowest rank first and the leftmost of equals first, until no adjacent pair is in the rank map. Decoding concatenates the binary pieces.
 
 The rank map has a fixed size (the vocabulary's) and is broadcast. The README says why the merges
 run in Arrow batches and not in higher-order functions.
@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import base64
 import heapq
-from itertools import chain
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark import Broadcast
@@ -26,10 +28,14 @@ from tillroll.llm.common import built
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
-#: Distinct words that a Python worker remembers; beyond it starts anew.
-REMEMBERED = 300_000
-#: From this many bytes on, merges are taken from a heap.
+#: Distinct words that a Python worker remembers beyond those at hand.
+REMEMBERED = 600_000
+#: From this many bytes on, a word's merges are taken from a heap.
 LONG_WORD = 100
+#: Characters of text that are encoded at once.
+CHUNK = 4 << 20
+#: Above every rank.
+NONE = 1 << 30
 
 _CUT = regex.compile(PATTERN)
 
@@ -39,25 +45,78 @@ def load_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
 
 
-def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one word."""
-    if word in ranks:
-        return [ranks[word]]
-    if len(word) >= LONG_WORD:
-        return _merged_long(word, ranks)
-    parts = [word[i : i + 1] for i in range(len(word))]
-    found = [ranks.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-    while True:
-        best = min((rank for rank in found if rank is not None), default=None)
-        if best is None:
-            return [ranks[part] for part in parts]
-        at = found.index(best)
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        del found[at]
-        if at < len(found):
-            found[at] = ranks.get(parts[at] + parts[at + 1])
-        if at:
-            found[at - 1] = ranks.get(parts[at - 1] + parts[at])
+class Merges:
+    """The rank map as arrays: for a pair of ids, the id of their concatenation.
+
+    A piece can be the concatenation of several pairs of pieces; all are listed.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        pairs = {
+            (ranks[piece[:cut]] << 32) | ranks[piece[cut:]]: rank
+            for piece, rank in ranks.items()
+            for cut in range(1, len(piece))
+            if piece[:cut] in ranks and piece[cut:] in ranks
+        }
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        keys = np.fromiter(pairs, np.int64, len(pairs))
+        order = np.argsort(keys)
+        # The last key is above all others, so that every search ends inside.
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.ranks = np.append(np.fromiter(pairs.values(), np.int64, len(pairs))[order], NONE)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair, NONE if it has none."""
+        wanted = (left << 32) | right
+        at = np.searchsorted(self.keys, wanted)
+        return np.where(self.keys[at] == wanted, self.ranks[at], NONE)
+
+
+def fold(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of many words, one after the other, and where each word's begin and end.
+
+    In each round every word merges one pair, the lowest rank first and the leftmost of equals
+    first; words without one are done.
+    """
+    sizes = np.array([len(word) for word in words], np.int64)
+    counts = np.zeros(len(words), np.int64)
+    number = np.flatnonzero(sizes)
+    sizes = sizes[number]
+    ids = merges.single[np.frombuffer(b"".join(words), np.uint8)]
+    starts = np.cumsum(sizes) - sizes
+    rank = np.full(len(ids), NONE)
+    rank[:-1] = merges.of(ids[:-1], ids[1:])
+    rank[starts + sizes - 1] = NONE
+    finished = []
+    while len(number):
+        best = np.minimum.reduceat((rank << 32) | np.arange(len(ids)), starts)
+        open_ = (best >> 32) != NONE
+        keep = np.repeat(open_, sizes)
+        counts[number[~open_]] = sizes[~open_]
+        finished.append((number[~open_], ids[~keep]))
+        at = (np.cumsum(keep) - 1)[(best & 0xFFFFFFFF)[open_]]
+        ids, rank, number, sizes = ids[keep], rank[keep], number[open_], sizes[open_]
+        if not len(number):
+            break
+        ids[at] = rank[at]
+        stays = np.ones(len(ids), bool)
+        stays[at + 1] = False
+        at = at - np.arange(len(at))
+        ids, rank = ids[stays], rank[stays]
+        sizes = sizes - 1
+        starts = np.cumsum(sizes) - sizes
+        rank[at] = NONE
+        inner = at[at < starts + sizes - 1]
+        rank[inner] = merges.of(ids[inner], ids[inner + 1])
+        after = at[at > starts]
+        rank[after - 1] = merges.of(ids[after - 1], ids[after])
+    ends = np.cumsum(counts)
+    out = np.empty(ends[-1] if len(ends) else 0, np.int32)
+    for own, values in finished:
+        n = counts[own]
+        first = np.cumsum(n) - n
+        out[np.arange(len(values)) + np.repeat(ends[own] - n - first, n)] = values
+    return out, np.concatenate(([0], ends))
 
 
 def _merged_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -89,21 +148,49 @@ def _merged_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[at : end[at]]] for at in range(n) if alive[at]]
 
 
-class Encoder(dict):
-    """Words to ids, remembered."""
+class Encoder:
+    """Words to ids; the ids of a word are kept as the bytes of an int32 array."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
         self.ranks = ranks
-
-    def __missing__(self, word: str) -> list[int]:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self[word] = merged(word.encode(), self.ranks)
-        return ids
-
-    def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable(map(self.__getitem__, _CUT.findall(text or ""))))
+        self.merges = Merges(ranks)
+        self.known: dict[str, bytes] = {}
+
+    def learn(self, words: set[str]) -> None:
+        """Encodes words that are not known yet, each once."""
+        if len(self.known) + len(words) > REMEMBERED:
+            self.known = {word: self.known[word] for word in words if word in self.known}
+        folded = []
+        for word in words - self.known.keys():
+            own = word.encode()
+            if own in self.ranks:
+                self.known[word] = np.int32(self.ranks[own]).tobytes()
+            elif len(own) >= LONG_WORD:
+                self.known[word] = np.array(_merged_long(own, self.ranks), np.int32).tobytes()
+            else:
+                folded.append(word)
+        ids, ends = fold([word.encode() for word in folded], self.merges)
+        data, ends = ids.tobytes(), (ends * ids.itemsize).tolist()
+        for word, start, end in zip(folded, ends, ends[1:], strict=False):
+            self.known[word] = data[start:end]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [_CUT.findall(text) for text in texts]
+        self.learn(set().union(*cut))
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, own)), np.int32) for own in cut]
+
+
+def in_chunks(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in groups of about CHUNK characters, one text at least."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= CHUNK:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 def _ranks(spark: SparkSession, path: str) -> Broadcast:
@@ -123,7 +210,11 @@ def encode(
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         encoder = built("encoder", ranks.value, Encoder)
-        return pa.array((encoder.encode(x.as_py()) for x in texts), pa.list_(pa.int32()))
+        own = [text or "" for text in texts.to_pylist()]
+        found = [x for group in in_chunks(own) for x in encoder.encode(group)]
+        offsets = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
+        values = np.concatenate([np.empty(0, np.int32), *found])
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
     return docs.withColumn(out, ids(F.col(text)))
 
@@ -138,9 +229,11 @@ def decode(
     @F.arrow_udf("binary")
     def joined(lists: pa.Array) -> pa.Array:
         known = built("pieces", ranks.value, lambda own: {rank: piece for piece, rank in own.items()})
-        return pa.array(
-            (b"".join(map(known.__getitem__, x.as_py() or ())) for x in lists), pa.binary()
-        )
+        ids = lists.flatten().to_numpy()
+        sizes = np.array([0 if n is None else n for n in pc.list_value_length(lists).to_pylist()])
+        ends = np.cumsum(sizes)
+        each = (ids[a:b].tolist() for a, b in zip(ends - sizes, ends, strict=True))
+        return pa.array([b"".join(map(known.__getitem__, own)) for own in each], pa.binary())
 
     return frame.withColumn(out, joined(F.col(ids)))
 
