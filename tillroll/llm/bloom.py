@@ -36,8 +36,10 @@ def probed(frame: DataFrame, hash_: Column, words: DataFrame, out: str, slots: i
     names = frame.columns
     frame = frame.select(*names, hash_.alias("__hash"))
     found = []
+    second = F.col("word") >= (slots >> 6)  # each table's words are broadcast for its own slots
     for i, slot in enumerate(_slots(F.col("__hash"), slots)):
-        own = words.select(F.col("word").alias(f"__word{i}"), F.col("bits").alias(f"__bits{i}"))
+        own = words.filter(second if i else ~second)
+        own = own.select(F.col("word").alias(f"__word{i}"), F.col("bits").alias(f"__bits{i}"))
         frame = frame.join(F.broadcast(own), F.shiftright(slot, 6) == F.col(f"__word{i}"), "left")
         bit = F.call_function(
             "shiftrightunsigned",

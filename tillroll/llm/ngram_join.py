@@ -36,7 +36,7 @@ MOST_HASHES = 150
 
 #: A block of a part: at most about so many n-grams, and so many classes.
 BLOCK_GRAMS = 1_000_000
-BLOCK_CLASSES = 500
+BLOCK_CLASSES = 250
 #: N-grams compared at once.
 COLUMNS = 4096
 
@@ -208,7 +208,7 @@ def jaccard_classes(
         ),
         "members",
     )
-    verified = workspace.store(_compared(docs, members, n, threshold), "verified")
+    verified = workspace.store(_compared(docs, members, n, threshold, workspace), "verified")
     links = verified.groupBy("id").agg(F.sum("links").alias("n_links"))
     edges = verified.filter("id != tied").select(F.col("id").alias("a"), F.col("tied").alias("b"))
     groups = components(edges, workspace, "groups")
@@ -264,7 +264,9 @@ def _ties(classes: DataFrame, workspace: Workspace) -> DataFrame:
     return shared.filter("id != b").select(F.col("id").alias("a"), "b").distinct()
 
 
-def _compared(docs: DataFrame, members: DataFrame, n: int, threshold: float) -> DataFrame:
+def _compared(
+    docs: DataFrame, members: DataFrame, n: int, threshold: float, workspace: Workspace
+) -> DataFrame:
     """id, links, tied: a row for each class and pair of blocks that it is in."""
     size = members.groupBy("part").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("grams"))
     size = size.select(
@@ -278,15 +280,19 @@ def _compared(docs: DataFrame, members: DataFrame, n: int, threshold: float) ->
     dealt = members.join(size, "part").withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     )
+    # Only texts that a Bloom filter of the members lets through are shuffled.
+    wanted = bit_words(members.select(F.xxhash64("doc_id", "key").alias("hash")))
+    wanted = workspace.store(wanted, "members_filter")
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         text_key().alias("key"),
         text_or_empty().cast("binary").alias("text"),
     )
+    texts = probed(texts, F.xxhash64("doc_id", "key"), wanted, "near").filter("near")
     same = texts["doc_id"].eqNullSafe(dealt["doc_id"]) & (texts["key"] == dealt["key"])
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     paired = (
-        dealt.join(texts, same)
+        dealt.join(texts.hint("merge"), same)
         .select("id", "part", "block", "text", other)
         .select(
             "id",
@@ -327,7 +333,7 @@ def one_of_each(
     decided = decided.select(F.col("doc_id").alias("__doc"), F.col("key").alias("__of"), "__stays")
     same = near["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__of"))
     kept = (
-        near.join(decided, same, "left")
+        near.hint("merge").join(decided, same, "left")
         .filter(F.coalesce("__stays", F.lit(True)))
         .dropDuplicates(["doc_id", "__key"])
     )
