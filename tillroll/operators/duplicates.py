@@ -18,13 +18,13 @@ _STRETCH = 1_000_000
 _LINE = ("sheet", *RAW_COLUMNS)
 
 
-def repeated_lines(raw: DataFrame) -> DataFrame:
-    """Lines whose batch may hold an equal one: those that share a 96-bit hash with another.
+def repeated_rows(frame: DataFrame, columns: tuple[str, ...] = _LINE) -> DataFrame:
+    """Rows that may repeat another one's columns: those that share a 96-bit hash of them.
 
-    Only hashes are shuffled to find them; the few lines left are compared in full by callers.
+    Only hashes are shuffled to find them; the few rows left are compared in full by callers.
     """
-    hashes = {"__hash": F.xxhash64(*_LINE), "__check": F.hash(*_LINE)}
-    hashed = raw.withColumns(hashes)
+    hashes = {"__hash": F.xxhash64(*columns), "__check": F.hash(*columns)}
+    hashed = frame.withColumns(hashes)
     shared = hashed.groupBy(*hashes).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return hashed.join(shared.drop("n"), list(hashes), "left_semi").drop(*hashes)
 
@@ -63,7 +63,7 @@ def cleaning_report(raw: DataFrame, batches: Batches, start: Column | None = Non
     totals = totals.select(F.struct("lines", "copied")).scalar()
     # The repeats of a line are its count minus one. Numbering them would put all copies of a
     # line into one task; counting merges them on the map side.
-    groups = repeated_lines(raw.filter(~older)).groupBy(*_LINE).agg(F.count(F.lit(1)).alias("n"))
+    groups = repeated_rows(raw.filter(~older)).groupBy(*_LINE).agg(F.count(F.lit(1)).alias("n"))
     groups = groups.select(
         (F.col("n") - 1).alias("repeats"),
         line_kind(F.col("invoice"), quantity, price).alias("kind"),
@@ -88,7 +88,7 @@ def adjacent_repeats(kept: DataFrame) -> DataFrame:
     a million rows; a stretch's last row is also the first of the next one, so no pair is missed
     and no task holds a whole file.
     """
-    kept = repeated_lines(kept)
+    kept = repeated_rows(kept)
     row = F.col("source_row")
     stretch = F.call_function("div", row, F.lit(_STRETCH))
     is_last = row % _STRETCH == _STRETCH - 1

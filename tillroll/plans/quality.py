@@ -22,7 +22,7 @@ from tillroll.functions.predicates import (
     matches,
 )
 from tillroll.operators.clean import is_overlap, overlap_start
-from tillroll.operators.duplicates import overlap_difference
+from tillroll.operators.duplicates import overlap_difference, repeated_rows
 from tillroll.params import Parameters
 from tillroll.reference_data import MODELS, SEGMENTS, literal_table
 from tillroll.schemas import LINE_KEY
@@ -330,7 +330,7 @@ def _violations(table: str, frame: DataFrame, rules: Rules, required: tuple[str,
 
 
 def _repeated_keys(table: str, frame: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    groups = frame.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    groups = repeated_rows(frame.select(*key), key).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.count_if(F.col("n") > 1).alias("violations")).select(
         F.lit(table).alias("table"), F.lit("key is unique").alias("rule"), "violations"
     )
