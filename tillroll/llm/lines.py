@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.bloom import bit_words, probed
 from tillroll.llm.common import text_key, text_or_empty, without_positions
 from tillroll.workspace import Workspace
 
@@ -91,12 +92,23 @@ def dedup_lines(
         .agg(F.sort_array(F.collect_set("pos")).alias("__lines_gone"))
     )
     docs = docs.drop("dedup_lines", "dedup_removed")
-    keyed = docs.withColumn("__lines_key", text_key())
-    joined = keyed.join(
+    removed = workspace.store(removed, "removed_lines")
+    marks = bit_words(removed.select(F.xxhash64("__lines_doc", "__lines_of").alias("hash")))
+    marks = workspace.store(marks, "removed_lines_filter")
+    hash_ = F.xxhash64(F.col("doc_id").cast("long"), text_key())
+    marked = probed(docs, hash_, marks, "__lines_near")
+    near = marked.filter("__lines_near").withColumn("__lines_key", text_key())
+    joined = near.hint("merge").join(
         removed,
-        keyed["doc_id"].cast("long").eqNullSafe(F.col("__lines_doc")) & (keyed["__lines_key"] == F.col("__lines_of")),
+        F.col("doc_id").cast("long").eqNullSafe(F.col("__lines_doc"))
+        & (F.col("__lines_key") == F.col("__lines_of")),
         "left",
     )
+    whole = marked.filter(~F.col("__lines_near")).withColumn(
+        "__lines_gone", F.lit(None).cast("array<int>")
+    )
+    names = [*docs.columns, "__lines_gone"]
+    joined = whole.select(*names).unionByName(joined.select(*names))
     pieces = F.split("text", BREAK)
     shorter = F.array_join(without_positions(pieces, F.col("__lines_gone")), BREAK)
     changed = F.col("__lines_gone").isNotNull()
