@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import duckdb
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -95,3 +96,17 @@ def test_queries_return_a_row_for_each_document(spark):
         found = query(spark, str(FOLDER))
         assert found.count() == n, name
         assert found.filter(F.col("doc_id").isNull()).isEmpty()
+
+
+@pytest.mark.skipif(not FOLDER.exists(), reason="needs the test tables")
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_same_rows_as_duckdb(spark, name):
+    duck = duckdb.connect()
+    for table_ in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {table_} AS SELECT * FROM '{FOLDER}/{table_}.parquet'")
+    found = queries.QUERIES[name](spark, str(FOLDER))
+    wanted = duck.sql(queries.ORACLE[name])
+    columns = sorted(found.columns)
+    assert sorted(wanted.columns) == columns
+    rows = [repr(tuple(row[c] for c in columns)) for row in found.collect()]
+    assert sorted(rows) == sorted(map(repr, wanted.select(", ".join(columns)).fetchall()))

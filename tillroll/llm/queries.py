@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, exact, language, licenses, lines, ngram_join, secrets, sentences, suffix
+from tillroll.llm import bpe, decontaminate, exact, language, licenses, lines, ngram_join, oracles, secrets, sentences, suffix
 from tillroll.llm.common import read, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,29 @@ def sha256(column) -> F.Column:
     return F.sha2(column.cast("binary"), 256)
 
 
+@query(oracles.SUFFIX_DEDUP)
+def op1_suffix_dedup(spark, folder):
+    found = suffix.dedup_substrings(read(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query(oracles.DECONTAMINATE)
+def op2_decontaminate(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.contaminated(docs, read(spark, folder, "benchmark"))
+    result = F.col("contamination")
+    return found.select(
+        "doc_id",
+        result["n_words"].alias("n_words"),
+        decontaminate.hit_words(result).alias("n_hit"),
+        F.size(result["items"]).cast("long").alias("n_items"),
+        sha256(F.array_join(result["items"], ",")).alias("items_sha256"),
+        (F.size(result["hits"]) > 0).alias("contaminated"),
+    )
+
+
 @query(f"""
 WITH trimmed AS (
     SELECT doc_id, source, pos, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line, raw
@@ -75,17 +98,37 @@ def op4_exact_dedup(spark, folder):
 
 
 @query()
-def op2_decontaminate(spark, folder):
-    docs = read(spark, folder, "documents").select("doc_id", "text")
-    found = decontaminate.contaminated(docs, read(spark, folder, "benchmark"))
-    result = F.col("contamination")
+def op5_sentence_spans(spark, folder):
+    found = sentences.dedup_spans(read(spark, folder, "documents"))
+    ranges = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
     return found.select(
         "doc_id",
-        result["n_words"].alias("n_words"),
-        decontaminate.hit_words(result).alias("n_hit"),
-        F.size(result["items"]).cast("long").alias("n_items"),
-        sha256(F.array_join(result["items"], ",")).alias("items_sha256"),
-        (F.size(result["hits"]) > 0).alias("contaminated"),
+        "n_sentences",
+        "n_removed",
+        F.array_join(ranges, ",").alias("spans"),
+        sha256(F.col("kept")).alias("kept_sha256"),
+    )
+
+
+@query()
+def op6_license_scan(spark, folder):
+    found = licenses.licenses(read(spark, folder, "documents").select("doc_id", "text"))
+    own = F.col("licenses")
+    best = F.reduce(
+        own,
+        F.lit(0.0),
+        lambda most, x: F.greatest(most, x["coverage"]),
+    )
+    names = F.array_sort(F.array_distinct(F.transform(own, lambda x: x["license"])))
+    spans = F.transform(
+        own, lambda x: F.concat_ws(":", x["license"], x["first"], x["stop"])
+    )
+    return found.select(
+        "doc_id",
+        F.size(own).cast("long").alias("n_matches"),
+        F.array_join(names, ",").alias("licenses"),
+        best.alias("best_coverage"),
+        F.array_join(spans, ",").alias("spans"),
     )
 
 
@@ -112,6 +155,12 @@ def op8_language_id(spark, folder):
     )
 
 
+@query(oracles.NGRAM_JOIN)
+def op9_ngram_join(spark, folder):
+    found = ngram_join.jaccard_classes(read(spark, folder, "documents"))
+    return found.drop("key")
+
+
 @query()
 def op10_byte_bpe(spark, folder):
     encoded = bpe.encode(read(spark, folder, "documents").select("doc_id", "text"))
@@ -123,52 +172,3 @@ def op10_byte_bpe(spark, folder):
         sha256(F.array_join(ids.cast("array<string>"), " ")).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-
-
-@query()
-def op9_ngram_join(spark, folder):
-    found = ngram_join.jaccard_classes(read(spark, folder, "documents"))
-    return found.drop("key")
-
-
-@query()
-def op1_suffix_dedup(spark, folder):
-    found = suffix.dedup_substrings(read(spark, folder, "documents"))
-    return found.select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
-    )
-
-
-@query()
-def op5_sentence_spans(spark, folder):
-    found = sentences.dedup_spans(read(spark, folder, "documents"))
-    ranges = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
-    return found.select(
-        "doc_id",
-        "n_sentences",
-        "n_removed",
-        F.array_join(ranges, ",").alias("spans"),
-        sha256(F.col("kept")).alias("kept_sha256"),
-    )
-
-
-@query()
-def op6_license_scan(spark, folder):
-    found = licenses.licenses(read(spark, folder, "documents").select("doc_id", "text"))
-    own = F.col("licenses")
-    best = F.reduce(
-        own,
-        F.lit(0.0),
-        lambda most, x: F.greatest(most, x["coverage"]),
-    )
-    names = F.array_sort(F.array_distinct(F.transform(own, lambda x: x["license"])))
-    spans = F.transform(
-        own, lambda x: F.concat_ws(":", x["license"], x["first"], x["stop"])
-    )
-    return found.select(
-        "doc_id",
-        F.size(own).cast("long").alias("n_matches"),
-        F.array_join(names, ",").alias("licenses"),
-        best.alias("best_coverage"),
-        F.array_join(spans, ",").alias("spans"),
-    )

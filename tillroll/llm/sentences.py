@@ -197,5 +197,5 @@ def dedup_spans(
     whole = marked.filter(~F.col("near")).select("doc_id", cut("text", none).alias("cut"))
     near = marked.filter("near")
     same = near["doc_id"].eqNullSafe(gone["doc_id"]) & (near["key"] == gone["key"])
-    some = near.join(gone, same, "left").select(near["doc_id"], cut("text", "gone").alias("cut"))
+    some = near.hint("merge").join(gone, same, "left").select(near["doc_id"], cut("text", "gone").alias("cut"))
     return whole.unionByName(some).select("doc_id", "cut.*")
