@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tests.llm.conftest import clashing, prose, table
@@ -49,6 +50,39 @@ def test_names_beyond_a_bucket(spark):
     assert found(table(spark, texts), 120, bucket=2) == brute(texts, 120)
 
 
+def test_buckets_by_rows_and_by_columns():
+    own = random.Random(9)
+    middle = prose(77, 90).encode()
+    before, around = [], []
+    for k in range(40):
+        a, b = own.randint(0, 300), own.randint(0, 300)
+        left = prose(k % 9, 40).encode()[-a:] if a else b""
+        text = left + middle[: suffix.GRAM] + (middle if k % 3 else prose(k, 90).encode())[:b]
+        before.append(len(left))
+        around.append(text)
+    starts = np.array([168 - n for n in before])
+    keep = starts >= 0
+    rows = np.zeros((keep.sum(), 368), np.uint8)
+    ends = []
+    for i, (s, text) in enumerate((s, t) for s, t, k in zip(starts, around, keep, strict=True) if k):
+        own_bytes = text[: 368 - s]
+        rows[i, s : s + len(own_bytes)] = np.frombuffer(own_bytes, np.uint8)
+        ends.append(s + len(own_bytes))
+    given = rows, starts[keep], np.array(ends), 200
+    one, other = suffix._by_rows(*given), suffix._by_columns(*given)
+    assert (one[0] == other[0]).all() and (one[1] == other[1]).all() and (one[0] >= 0).any()
+
+
+@pytest.mark.parametrize("passage", [250, 700])
+def test_a_passage_that_most_texts_share(spark, passage):
+    """One name with very many ranks, in buckets of ten: shorter and longer than a string."""
+    shared = prose(5, 400)[:passage]
+    texts = [f"{prose(k, 30)}{shared}{prose(k + 200, 30)}" for k in range(60)]
+    expected = brute(texts, 400)
+    assert found(table(spark, texts), bucket=10) == found(table(spark, texts)) == expected
+    assert (sum(row[1] for row in expected) > 0) == (passage >= 400)
+
+
 def test_random_texts_of_two_letters(spark):
     own = random.Random(5)
     texts = ["".join(own.choices("ab", k=own.randint(0, 300))) for _ in range(30)]

@@ -12,8 +12,9 @@ Only suffixes that share a cover sample are sorted, one bucket at a time.
 * Buckets. Names with two or more ranks are left. One context of each rank goes to the name's
   bucket. A bucket's suffixes (one for each context and offset) are sorted by the LENGTH bytes
   they start with, neighbours are compared, and the outermost repeated ones are noted; a task
-  holds one bucket at a time. Names with more than BUCKET ranks are not put into a bucket: their
-  strings are hashed (128 bits) and counted by Spark, one row per string, which no task gathers.
+  holds one bucket at a time. Names with more than BUCKET ranks (a line that most documents hold)
+  are split first: by halves of the range of offsets, on the bytes that all strings of a half
+  share, until a group is small or is one string.
 
 The repeated strings that hold a sample cover one run of bytes around it, from the outermost left
 to the outermost right. Texts that no such run touches are not shuffled.
@@ -22,6 +23,7 @@ to the outermost right. Texts that no such run touches are not shuffled.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,10 @@ LENGTH = 400
 GRAM = 32
 #: Bytes of text that are searched for samples at once.
 CHUNK_BYTES = 1 << 20
-#: Ranks of a name that a task takes as one bucket; names with more are counted by Spark.
-BUCKET = 16384
+#: Ranks that a task takes as one bucket (50 MB of text); names with more are split.
+BUCKET = 1 << 16
+#: Contexts of a bucket up to which all offsets are sorted at once.
+MATRIX_ROWS = 512
 
 _BYTES = np.random.default_rng(1).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -155,7 +159,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, workspace: Workspace, name: str)
     )
     near = probed(texts, _document(texts), words, "near").filter("near").drop("near")
     same = near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["key"] == wanted["key"])
-    return wanted.join(near, same).drop(near["doc_id"], near["key"])
+    return wanted.join(near.hint("merge"), same).drop(near["doc_id"], near["key"])
 
 
 def _contexts(texts: DataFrame, length: int) -> DataFrame:
@@ -196,48 +200,72 @@ def outermost(before: list[int], around: list[bytes], length: int = LENGTH) -> t
     n, most_before = len(before), length - GRAM
     width = most_before + length
     rows = np.zeros((n, width), np.uint8)
-    ends = np.empty(n, np.int64)
-    for i, own in enumerate(around):
-        at = most_before - before[i]
-        rows[i, at : at + len(own)] = np.frombuffer(own, np.uint8)
-        ends[i] = at + len(own)
     starts = most_before - np.array(before)
-    powers = _powers(width)
+    ends = starts + np.array([len(own) for own in around])
+    for i, own in enumerate(around):
+        rows[i, starts[i] : ends[i]] = np.frombuffer(own, np.uint8)
+    search = _by_rows if n <= MATRIX_ROWS else _by_columns
+    first, last, first_twin, last_twin = search(rows, starts, ends, length)
+    for column, twin in ((first, first_twin), (last, last_twin)):
+        for i in np.flatnonzero(column >= 0):
+            own = slice(column[i], column[i] + length)
+            if (rows[i, own] != rows[twin[i], own]).any():
+                raise ValueError("two different strings share a hash; change the seed of _BYTES")
+    found = first >= 0
+    return np.where(found, most_before - last, -1), np.where(found, most_before - first, -1)
+
+
+Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _by_rows(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> Found:
+    """The first and the last column where a row's string is another one's too, and that row; all
+    columns at once."""
+    n, width = rows.shape
+    columns = np.arange(width - length + 1)
     sums = np.zeros((n, width + 1), np.uint64)
-    np.cumsum(_BYTES[rows] * powers, axis=1, out=sums[:, 1:])
-    first = np.arange(most_before + 1)  # where the strings start; the sample is at most_before
-    hashes = sums[:, length : length + most_before + 1] - sums[:, : most_before + 1]
-    there = (first >= starts[:, None]) & (first + length <= ends[:, None])
+    np.cumsum(_BYTES[rows] * _powers(width), axis=1, out=sums[:, 1:])
+    hashes = sums[:, length:] - sums[:, : len(columns)]
+    there = (columns >= starts[:, None]) & (columns + length <= ends[:, None])
     # Strings that a context does not hold are made to differ from all.
     absent = np.arange(n, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
     hashes = np.where(there, hashes, absent ^ np.uint64(0x5555555555555555))
     order = np.argsort(hashes, axis=0, kind="stable")
     ranked = np.take_along_axis(hashes, order, axis=0)
-    next_same = np.zeros((n, len(first)), bool)
-    next_same[:-1] = ranked[1:] == ranked[:-1]
-    same_sorted = next_same.copy()
-    same_sorted[1:] |= next_same[:-1]
-    same = np.empty_like(same_sorted)
-    np.put_along_axis(same, order, same_sorted, axis=0)
-    same &= there
-    least, most = np.full(n, -1, np.int32), np.full(n, -1, np.int32)
-    for i in np.flatnonzero(same.any(axis=1)):
-        columns = np.flatnonzero(same[i])
-        for column, out in ((columns[0], most), (columns[-1], least)):
-            twin = _twin(rows, hashes[:, column], there[:, column], i, column, length)
-            if not twin:
-                raise ValueError("two different strings share a hash; change the seed of _BYTES")
-            out[i] = most_before - column
-    return least, most
-
-
-def _twin(
-    rows: np.ndarray, hashes: np.ndarray, there: np.ndarray, i: int, column: int, length: int
-) -> bool:
-    """Whether another context has the same bytes where row i's string is."""
-    others = np.flatnonzero(there & (hashes == hashes[i]))
-    other = others[0] if others[0] != i else others[1]
-    return bool((rows[other, column : column + length] == rows[i, column : column + length]).all())
+    equal = ranked[1:] == ranked[:-1]
+    twins = np.full(rows.shape[:1] + columns.shape, -1, np.int64)
+    k, column = np.nonzero(equal)
+    twins[order[k, column], column] = order[k + 1, column]
+    twins[order[k + 1, column], column] = order[k, column]
+    twins[~there] = -1
+    same = twins >= 0
+    some = same.any(axis=1)
+    first = np.where(some, same.argmax(axis=1), -1)
+    last = np.where(some, len(columns) - 1 - same[:, ::-1].argmax(axis=1), -1)
+    each = np.arange(n)
+    return first, last, twins[each, first], twins[each, last]
+
+
+def _by_columns(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> Found:
+    """The same, one column after the other, in memory of the rows' own size."""
+    n, width = rows.shape
+    powers = _powers(width)
+    first, last, first_twin, last_twin = (np.full(n, -1, np.int64) for _ in range(4))
+    hashes = np.zeros(n, np.uint64)
+    for column in range(length):
+        hashes += _BYTES[rows[:, column]] * powers[column]
+    for column in range(width - length + 1):
+        if column:
+            out, into = column - 1, column + length - 1
+            hashes += _BYTES[rows[:, into]] * powers[into] - _BYTES[rows[:, out]] * powers[out]
+        there = np.flatnonzero((column >= starts) & (column + length <= ends))
+        there = there[np.argsort(hashes[there], kind="stable")]
+        equal = np.flatnonzero(hashes[there[1:]] == hashes[there[:-1]])
+        for own, twin in ((there[equal], there[equal + 1]), (there[equal + 1], there[equal])):
+            last[own], last_twin[own] = column, twin
+            new = first[own] < 0
+            first[own[new]], first_twin[own[new]] = column, twin[new]
+    return first, last, first_twin, last_twin
 
 
 _POWERS: dict[int, np.ndarray] = {}
@@ -251,26 +279,29 @@ def _powers(width: int) -> np.ndarray:
 
 
 def _buckets(length: int):
-    """Batches sorted by name to the outermost offsets, one bucket in memory at a time."""
+    """Batches sorted by bucket to the outermost offsets, one bucket in memory at a time."""
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, ranks, before, around = None, [], [], []
+        bucket, names, ranks, before, around = None, [], [], [], []
         out: list[tuple[int, int, int, int]] = []
 
         def close() -> None:
             if len(ranks) > 1:
                 least, most = outermost(before, around, length)
-                found = zip(ranks, least.tolist(), most.tolist(), strict=True)
-                out.extend((name, r, a, b) for r, a, b in found if a >= 0)
+                found = zip(names, ranks, least.tolist(), most.tolist(), strict=True)
+                out.extend(row for row in found if row[2] >= 0)
 
         for batch in batches:
-            for i, own in enumerate(batch.column("name").to_pylist()):
-                if own != name:
+            own = batch.column("bucket").to_pylist()
+            columns = [batch.column(name).to_pylist() for name in ("name", "rank", "before", "around")]
+            for other, name, rank_, n, text in zip(own, *columns, strict=True):
+                if other != bucket:
                     close()
-                    name, ranks, before, around = own, [], [], []
-                ranks.append(batch.column("rank")[i].as_py())
-                before.append(batch.column("before")[i].as_py())
-                around.append(batch.column("around")[i].as_py())
+                    bucket, names, ranks, before, around = other, [], [], [], []
+                names.append(name)
+                ranks.append(rank_)
+                before.append(n)
+                around.append(text)
             if out:
                 yield _batch(out)
                 out = []
@@ -286,33 +317,75 @@ def _batch(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=_OUTERMOST)
 
 
-def _counted(contexts: DataFrame, length: int) -> DataFrame:
-    """The outermost offsets for names of very many ranks: all strings hashed and counted."""
+def _halved(contexts: DataFrame, length: int) -> DataFrame:
+    """Each context twice, for the lower and the upper half of its range of offsets, with hashes
+    of the bytes that all strings of that half share (core) and of all bytes that any of them
+    holds (hull; null where the context ends before). Halves without a string are left out."""
+    low, high = F.col("low"), F.col("high")
+    middle = F.shiftright(low + high, 1)
+    half = F.explode(
+        F.array(
+            F.struct(low.alias("low"), middle.alias("high")),
+            F.struct((middle + 1).alias("low"), high.alias("high")),
+        )
+    ).alias("half")
+    cut = contexts.select("name", "rank", "before", "around", half)
+    cut = cut.select("name", "rank", "before", "around", "half.*")
+    after = F.octet_length("around") - F.col("before")
+    some = F.greatest(low, F.lit(length) - after) <= F.least(high, F.col("before"))
+    core = F.substr("around", F.col("before") - low + 1, F.lit(length) - high + low)
+    hull = F.substr("around", F.col("before") - high + 1, F.lit(length) + high - low)
+    whole = (F.col("before") >= high) & (after >= F.lit(length) - low)
+    return cut.filter((low <= high) & some).withColumns(
+        {
+            "core": F.xxhash64("name", "low", core),
+            "hull": F.when(whole, F.xxhash64("name", "low", F.lit("hull"), hull)),
+        }
+    )
 
-    def strings(before: pa.Array, around: pa.Array) -> pa.Array:
-        out = []
-        for b, x in zip(before.to_pylist(), around, strict=True):
-            own = x.as_py()
-            out.append(
-                [
-                    {"offset": b - s, "string": xxhash.xxh3_128_digest(own[s : s + length])}
-                    for s in range(min(b, len(own) - length) + 1)
-                ]
+
+def _split(
+    contexts: DataFrame, length: int, bucket: int, workspace: Workspace
+) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Buckets and finished rows for names with more ranks than a bucket takes.
+
+    A string of offset o holds the bytes that all strings of a range around o share. So the range
+    of offsets is halved again and again, and a context stays with a half only if another one has
+    the same shared bytes there; groups small enough become buckets. A half whose strings are all
+    repeated, since another context has the same bytes over all of them, is done, and one of these
+    equal contexts stays for others to be compared with; so the halves inside a repeated run do
+    not multiply, however many contexts share it.
+    """
+    buckets, done = [], []
+    todo = contexts.select("*", F.lit(0).alias("low"), F.lit(length - GRAM).alias("high"))
+    for level in range((length - GRAM).bit_length() + 1):
+        halves = _halved(todo, length)
+        shared = _shared(halves, "core", workspace, level)
+        hulls = _shared(shared.filter("hull IS NOT NULL"), "hull", workspace, level)
+        done.append(hulls.select("name", "rank", F.col("low").alias("least"), F.col("high").alias("most")))
+        others = hulls.filter("rank != head").select("name", "rank", "low")
+        left = shared.drop("head").join(others, ["name", "rank", "low"], "left_anti")
+        left = workspace.store(left.filter("low < high"), f"open_{level}")
+        buckets.append(
+            left.filter(F.col("size") <= bucket).select(
+                F.col("core").alias("bucket"), "name", "rank", "before", "around"
             )
-        kind = pa.list_(pa.struct([("offset", pa.int32()), ("string", pa.binary())]))
-        return pa.array(out, kind)
-
-    hashed = F.arrow_udf(strings, "array<struct<offset:int,string:binary>>")
-    each = contexts.select("name", "rank", F.explode(hashed("before", "around")).alias("own"))
-    each = each.select("name", "rank", "own.*")
-    twice = (
-        each.groupBy("name", "offset", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    )
-    return (
-        each.join(twice.drop("n"), ["name", "offset", "string"], "left_semi")
-        .groupBy("name", "rank")
-        .agg(F.min("offset").alias("least"), F.max("offset").alias("most"))
-    )
+        )
+        todo = left.filter(F.col("size") > bucket).drop("core", "hull", "size")
+        if todo.isEmpty():
+            break
+    return buckets, done
+
+
+def _shared(halves: DataFrame, key: str, workspace: Workspace, level: int) -> DataFrame:
+    """The halves whose key another one has, with the size and the smallest rank of that group."""
+    sizes = halves.groupBy(key).agg(F.count(F.lit(1)).alias("size"), F.min("rank").alias("head"))
+    sizes = sizes.filter("size > 1")
+    sizes = workspace.store(sizes, f"{key}_{level}")
+    words = bit_words(sizes.select(F.col(key).alias("hash")))
+    words = workspace.store(words, f"{key}_{level}_filter")
+    near = probed(halves.drop("size", "head"), F.col(key), words, "near").filter("near").drop("near")
+    return workspace.store(near.join(sizes, key), f"{key}_{level}_shared")
 
 
 def repeated_runs(docs: DataFrame, length: int, workspace: Workspace, bucket: int = BUCKET) -> DataFrame:
@@ -321,9 +394,8 @@ def repeated_runs(docs: DataFrame, length: int, workspace: Workspace, bucket: in
     at = F.struct("doc_id", "key", "place")
     kinds = own.groupBy("name", "rank").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("at"))
     names = kinds.groupBy("name").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("ranks"))
-    tied = workspace.store(
-        kinds.join(names.filter("total > 1").drop("total"), "name"), "tied"
-    )
+    names = workspace.store(names.filter("total > 1").drop("total"), "names")
+    tied = workspace.store(kinds.join(names, "name"), "tied")
     wanted = workspace.store(
         tied.filter("ranks > 1")
         .groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.key").alias("key"))
@@ -336,16 +408,21 @@ def repeated_runs(docs: DataFrame, length: int, workspace: Workspace, bucket: in
     )
     texts = _texts(docs, wanted, workspace, "wanted_filter").dropDuplicates(["doc_id", "key"])
     few = texts.withColumn("wanted", F.filter("wanted", lambda x: ~x["many"]))
+    buckets, done = [_contexts(few, length).select(F.col("name").alias("bucket"), "*")], []
+    if not tied.filter(F.col("ranks") > bucket).isEmpty():
+        many = texts.withColumn("wanted", F.filter("wanted", lambda x: x["many"]))
+        many = workspace.store(_contexts(many, length), "many")
+        split, done = _split(many, length, bucket, workspace)
+        buckets += split
     sorted_ = (
-        _contexts(few, length)
-        .repartition("name")
-        .sortWithinPartitions("name")
+        reduce(DataFrame.unionByName, buckets)
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
         .mapInArrow(_buckets(length), OUTERMOST)
     )
-    found = sorted_
-    if not tied.filter(F.col("ranks") > bucket).isEmpty():
-        many = texts.withColumn("wanted", F.filter("wanted", lambda x: x["many"]))
-        found = sorted_.unionByName(_counted(_contexts(many, length), length))
+    found = reduce(DataFrame.unionByName, [sorted_, *done])
+    if done:
+        found = found.groupBy("name", "rank").agg(F.min("least").alias("least"), F.max("most").alias("most"))
     outer = workspace.store(found, "outermost")
     again = tied.filter("n > 1").select(
         "name", "rank", F.lit(None).cast("int").alias("least"), F.lit(None).cast("int").alias("most")
@@ -428,7 +505,7 @@ def dedup_substrings(
     near = marked.filter("near")
     same = near["doc_id"].eqNullSafe(runs["doc_id"]) & (near["key"] == runs["key"])
     cut = F.arrow_udf(_without, REMOVED)
-    some = near.join(runs, same, "left").select(
+    some = near.hint("merge").join(runs, same, "left").select(
         near["doc_id"], F.octet_length("text").cast("long").alias("n_bytes"), cut("text", "runs").alias("cut")
     )
     return whole.unionByName(some.select("doc_id", "n_bytes", "cut.*"))
