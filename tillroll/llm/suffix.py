@@ -163,7 +163,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, workspace: Workspace, name: str)
 
 
 def _contexts(texts: DataFrame, length: int) -> DataFrame:
-    """name, rank, before, own: one context for each of a document's wanted samples."""
+    """name, rank, many, before, around: a context for each of a document's wanted samples."""
 
     def cut(text: pa.Array, wanted: pa.Array) -> pa.Array:
         out = []
@@ -172,16 +172,23 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
             found = []
             for x in places:
                 before, around = context(whole, x["place"], length)
-                found.append({"name": x["name"], "rank": x["rank"], "before": before, "around": around})
+                own_ = {key: x[key] for key in ("name", "rank", "many")}
+                found.append(own_ | {"before": before, "around": around})
             out.append(found)
         return pa.array(out, pa.list_(_CONTEXT))
 
-    cut_ = F.arrow_udf(cut, "array<struct<name:long,rank:long,before:int,around:binary>>")
+    cut_ = F.arrow_udf(cut, "array<struct<name:long,rank:long,many:boolean,before:int,around:binary>>")
     return texts.select(F.explode(cut_("text", "wanted")).alias("own")).select("own.*")
 
 
 _CONTEXT = pa.struct(
-    [("name", pa.int64()), ("rank", pa.int64()), ("before", pa.int32()), ("around", pa.binary())]
+    [
+        ("name", pa.int64()),
+        ("rank", pa.int64()),
+        ("many", pa.bool_()),
+        ("before", pa.int32()),
+        ("around", pa.binary()),
+    ]
 )
 
 OUTERMOST = "name long, rank long, least int, most int"
@@ -407,13 +414,12 @@ def repeated_runs(docs: DataFrame, length: int, workspace: Workspace, bucket: in
         "wanted",
     )
     texts = _texts(docs, wanted, workspace, "wanted_filter").dropDuplicates(["doc_id", "key"])
-    few = texts.withColumn("wanted", F.filter("wanted", lambda x: ~x["many"]))
-    buckets, done = [_contexts(few, length).select(F.col("name").alias("bucket"), "*")], []
+    contexts, split, done = _contexts(texts, length), [], []
     if not tied.filter(F.col("ranks") > bucket).isEmpty():
-        many = texts.withColumn("wanted", F.filter("wanted", lambda x: x["many"]))
-        many = workspace.store(_contexts(many, length), "many")
-        split, done = _split(many, length, bucket, workspace)
-        buckets += split
+        contexts = workspace.store(contexts, "contexts")
+        split, done = _split(contexts.filter("many").drop("many"), length, bucket, workspace)
+    few = contexts.filter("NOT many").select(F.col("name").alias("bucket"), "*").drop("many")
+    buckets = [few, *split]
     sorted_ = (
         reduce(DataFrame.unionByName, buckets)
         .repartition("bucket")
