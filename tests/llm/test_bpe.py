@@ -1,3 +1,5 @@
+import numpy as np
+import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -25,6 +27,13 @@ def test_round_trip(text):
     assert ids.tolist() == PUBLIC.encode_ordinary(text)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.characters(max_codepoint=255) | st.sampled_from(" \n'\x1c\x1f\x85\xa0st"), max_size=30))
+def test_latin_texts_are_cut_alike(text):
+    assert [bpe.as_utf8(word).decode() for word in bpe.cut(text)] == bpe._CUT.findall(text)
+    assert ENCODER.encode([text])[0].tolist() == PUBLIC.encode_ordinary(text)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet="abct the", min_size=100, max_size=300))
 def test_long_words_merge_alike(text):
@@ -39,6 +48,18 @@ def test_no_rows_and_null_ids(spark):
     assert [bytes(r.decoded) for r in bpe.decode(frame).collect()] == [b"", b"", b'!"']
 
 
+def test_ids_in_chunks_and_unknown_ids(monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNK_IDS", 3)
+    pieces, ids = bpe.Pieces(RANKS), PUBLIC.encode_ordinary(prose(4, 60))
+    stops = np.array([0, 0, 1, 3, 3, 4, len(ids), len(ids)])
+    data, ends = pieces.joined(np.array(ids, np.int32), stops)
+    assert data == PUBLIC.decode_bytes(ids)
+    assert ends.tolist() == [len(PUBLIC.decode_bytes(ids[:n])) for n in stops]
+    for bad in (-1, len(RANKS), 10**6):
+        with pytest.raises(ValueError, match="vocabulary"):
+            pieces.joined(np.array([0, bad]), np.array([2]))
+
+
 def test_few_words_are_remembered(monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
     encoder, text = bpe.Encoder(RANKS), prose(3, 80)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,17 +30,51 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 #: Distinct words that a Python worker remembers beyond those at hand.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: From this many bytes on, a word's merges are taken from a heap.
 LONG_WORD = 100
 #: Characters of text that are encoded at once.
 CHUNK = 4 << 20
+#: Ids that are decoded at once.
+CHUNK_IDS = 1 << 18
 #: Above every rank.
 NONE = 1 << 30
 
 _CUT = regex.compile(PATTERN)
 
 
+def _latin(kind: str) -> str:
+    """The Latin-1 characters of a class, as the inside of a bracket of a pattern of bytes."""
+    return "".join(rf"\x{c:02x}" for c in range(256) if regex.fullmatch(kind, chr(c)))
+
+
+def _latin_cut() -> re.Pattern:
+    """The same pattern over Latin-1 bytes, for the texts that are no more than that."""
+    letter, digit, space = map(_latin, (r"\p{L}", r"\p{N}", r"\s"))
+    pattern = PATTERN
+    for kind, own in ((r"\p{L}", letter), (r"\p{N}", digit)):
+        pattern = pattern.replace(f"?{kind}", f"?[{own}]").replace(kind, own)
+    pattern = pattern.replace(r"[^\s", f"[^{space}").replace(r"\S", f"[^{space}]")
+    return re.compile(pattern.replace(r"\s", f"[{space}]").encode())
+
+
+_LATIN_CUT = _latin_cut()
+
+
+def cut(text: str) -> list[bytes] | list[str]:
+    """The words of a text: Latin-1 bytes where its characters allow, else strings."""
+    try:
+        return _LATIN_CUT.findall(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return _CUT.findall(text)
+
+
+def as_utf8(word: bytes | str) -> bytes:
+    if isinstance(word, str):
+        return word.encode()
+    return word if word.isascii() else word.decode("latin-1").encode()
+
+
 def load_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
@@ -154,30 +189,31 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.merges = Merges(ranks)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes | str, bytes] = {}
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: set[bytes | str]) -> None:
         """Encodes words that are not known yet, each once."""
         if len(self.known) + len(words) > REMEMBERED:
             self.known = {word: self.known[word] for word in words if word in self.known}
-        folded = []
+        folded, texts = [], []
         for word in words - self.known.keys():
-            own = word.encode()
+            own = as_utf8(word)
             if own in self.ranks:
                 self.known[word] = np.int32(self.ranks[own]).tobytes()
             elif len(own) >= LONG_WORD:
                 self.known[word] = np.array(_merged_long(own, self.ranks), np.int32).tobytes()
             else:
                 folded.append(word)
-        ids, ends = fold([word.encode() for word in folded], self.merges)
+                texts.append(own)
+        ids, ends = fold(texts, self.merges)
         data, ends = ids.tobytes(), (ends * ids.itemsize).tolist()
         for word, start, end in zip(folded, ends, ends[1:], strict=False):
             self.known[word] = data[start:end]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [_CUT.findall(text) for text in texts]
-        self.learn(set().union(*cut))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, own)), np.int32) for own in cut]
+        words = [cut(text) for text in texts]
+        self.learn(set().union(*words))
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, own)), np.int32) for own in words]
 
 
 def in_chunks(texts: list[str]) -> Iterator[list[str]]:
@@ -193,6 +229,35 @@ def in_chunks(texts: list[str]) -> Iterator[list[str]]:
         yield group
 
 
+class Pieces:
+    """All pieces in one buffer, by id."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        sizes = np.full(max(ranks.values()) + 1, -1, np.int64)
+        pieces = {rank: piece for piece, rank in ranks.items()}
+        sizes[list(pieces)] = [len(piece) for piece in pieces.values()]
+        self.sizes = sizes
+        self.data = np.frombuffer(b"".join(pieces[k] for k in sorted(pieces)), np.uint8)
+        self.starts = np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
+
+    def joined(self, ids: np.ndarray, stops: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of all ids, one after the other, and where those of the first stops[k] ids
+        end (stops do not fall)."""
+        out, ends, done = [], np.zeros(len(stops), np.int64), 0
+        for start in range(0, len(ids), CHUNK_IDS):
+            part = ids[start : start + CHUNK_IDS]
+            if part.min() < 0 or part.max() >= len(self.sizes) or self.sizes[part].min() < 0:
+                raise ValueError("an id outside the vocabulary")
+            sizes = self.sizes[part]
+            stop = np.cumsum(sizes)
+            at = np.repeat(self.starts[part] - stop + sizes, sizes) + np.arange(stop[-1])
+            out.append(self.data[at].tobytes())
+            own = slice(*np.searchsorted(stops, [start, start + len(part)], "right"))
+            ends[own] = done + stop[stops[own] - start - 1]
+            done += stop[-1]
+        return b"".join(out), ends
+
+
 def _ranks(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast(load_ranks(path))
 
@@ -228,12 +293,11 @@ def decode(
 
     @F.arrow_udf("binary")
     def joined(lists: pa.Array) -> pa.Array:
-        known = built("pieces", ranks.value, lambda own: {rank: piece for piece, rank in own.items()})
-        ids = lists.flatten().to_numpy()
-        sizes = np.array([0 if n is None else n for n in pc.list_value_length(lists).to_pylist()])
-        ends = np.cumsum(sizes)
-        each = (ids[a:b].tolist() for a, b in zip(ends - sizes, ends, strict=True))
-        return pa.array([b"".join(map(known.__getitem__, own)) for own in each], pa.binary())
+        pieces = built("pieces", ranks.value, Pieces)
+        sizes = [0 if n is None else n for n in pc.list_value_length(lists).to_pylist()]
+        data, ends = pieces.joined(lists.flatten().to_numpy(), np.cumsum(sizes, dtype=np.int64))
+        ends = np.concatenate(([0], ends)).astype(np.int32)
+        buffers = [None, pa.py_buffer(ends), pa.py_buffer(data)]
+        return pa.Array.from_buffers(pa.binary(), len(sizes), buffers)
 
     return frame.withColumn(out, joined(F.col(ids)))
-

@@ -55,17 +55,15 @@ def without_positions(pieces: Column, removed: Column) -> Column:
     )
 
 
-_BUILT: dict[tuple[str, int], tuple[object, object]] = {}
+_BUILT: dict[str, tuple[object, object]] = {}
 
 
 def built(name: str, value: object, build) -> object:
     """What `build` makes of a broadcast value, made once for each worker process.
 
-    The value is kept beside the result, so its address cannot pass to another one meanwhile.
+    One result of each name is kept, with the value it was made of; the one before it goes first.
     """
-    key = (name, id(value))
-    if key not in _BUILT:
-        if len(_BUILT) >= 4:
-            _BUILT.pop(next(iter(_BUILT)))
-        _BUILT[key] = (value, build(value))
-    return _BUILT[key][1]
+    if name not in _BUILT or _BUILT[name][0] is not value:
+        _BUILT.pop(name, None)
+        _BUILT[name] = (value, build(value))
+    return _BUILT[name][1]
