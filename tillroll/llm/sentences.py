@@ -1,8 +1,10 @@
 """Substring dedup by sliding spans of sentences.
 
 A span starts at any sentence and runs over the next ones until it has SENTENCES sentences and
-WORDS words at least. Spans are hashed by their words and counted over all documents; of a span
-that occurs again, every occurrence but the first loses its sentences.
+WORDS words at least; a second one from the same place ends at FEWER sentences, a third at the
+first sentence alone if that holds LONG_WORDS words. A text shorter than every span is one span.
+Spans are hashed by their words and counted over all documents; of a span that occurs again, every
+occurrence but the first loses its sentences.
 """
 
 from __future__ import annotations
@@ -19,7 +21,12 @@ from tillroll.llm.common import text_key, text_or_empty, words
 from tillroll.workspace import Workspace
 
 SENTENCES = 3
+#: Passages of this many sentences are hashed beside those of SENTENCES, not in their place: the
+#: shorter spans alone would leave the last sentence of some passages.
+FEWER = 2
 WORDS = 20
+#: From this many words on a span may end earlier, at one sentence too.
+LONG_WORDS = 50
 
 #: A sentence ends after closing marks (and quotes or other signs after them) before white space,
 #: or at a line feed; the white space that follows belongs to it.
@@ -34,7 +41,12 @@ def sentence_ends(text: bytes) -> list[int]:
     return ends
 
 
-def spans(text: bytes, sentences: int = SENTENCES, least_words: int = WORDS) -> list[tuple[int, int, bytes]]:
+def spans(
+    text: bytes,
+    sentences: int | tuple[int, ...] = (FEWER, SENTENCES),
+    least_words: int = WORDS,
+    long_words: int = LONG_WORDS,
+) -> list[tuple[int, int, bytes]]:
     """First sentence, sentence after the last, and the words of each span.
 
     Sentences without a word belong to no span's start or count.
@@ -55,26 +67,38 @@ def spans(text: bytes, sentences: int = SENTENCES, least_words: int = WORDS) ->
         starts.append(place)
         place += len(word) + 1
     starts.append(place)
-    out, stop, last = [], 0, len(first_word)
+    last = len(first_word)
     first_word.append(len(own))
+    sizes = (sentences,) if isinstance(sentences, int) else sentences
+    # Sentences and words that a span has at least, the shortest kind last.
+    kinds = [*((size, least_words) for size in sorted(sizes, reverse=True)), (1, long_words)]
+    stops, out = [0] * len(kinds), []
     for i in range(last):
-        stop = max(stop, i + sentences)
-        while stop <= last and first_word[stop] - first_word[i] < least_words:
-            stop += 1
-        if stop > last:
+        for kind, (size, least) in enumerate(kinds):
+            stop = max(stops[kind], i + size)
+            while stop <= last and first_word[stop] - first_word[i] < least:
+                stop += 1
+            stops[kind] = stop
+        ends = {stop for stop in stops[:-1] if stop <= last}
+        if stops[-1] <= last and stops[-1] < min(stops[:-1]):
+            ends.add(stops[-1])
+        if not ends:
             break
-        span = joined[starts[first_word[i]] : starts[first_word[stop]] - 1]
-        out.append((owners[i], owners[stop - 1] + 1, span))
-    return out
+        for stop in sorted(ends):
+            span = joined[starts[first_word[i]] : starts[first_word[stop]] - 1]
+            out.append((owners[i], owners[stop - 1] + 1, span))
+    return out or [(owners[0], owners[-1] + 1, joined)]
 
 
-def occurrences(docs: DataFrame, sentences: int, least_words: int) -> DataFrame:
+def occurrences(
+    docs: DataFrame, sentences: int | tuple[int, ...], least_words: int, long_words: int
+) -> DataFrame:
     """doc_id, key, and for each span its 128-bit hash in two parts, first and stop."""
 
     def hashed(texts: pa.Array) -> pa.Array:
         offsets, first, stop, high, low = [0], [], [], [], []
         for text in texts:
-            for a, b, span in spans(text.as_py() or b"", sentences, least_words):
+            for a, b, span in spans(text.as_py() or b"", sentences, least_words, long_words):
                 value = xxhash.xxh3_128_intdigest(span)
                 first.append(a)
                 stop.append(b)
@@ -100,9 +124,15 @@ def occurrences(docs: DataFrame, sentences: int, least_words: int) -> DataFrame:
     ).select("doc_id", "key", "span.*")
 
 
-def covered(docs: DataFrame, sentences: int, least_words: int, workspace: Workspace) -> DataFrame:
+def covered(
+    docs: DataFrame,
+    sentences: int | tuple[int, ...],
+    least_words: int,
+    long_words: int,
+    workspace: Workspace,
+) -> DataFrame:
     """doc_id, key, gone: the ranges of sentences that non-first repeated spans cover."""
-    found = occurrences(docs, sentences, least_words)
+    found = occurrences(docs, sentences, least_words, long_words)
     twice = found.groupBy("hash", "check").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     twice = workspace.store(twice.select("hash", "check"), "repeated")
     words_ = workspace.store(bit_words(twice.select("hash")), "repeated_filter")
@@ -171,20 +201,21 @@ def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
 
 def dedup_spans(
     docs: DataFrame,
-    sentences: int = SENTENCES,
+    sentences: int | tuple[int, ...] = (FEWER, SENTENCES),
     least_words: int = WORDS,
     workspace: Workspace | None = None,
+    long_words: int = LONG_WORDS,
 ) -> DataFrame:
     """One row per row of docs: doc_id, n_sentences, n_removed, spans (removed runs in code
     points, end exclusive) and kept (the remaining text).
 
     The first occurrence has the smallest doc_id (null last), then the first sentence. Spans
-    compare by lower-cased words. A text with fewer sentences or words than a span has none. Null
-    counts as empty. Rows that repeat doc_id and text are treated alike. Other columns are not
+    compare by lower-cased words. A text with fewer sentences or words than any span is one span; a
+    text without words has none. Null counts as empty. Rows that repeat doc_id and text are treated alike. Other columns are not
     read. Runs jobs and writes to the shared folder when called.
     """
     workspace = workspace or Workspace(docs.sparkSession)
-    gone = workspace.store(covered(docs, sentences, least_words, workspace), "gone")
+    gone = workspace.store(covered(docs, sentences, least_words, long_words, workspace), "gone")
     marks = workspace.store(bit_words(gone.select(F.xxhash64("doc_id", "key").alias("hash"))), "gone_filter")
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
