@@ -64,3 +64,22 @@ def test_novelty_never_drops_or_doubles_base_spans():
 def test_a_random_string_costs_more_than_a_name():
     assert secrets.novelty(random_string(8, 40), "") > 0.7
     assert secrets.novelty("database_connection_string_default", "") < 0.6
+
+
+def test_every_candidate_in_reach_is_measured():
+    key = random_string(7, 24)
+    for text in (
+        f'secret_configuration_value: "{key}"',
+        f"credential at https://example.com/v1 is {key}",
+        f"auth for application/json: {key} .",
+    ):
+        assert ("novel", text.index(key), text.index(key) + 24) in secrets.spans(text), text
+    taken = f"credential 0123456789abcdef {key}"
+    assert ("novel", taken.index(key), len(taken)) in secrets.spans(taken)
+
+
+def test_a_candidate_of_two_words_is_measured_once(monkeypatch):
+    key, seen = random_string(7, 24), []
+    monkeypatch.setattr(secrets, "novelty", lambda candidate, around: seen.append(candidate) or 1.0)
+    assert [s[0] for s in secrets.spans(f"secret auth token {key}")] == ["novel"]
+    assert seen == [key]

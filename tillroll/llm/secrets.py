@@ -1,9 +1,9 @@
 """Secret scans: three base patterns, and novelty against a primed zstandard compressor.
 
-A candidate is a long token shortly after a sensitive word. Its novelty is what it adds to the
-compressed size of the code before it, with a dictionary of identifiers and that code as prefix:
-names and repeated text cost little, random strings nearly all their bytes. Candidates that stay
-incompressible are reported.
+A candidate is a long token shortly after a sensitive word; all in reach are measured. Its novelty
+is what it adds to the compressed size of the code before it, with a dictionary of identifiers and
+that code as prefix: names and repeated text cost little, random strings nearly all their bytes.
+Candidates that stay incompressible are reported.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
-#: A sensitive word, and a candidate that begins within REACH characters of its end.
+#: A sensitive word, and the candidates that begin within REACH characters of its end.
 _SENSITIVE = re.compile(
     r"(?i:passw(?:or)?d|passphrase|secret|token|api_?key|credential|private_?key|access_?key|auth)",
     re.ASCII,
@@ -83,19 +83,21 @@ def novel_spans(text: str, taken: list[Span], least: float = LEAST_NOVELTY) -> l
     """Candidates with a novelty of at least `least` that touch no span already taken."""
     found: list[Span] = []
     busy = [(start, end) for _, start, end in taken]
-    seen = -1
+    seen: set[int] = set()
     for word in _SENSITIVE.finditer(text):
-        match = _CANDIDATE.search(text, word.end(), word.end() + REACH + 1)
-        if not match or match.start() <= seen:
-            continue
-        match = _CANDIDATE.match(text, match.start())  # past the reach as well
-        seen = start = match.start()
-        end = match.end()
-        if any(a < end and start < b for a, b in busy):
-            continue
-        around = text[max(0, start - AROUND) : start] + " " + text[end : end + AROUND]
-        if novelty(match[0], around) >= least:
-            found.append(("novel", start, end))
+        at = word.end()
+        while match := _CANDIDATE.search(text, at, word.end() + REACH + 1):
+            match = _CANDIDATE.match(text, match.start())  # past the reach as well
+            start, end = match.span()
+            at = end
+            if start in seen:
+                continue
+            seen.add(start)
+            if any(a < end and start < b for a, b in busy):
+                continue
+            around = text[max(0, start - AROUND) : start] + " " + text[end : end + AROUND]
+            if novelty(match[0], around) >= least:
+                found.append(("novel", start, end))
     return found
 
 
