@@ -83,3 +83,13 @@ def test_a_candidate_of_two_words_is_measured_once(monkeypatch):
     monkeypatch.setattr(secrets, "novelty", lambda candidate, around: seen.append(candidate) or 1.0)
     assert [s[0] for s in secrets.spans(f"secret auth token {key}")] == ["novel"]
     assert seen == [key]
+
+
+def test_the_reach_counts_to_the_start_of_a_candidate():
+    key = random_string(9, 24)
+    for gap, found in ((1, 1), (32, 1), (33, 1), (34, 1), (47, 1), (48, 1), (49, 0)):
+        for size in (16, 24):
+            text = f"credential{' ' * gap}{key[:size]} and on"
+            assert secrets.spans(text) == [("novel", 10 + gap, 10 + gap + size)] * found, (gap, size)
+    text = f"credential at https://vault.example.com/v1 is {key}"
+    assert ("novel", text.index(key), len(text)) in secrets.spans(text)

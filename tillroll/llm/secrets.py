@@ -29,7 +29,8 @@ _SENSITIVE = re.compile(
     r"(?i:passw(?:or)?d|passphrase|secret|token|api_?key|credential|private_?key|access_?key|auth)",
     re.ASCII,
 )
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
+LENGTH = 16
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.-]{{{LENGTH},}}")
 REACH = 48
 #: Characters of surrounding text that prime the compressor.
 AROUND = 512
@@ -86,8 +87,9 @@ def novel_spans(text: str, taken: list[Span], least: float = LEAST_NOVELTY) -> l
     seen: set[int] = set()
     for word in _SENSITIVE.finditer(text):
         at = word.end()
-        while match := _CANDIDATE.search(text, at, word.end() + REACH + 1):
-            match = _CANDIDATE.match(text, match.start())  # past the reach as well
+        # The cut lets a candidate at the end of the reach show its first LENGTH characters.
+        while match := _CANDIDATE.search(text, at, word.end() + REACH + LENGTH):
+            match = _CANDIDATE.match(text, match.start())  # past the cut as well
             start, end = match.span()
             at = end
             if start in seen:
