@@ -93,3 +93,23 @@ def test_the_reach_counts_to_the_start_of_a_candidate():
             assert secrets.spans(text) == [("novel", 10 + gap, 10 + gap + size)] * found, (gap, size)
     text = f"credential at https://vault.example.com/v1 is {key}"
     assert ("novel", text.index(key), len(text)) in secrets.spans(text)
+
+
+def test_random_strings_of_few_letters_are_novel_at_any_length():
+    upper = string.ascii_uppercase
+    for alphabet in ("0123456789ABCDEF", upper + "234567", string.digits, upper, string.ascii_letters + "01+/"):
+        for n in (16, 60, 61, 63, 64, 80, 128, 256, 400, 2000):
+            for seed in range(5):
+                key = random_string(seed, n, alphabet)
+                assert secrets.novelty(key, "the credential is ") >= secrets.LEAST_NOVELTY, (alphabet, n)
+    key = random_string(3, 128, "0123456789ABCDEF")
+    assert secrets.spans(f"the credential is {key} for now") == [("novel", 18, 146)]
+
+
+def test_long_names_and_repeats_are_not_novel():
+    key = random_string(4, 200, "0123456789ABCDEF")
+    assert secrets.novelty(key, f"said before: {key}.") < 0.3
+    assert secrets.novelty(key[:40] * 20, "") < 0.3
+    assert secrets.novelty("=" * 100, "") < 0.3 and secrets.novelty("ab" * 500, "") < 0.3
+    name = "credential_default_configuration_value_for_database_connection_string_environment_variable"
+    assert secrets.novelty(name, "") < 0.6

@@ -36,6 +36,11 @@ REACH = 48
 AROUND = 512
 #: Marginal compressed bytes for each byte of a candidate from which on it is reported.
 LEAST_NOVELTY = 0.75
+#: From 64 bytes on zstandard codes the literals of a block by entropy, and a random string of few
+#: different letters gets cheap by its length. Longer candidates go in as blocks of PIECE at most.
+PIECE = 60
+#: Bytes of the header that each block has.
+BLOCK_HEADER = 3
 
 #: Identifiers that code around credentials uses.
 IDENTIFIERS = (
@@ -69,7 +74,7 @@ def ordered(spans: list[Span]) -> list[Span]:
 
 
 def novelty(candidate: str, around: str) -> float:
-    """Compressed bytes that a candidate adds for each of its bytes."""
+    """Compressed bytes that a candidate adds for each of its bytes, headers of blocks left out."""
     known = zstandard.ZstdCompressionDict(
         (IDENTIFIERS + around).encode(errors="replace"), dict_type=zstandard.DICT_TYPE_RAWCONTENT
     )
@@ -77,7 +82,16 @@ def novelty(candidate: str, around: str) -> float:
         level=9, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False
     )
     own = candidate.encode()
-    return (len(compressor.compress(own)) - len(compressor.compress(b""))) / len(own)
+    empty = len(compressor.compress(b""))
+    if len(own) <= PIECE:
+        return (len(compressor.compress(own)) - empty) / len(own)
+    blocks = compressor.compressobj(size=len(own))  # each block still refers to all before it
+    piece = -(-len(own) // -(-len(own) // PIECE))
+    cost = -empty
+    for at in range(0, len(own), piece):
+        cost += len(blocks.compress(own[at : at + piece])) - BLOCK_HEADER
+        cost += len(blocks.flush(zstandard.COMPRESSOBJ_FLUSH_BLOCK))
+    return (cost + len(blocks.flush())) / len(own)
 
 
 def novel_spans(text: str, taken: list[Span], least: float = LEAST_NOVELTY) -> list[Span]:
