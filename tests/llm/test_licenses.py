@@ -1,4 +1,5 @@
 import random
+import re
 from itertools import combinations
 
 from tests.llm.conftest import clashing, prose, table
@@ -72,3 +73,47 @@ def test_over_a_table(spark, odd_texts):
     result = licenses.licenses(clashing(table(spark, texts))).orderBy("doc_id").collect()
     assert [[m.license for m in r.licenses] for r in result] == [[]] * len(odd_texts) + [["GPL-3.0-line"]]
     assert licenses.licenses(table(spark, [])).collect() == []
+
+
+def family(name):
+    """A license without the form in which its notice is written."""
+    kinds = "line|short|long|number|of|only|dot|v|named|expat|x11|notice"
+    while re.search(rf"-({kinds})$", name):
+        name = re.sub(rf"-({kinds})$", "", name)
+    return name
+
+
+def test_each_notice_is_found_under_its_own_name_only():
+    scanner = licenses.Scanner(OWN)
+    for name, notice in OWN.items():
+        text = f"{prose(3, 20)} {notice} {prose(4, 20)}"
+        found = {m["license"] for m in scanner.scan(text.encode(), 0.8)}
+        assert name in found and {family(n) for n in found} == {family(name)}, (name, found)
+
+
+def test_siblings_are_not_taken_for_each_other():
+    work = "This work is licensed under"
+    for text, found in (
+        ("Released under the BSD License.", ["BSD-line"]),
+        (f"{work} the GNU General Public License, version 2.", ["GPL-2.0-line"]),
+        (f"{work} the GNU Lesser General Public License, version 3.", ["LGPL-3.0-line"]),
+        (f"{work} the GNU General Public License, version 9.", ["GPL-any-line"]),
+        ("Licensed under CC BY 4.0.", ["CC-BY-4.0-short"]),
+        ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0-short"]),
+        (f"{work} a Creative Commons Attribution-NonCommercial 4.0 International License.", ["CC-BY-NC-4.0-long"]),
+        (f"{work} a Creative Commons Attribution 3.0 Unported License.", ["CC-BY-3.0-long"]),
+        ("Licensed under the Apache License, Version 1.1.", ["Apache-1.1-line"]),
+        ("Released under the Foo License.", []),
+        ("Released under the MIT and not the BSD License.", ["BSD-line"]),
+    ):
+        assert names(text) == found, text
+
+
+def test_telling_words_do_not_hide_edited_notices():
+    assert names("Licensed under the terms of the MIT License.") == ["MIT-line"]
+    assert names("The MIT License is short. Released under the MIT License.") == ["MIT-line"]
+    assert names("This work is licensed under GNU General Public License v3.0") == ["GPL-3.0-short"]
+    lesser = OWN["GPL-3.0"].replace("General", "Lesser General")
+    assert names(lesser) == ["LGPL-3.0"]
+    assert names(" ".join([OWN["GPL-3.0"], OWN["GPL-2.0"]])) == ["GPL-3.0", "GPL-2.0"]
+    assert names("gnu general public license " * 3000) == []
