@@ -1,12 +1,14 @@
 """Registered queries against DuckDB on the smallest tables."""
 
+import hashlib
 from pathlib import Path
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
-from tillroll.catalog import QUERIES
+from tillroll.catalog import QUERIES, _digests
+from tillroll.sources import ingest, tables
 
 FOLDER = Path("/root/testdata/sf0.001")
 TABLES = ("lineitem", "orders", "part", "supplier", "nation")
@@ -52,3 +54,12 @@ def test_same_rows_as_duckdb(spark, duck, name):
 
 def test_entry_returns_ten_segments(spark):
     assert entry_point.entry(spark).count() == 10
+
+
+def test_load_log_registers_the_digest_of_the_whole_file(spark):
+    path = FOLDER / "lineitem.parquet"
+    entry = ingest.load_entry(tables.raw_lines(spark, str(FOLDER)), _digests(spark, str(FOLDER)), "this load")
+    (row,) = entry.collect()
+    assert row.sha256 == hashlib.sha256(path.read_bytes()).hexdigest()
+    (logged,) = QUERIES["load_log"](spark, str(FOLDER)).collect()
+    assert (logged.name, logged.rows, logged.has_digest) == (row["name"], row.rows, True)
