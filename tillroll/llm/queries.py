@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, exact, language, licenses, lines, ngram_join, oracles, secrets, sentences, suffix
+from tillroll.llm import (
+    bpe, decontaminate, exact, language, licenses, lines, ngram_join, oracles, quality, secrets, sentences, suffix,
+)
 from tillroll.llm.common import read, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +174,11 @@ def op10_byte_bpe(spark, folder):
         sha256(F.array_join(ids.cast("array<string>"), " ")).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op13_quality(spark, folder):
+    docs = read(spark, folder, "documents")
+    trees = quality.train(docs, read(spark, folder, "labels"))
+    found = quality.predict(docs.select("doc_id", "text"), trees)
+    return found.select("doc_id", language.in_fold(F.col("doc_id")).alias("held_out"), "quality.*")
