@@ -85,3 +85,51 @@ SELECT s.doc_id, k.class_id, k.class_size, k.n_links,
 FROM sets s JOIN spoken w USING (doc_id)
 JOIN known k ON k.grams = CASE WHEN len(w.ws) = 0 THEN [] ELSE s.grams END
 """
+
+#: crc32 is folded bit by bit; a prefix is named by the joined digests of its turns.
+PREFIX_TRIE = """
+WITH turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos, digest, words
+    FROM (SELECT conv_id, turn,
+                 sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+                 len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words
+          FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS family,
+           xor(list_reduce(list_prepend(4294967295::BIGINT,
+                   list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+               lambda acc, x: list_reduce(list_prepend(xor(acc, x), range(8)),
+                   lambda a, k: xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295::BIGINT) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+    SELECT c.conv_id, row_number() OVER (PARTITION BY c.conv_id ORDER BY part, t.pos) AS pos, digest, words
+    FROM convs c JOIN (SELECT 0 AS part, * FROM turns UNION ALL SELECT 1, * FROM turns) t
+      ON (part = 0 AND t.conv_id = c.family AND t.pos <= c.h) OR (part = 1 AND t.conv_id = c.conv_id AND t.pos > c.h)
+), prefixes AS (
+    SELECT conv_id, pos AS depth, words,
+           string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY pos) AS name,
+           pos = count(*) OVER (PARTITION BY conv_id) AS ended
+    FROM rebuilt
+    UNION ALL
+    SELECT conv_id, 0, 0, '', conv_id NOT IN (SELECT conv_id FROM rebuilt) FROM convs
+), nodes AS (
+    SELECT depth, sha256(name) AS name, min(conv_id) AS conv_id, count(*) AS n_convs, min(words) AS words,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256
+    FROM prefixes GROUP BY depth, name
+), named AS (
+    SELECT p.conv_id AS member, n.* FROM prefixes p JOIN nodes n ON n.depth = p.depth AND n.name = sha256(p.name)
+), paths AS (
+    SELECT below.depth, below.conv_id, below.n_convs, below.words, above.depth AS up_depth, above.conv_id AS up_id
+    FROM nodes below JOIN named above ON above.member = below.conv_id AND above.depth <= below.depth
+), children AS (
+    SELECT up_id AS conv_id, up_depth AS depth, count(*) AS n_children FROM paths WHERE depth = up_depth + 1 GROUP BY ALL
+), sums AS (
+    SELECT up_id AS conv_id, up_depth AS depth, count(*) FILTER (n_children IS NULL) AS n_leaves,
+           sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+    FROM paths LEFT JOIN children USING (conv_id, depth) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.up_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children,
+       s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s USING (conv_id, depth) LEFT JOIN children c USING (conv_id, depth)
+LEFT JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth AND p.up_depth = n.depth - 1
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import (
     bpe, decontaminate, exact, language, licenses, lines, ngram_join, oracles, quality, secrets, sentences, suffix,
+    trie,
 )
 from tillroll.llm.common import read, text_or_empty
 
@@ -176,6 +177,11 @@ def op10_byte_bpe(spark, folder):
     )
 
 
+@query(oracles.PREFIX_TRIE)
+def op12_prefix_trie(spark, folder):
+    return trie.conversation_trie(read(spark, folder, "conversations"))
+
+
 @query()
 def op13_quality(spark, folder):
     docs = read(spark, folder, "documents")
