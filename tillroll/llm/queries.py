@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
-    bpe, decontaminate, exact, language, licenses, lines, ngram_join, oracles, quality, secrets, sentences, suffix,
-    trie,
+    align, bpe, decontaminate, exact, language, licenses, lines, ngram_join, oracles, quality, secrets, sentences,
+    suffix, trie,
 )
 from tillroll.llm.common import read, text_or_empty
 
@@ -177,6 +177,14 @@ def op10_byte_bpe(spark, folder):
     )
 
 
+@query()
+def op11_token_alignment(spark, folder):
+    docs = read(spark, folder, "documents")
+    return align.align_documents(
+        docs, keep=lambda groups: F.when(groups == "", "").otherwise(sha256(groups))
+    ).withColumnRenamed("groups", "groups_sha256")
+
+
 @query(oracles.PREFIX_TRIE)
 def op12_prefix_trie(spark, folder):
     return trie.conversation_trie(read(spark, folder, "conversations"))
