@@ -1,8 +1,9 @@
 """One run: build every table, check it, and publish it only when all checks and row rules hold.
 
-Tables are written under a run id and nothing is overwritten. The manifest, a table that only
-grows, names the runs that passed; readers take its newest row. A failed run is never named,
-so the last good one stays current, and its check results stay in its folder for diagnosis.
+Tables are written under a run id and nothing is overwritten. A commit log (see commits.py) names
+the runs that passed, in one order whatever the clocks of their drivers; readers take its newest
+entry. A failed run is never named, so the last good one stays current, and its check results stay
+in its folder for diagnosis until remove_unpublished takes it away.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.commits import Commit, CommitLog
 from tillroll.params import Parameters
 from tillroll.plans.layers import Layers
 from tillroll.plans.quality import check_quality, check_rules
@@ -122,9 +124,15 @@ def process(
     params: Parameters,
     root: str,
     known_anomalies: DataFrame | None = None,
+    after: int | None = None,
 ) -> Run:
     """Raw lines to published tables. Raises QualityError, and publishes nothing, when a check
-    fails or a row breaks a rule of its table. A cell that does not parse fails the job."""
+    fails or a row breaks a rule of its table. A cell that does not parse fails the job.
+
+    Runs that publish at the same time are ordered by the numbers of their commits. With `after`
+    (the number of the last run that the caller knows of) a run is refused with CommitConflict
+    if another one was published since.
+    """
     spark = raw.sparkSession
     run = Run(spark, root, uuid.uuid4().hex)
     layers = run_layers(raw, codes, params, run)
@@ -142,23 +150,33 @@ def process(
         listed = [f"{r.check}: expected {r.expected}, obtained {r.obtained}" for r in failed]
         listed += [f"{r.table}, {r.rule}: {r.violations} rows" for r in broken]
         raise QualityError(f"run {run.run_id} not published: {'; '.join(listed)}")
-    publish(run)
+    publish(run, after)
     return run
 
 
-def publish(run: Run) -> None:
-    """Append the run to the manifest: one small file, visible all at once or not at all."""
-    names = F.array(*[F.lit(name) for name in (*TABLES, *REFERENCE_TABLES, "quality", "row_rules")])
-    entry = run.spark.range(1).select(
-        F.lit(run.run_id).alias("run_id"),
-        F.current_timestamp().alias("published_at"),
-        names.alias("tables"),
-    )
-    entry.coalesce(1).write.mode("append").parquet(f"{run.root}/manifest")
+def log(spark: SparkSession, root: str) -> CommitLog:
+    return CommitLog(spark, f"{root}/published")
+
+
+def publish(run: Run, after: int | None = None) -> Commit:
+    """Enter the run in the commit log: one small file, visible all at once or not at all."""
+    names = (*TABLES, *REFERENCE_TABLES, "quality", "row_rules")
+    return log(run.spark, run.root).commit(run.run_id, {"tables": ",".join(names)}, after)
 
 
 def current(spark: SparkSession, root: str) -> Run:
     """The newest published run."""
-    manifest = spark.read.parquet(f"{root}/manifest")
-    newest = manifest.agg(F.max_by("run_id", F.struct("published_at", "run_id")).alias("run_id"))
-    return Run(spark, root, newest.first().run_id)
+    newest = log(spark, root).newest()
+    if newest is None:
+        raise LookupError(f"no run is published below {root}")
+    return Run(spark, root, newest.id)
+
+
+def published(spark: SparkSession, root: str) -> DataFrame:
+    """number, run_id, committed_at, facts: every published run."""
+    return log(spark, root).entries().withColumnRenamed("id", "run_id")
+
+
+def remove_unpublished(spark: SparkSession, root: str, older_than_hours: float = 7 * 24) -> list[str]:
+    """Removes the folders of runs that were refused or broke off, and wrote nothing for so long."""
+    return log(spark, root).remove_uncommitted(f"{root}/runs", older_than_hours)

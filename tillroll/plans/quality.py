@@ -234,11 +234,11 @@ def _constants(frame: DataFrame) -> DataFrame:
 
 
 def last_load_lines(load_log: DataFrame) -> DataFrame:
-    """Lines recorded by the latest load, over all its files."""
-    per_load = load_log.groupBy("load_id").agg(
-        F.sum("rows").alias("rows"), F.max("loaded_at").alias("loaded_at")
-    )
-    return per_load.agg(F.max_by("rows", F.struct("loaded_at", "load_id")).alias("rows"))
+    """Lines recorded by the latest load, over all its files: the one with the highest number, or
+    the latest time in a registry without numbers."""
+    place = "number" if "number" in load_log.columns else "loaded_at"
+    per_load = load_log.groupBy("load_id").agg(F.sum("rows").alias("rows"), F.max(place).alias("place"))
+    return per_load.agg(F.max_by("rows", F.struct("place", "load_id")).alias("rows"))
 
 
 def check_quality(

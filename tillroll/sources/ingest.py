@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tillroll.commits import CommitLog
 from tillroll.params import Batches
 from tillroll.schemas import RAW_COLUMNS, SOURCE_TITLES
 
@@ -172,7 +173,7 @@ def load(
 ) -> DataFrame:
     """Read, check, write under a new load id, then register. Returns the stored raw lines.
 
-    Readers find the newest load through the registry, so a load that fails half-way leaves
+    Readers find the newest load through the commit log, so a load that fails half-way leaves
     the previous one in place, and loading twice gives the same result.
     """
     if expected:
@@ -181,25 +182,36 @@ def load(
     return register(raw, file_digests(spark, list(paths.values())), root)
 
 
+def commits(spark: SparkSession, root: str) -> CommitLog:
+    return CommitLog(spark, f"{root}/loads")
+
+
 def register(raw: DataFrame, digests: DataFrame, root: str) -> DataFrame:
-    """Write raw lines under a new load id and enter their files; returns the stored lines."""
-    load_id = uuid.uuid4().hex
+    """Write raw lines under a new load id, enter their files, and commit the load; returns the
+    stored lines. Loads at the same time are ordered by the numbers of their commits."""
+    spark, load_id = raw.sparkSession, uuid.uuid4().hex
     target = f"{root}/raw/{load_id}"
     raw.write.parquet(target)
-    stored = raw.sparkSession.read.schema(raw.schema).parquet(target)
+    stored = spark.read.schema(raw.schema).parquet(target)
     load_entry(raw, digests, load_id).coalesce(1).write.mode("append").parquet(f"{root}/load_log")
+    commits(spark, root).commit(load_id)
     return stored
 
 
 def load_log(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/load_log")
+    """Registry rows of the committed loads, with the number of each load's commit."""
+    known = commits(spark, root).entries().select(F.col("id").alias("load_id"), "number")
+    return spark.read.parquet(f"{root}/load_log").join(known, "load_id")
 
 
 def current_raw(spark: SparkSession, root: str) -> DataFrame:
     """Raw lines of the newest load."""
-    newest = load_log(spark, root).agg(
-        F.max_by("load_id", F.struct("loaded_at", "load_id")).alias("load_id")
-    )
-    return spark.read.parquet(f"{root}/raw/{newest.first().load_id}")
+    newest = commits(spark, root).newest()
+    if newest is None:
+        raise LookupError(f"nothing is loaded below {root}")
+    return spark.read.parquet(f"{root}/raw/{newest.id}")
 
 
+def remove_unloaded(spark: SparkSession, root: str, older_than_hours: float = 7 * 24) -> list[str]:
+    """Removes the raw lines of loads that broke off and wrote nothing for so long."""
+    return commits(spark, root).remove_uncommitted(f"{root}/raw", older_than_hours)
