@@ -935,6 +935,16 @@ def invariants_sql() -> str:
 
 SELECTS["invariants"] = invariants_sql()
 
+SELECTS["rejected_rows"] = """
+  SELECT 'clean_line' AS "table",
+    '{"sheet":"' || sheet || '","invoice":"' || invoice || '","stock_code":"' || stock_code
+      || '","quantity":' || quantity || '}' AS key,
+    concat_ws('; ', CASE WHEN invoice LIKE 'C%' THEN 'invoice format' END,
+      CASE WHEN customer_id < 10050 THEN 'customer range' END) AS rules
+  FROM clean WHERE invoice LIKE 'C%' OR customer_id < 10050
+  UNION ALL
+  SELECT 'orders', '{"invoice":"' || invoice || '"}', 'is a sale' FROM ord WHERE kind <> 'sale'"""
+
 
 def _json_text(column: str) -> str:
     """A column as JSON: dates and text in quotes, numbers without idle zeros."""

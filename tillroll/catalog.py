@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import money
 from tillroll.functions.labels import money_label, month_label
+from tillroll.functions.predicates import SALE
 from tillroll.operators import churn, clv, cohorts, duplicates, measurements
 from tillroll.operators import clean as cleaning
 from tillroll.operators.metrics import FactSpec, customer_metrics
@@ -459,6 +461,20 @@ def invariants(spark, folder):
     )
 
 
+@query
+def rejected_rows(spark, folder):
+    """The lines and orders that a shop would reject which takes nothing back and whose customer
+    numbers begin at 10,050."""
+    strict = replace(PARAMS.formats, invoice=r"A?[0-9]{6,}", customer_id_range=(10_050, 10**12))
+    layers = _layers(spark, folder)
+    rules = quality.table_rules(PARAMS.with_(formats=strict))
+    lines = replace(rules["clean_line"], key=("sheet", "invoice", "stock_code", "quantity"))
+    orders = replace(rules["orders"], rules=[*quality.order_rules(), ("is a sale", F.col("kind") == SALE)])
+    found = quality.rejected_rows(lines, layers.clean_line)
+    found = found.unionByName(quality.rejected_rows(orders, layers.orders))
+    return found.withColumn("rules", F.array_join("rules", "; "))
+
+
 @query
 def headline(spark, folder):
     layers, checked = _checked(spark, folder)

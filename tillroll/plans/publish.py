@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tillroll.commits import Commit, CommitLog
 from tillroll.params import Parameters
 from tillroll.plans.layers import Layers
-from tillroll.plans.quality import check_quality, check_rules
+from tillroll.plans.quality import Counted, Watch, check_quality, check_rules, rejected_rows, table_rules
 from tillroll.workspace import Workspace
 from tillroll.reference_data import parameter_table, segment_map, segments
 
@@ -44,21 +45,39 @@ class QualityError(RuntimeError):
 
 
 class Run(Workspace):
-    """The tables of one run, below <root>/runs/<run id>."""
+    """The tables of one run, below <root>/runs/<run id>. Row rules are counted while a table that
+    has some is written; `counted` has what was found."""
 
-    def __init__(self, spark: SparkSession, root: str, run_id: str):
+    def __init__(self, spark: SparkSession, root: str, run_id: str, params: Parameters | None = None):
         self.spark = spark
         self.root, self.run_id = root, run_id
         self.folder = f"{root}/runs/{run_id}"
+        self.params = params
+        self.rules = table_rules(params) if params else {}
+        self.counted: dict[str, Counted] = {}
 
     def store(self, frame: DataFrame, name: str) -> DataFrame:
         if name in SORTED_BY:
             frame = frame.sortWithinPartitions(SORTED_BY[name])
-        return super().store(frame, name)
+        if name not in self.rules:
+            return super().store(frame, name)
+        watch = Watch(self.rules[name], self.params)
+        stored = super().store(watch.on(frame), name)
+        self.counted[name] = watch.counted()
+        return stored
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def reject(self) -> int:
+        """Writes the rows that break a rule, with the names of the rules, as rejected_rows; how
+        many there are. Reads only tables with such rows."""
+        broken = [n for n, own in self.counted.items() if any(own.violations.values())]
+        if not broken:
+            return 0
+        parts = [rejected_rows(self.rules[name], self.table(name)) for name in sorted(broken)]
+        return self.store(reduce(DataFrame.unionByName, parts), "rejected_rows").count()
+
 
 def run_layers(raw: DataFrame, codes: DataFrame, params: Parameters, run: Workspace) -> Layers:
     """Layers that write each published table once; later ones read the stored tables."""
@@ -80,9 +99,14 @@ def quality_of(
         params=layers.params,
         known_anomalies=known_anomalies,
         overlap_from=layers.overlap_from,
+        counted=_counted(layers),
     )
 
 
+def _counted(layers: Layers) -> dict[str, Counted]:
+    return layers.workspace.counted if isinstance(layers.workspace, Run) else {}
+
+
 def rules_of(layers: Layers) -> DataFrame:
     return check_rules(
         lines=layers.clean_line,
@@ -94,6 +118,7 @@ def rules_of(layers: Layers) -> DataFrame:
         clv_validation_customer=layers.clv_validation_customer,
         clv_validation=layers.clv_validation,
         params=layers.params,
+        counted=_counted(layers),
     )
 
 
@@ -134,7 +159,7 @@ def process(
     if another one was published since.
     """
     spark = raw.sparkSession
-    run = Run(spark, root, uuid.uuid4().hex)
+    run = Run(spark, root, uuid.uuid4().hex, params)
     layers = run_layers(raw, codes, params, run)
     build(layers)
     run.store(parameter_table(spark, params), "parameter")
@@ -149,6 +174,8 @@ def process(
     if failed or broken:
         listed = [f"{r.check}: expected {r.expected}, obtained {r.obtained}" for r in failed]
         listed += [f"{r.table}, {r.rule}: {r.violations} rows" for r in broken]
+        if rejected := run.reject():
+            listed.append(f"{rejected} rows listed in {run.path('rejected_rows')}")
         raise QualityError(f"run {run.run_id} not published: {'; '.join(listed)}")
     publish(run, after)
     return run

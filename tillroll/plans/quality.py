@@ -1,14 +1,18 @@
 """The eighteen checks across layers, and the row rules of each table.
 
 Checks over one table are aggregates of one pass. Each pass gives rows (check, side, text);
-the sides meet in a final grouping of a few dozen rows, so no table is joined with another.
+the sides meet in a final grouping of a few dozen rows, so no table is joined with another. Row
+rules and the checks over single clean lines are counted by the job that writes the table; only
+when a rule is broken is the table read again, for the rows that break it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillroll.functions import money
@@ -114,25 +118,37 @@ def _anomaly_checks(
     return _facts(odd, [("clean_new_anomalies", OBTAINED, total)])
 
 
-def _clean_checks(lines: DataFrame, params: Parameters) -> DataFrame:
-    """Every check over single lines, in one pass. A code that is a product by the list but does
-    not look like one is counted once."""
-    traded = F.col("kind").isin(SALE, CANCEL)
+def _odd_code(params: Parameters) -> Column:
+    """A code that is a product by the list but does not look like one."""
     formats, code = params.formats, F.col("stock_code")
     odd = F.col("is_product") & ~matches(code, formats.product_code)
     for prefix in formats.product_code_prefixes:
         odd = odd & ~code.startswith(prefix)
-    odd = odd & ~code.isin(*formats.product_code_exceptions)
-    return _facts(
-        lines,
-        [
-            ("clean_lines", OBTAINED, F.count(F.lit(1))),
-            ("clean_value_conserved", OBTAINED, _sum3(F.col("value"))),
-            ("clean_ambiguous_hour", OBTAINED, F.count_if(F.hour("ts_local") == 1)),
-            ("orders_sum_to_clean", EXPECTED, _sum3(F.when(traded, F.col("value")))),
-            ("clean_unclassified_codes", OBTAINED, F.count_distinct(F.when(odd, code))),
-        ],
-    )
+    return odd & ~code.isin(*formats.product_code_exceptions)
+
+
+def clean_sides() -> list[tuple[str, str, Column]]:
+    """Every check over single lines that adds up over the parts of a table."""
+    traded = F.col("kind").isin(SALE, CANCEL)
+    return [
+        ("clean_lines", OBTAINED, F.count(F.lit(1))),
+        ("clean_value_conserved", OBTAINED, _sum3(F.col("value"))),
+        ("clean_ambiguous_hour", OBTAINED, F.count_if(F.hour("ts_local") == 1)),
+        ("orders_sum_to_clean", EXPECTED, _sum3(F.when(traded, F.col("value")))),
+    ]
+
+
+def _clean_checks(lines: DataFrame, params: Parameters, counted: Counted | None) -> DataFrame:
+    """Every check over single lines, in one pass, or as counted when the lines were written. An
+    odd code is counted once, however many lines have it; that takes a pass only if there are any."""
+    codes = ("clean_unclassified_codes", OBTAINED, F.count_distinct(F.when(_odd_code(params), F.col("stock_code"))))
+    if counted is None:
+        return _facts(lines, [*clean_sides(), codes])
+    rows = [(check, side, counted.sides[check]) for check, side, _ in clean_sides()]
+    if not counted.odd_lines:
+        rows.append((*codes[:2], "0"))
+    known = literal_table(lines.sparkSession, "check string, side string, value string", rows)
+    return known.unionByName(_facts(lines, [codes])) if counted.odd_lines else known
 
 
 def _invoice_checks(invoices: DataFrame) -> DataFrame:
@@ -254,8 +270,10 @@ def check_quality(
     params: Parameters,
     known_anomalies: DataFrame | None = None,
     overlap_from: Column | None = None,
+    counted: Mapping[str, Counted] | None = None,
 ) -> DataFrame:
-    """check, layer, description, expected, obtained, ok: one row per check."""
+    """check, layer, description, expected, obtained, ok: one row per check. `counted` holds what
+    was counted while tables were written."""
     start = overlap_start(raw, params.batches) if overlap_from is None else overlap_from
     load = _facts(
         last_load_lines(load_log), [("raw_lines_of_last_load", EXPECTED, F.max("rows"))]
@@ -273,7 +291,7 @@ def check_quality(
         load,
         overlap,
         _raw_checks(raw, params, start),
-        _clean_checks(lines, params),
+        _clean_checks(lines, params, (counted or {}).get("clean_line")),
         _anomaly_checks(invoices, params, known_anomalies),
         _invoice_checks(invoices),
         _order_checks(orders, customer),
@@ -312,23 +330,83 @@ def check_quality(
 Rules = list[tuple[str, Column]]
 
 
-def _violations(table: str, frame: DataFrame, rules: Rules, required: tuple[str, ...]) -> DataFrame:
-    """Rows that break each rule, in one pass. A rule that is NULL is not broken."""
-    entries = [(rule, F.count_if(~holds)) for rule, holds in rules]
-    if required:
-        missing = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in required])
-        entries.append(("required columns are filled", F.count_if(missing)))
-    names = [f"c{i}" for i in range(len(entries))]
-    totals = frame.agg(*[value.alias(n) for n, (_, value) in zip(names, entries)])
+@dataclass(frozen=True)
+class TableRules:
+    """The row rules of one table. A rule that is NULL is not broken."""
+
+    table: str
+    key: tuple[str, ...]
+    rules: Rules
+    required: tuple[str, ...] = ()
+
+    def broken(self) -> list[tuple[str, Column]]:
+        """Each rule's name, and whether a row breaks it."""
+        entries = [(rule, F.coalesce(~holds, F.lit(False))) for rule, holds in self.rules]
+        if self.required:
+            missing = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in self.required])
+            entries.append(("required columns are filled", missing))
+        return entries
+
+
+@dataclass
+class Counted:
+    """What was counted of a table in the job that wrote it: rows that break each rule; of the
+    clean lines also the sides of checks, and the lines with an odd code."""
+
+    violations: dict[str, int]
+    sides: dict[str, str | None] = field(default_factory=dict)
+    odd_lines: int = 0
+
+
+class Watch:
+    """Counts a table's broken rules and checks while the table is written.
+
+    The counters stand on top of the plan, in the tasks that write; a task's counts are taken once,
+    when it is done, so tasks that are lost and run again do not count twice.
+    """
+
+    def __init__(self, rules: TableRules, params: Parameters):
+        self.rules, self.seen = rules, Observation(f"rules of {rules.table}")
+        self.names = [name for name, _ in rules.broken()]
+        self.counters = [F.count_if(x).alias(f"rule{i}") for i, (_, x) in enumerate(rules.broken())]
+        self.sides = [check for check, _, _ in clean_sides()] if rules.table == "clean_line" else []
+        if self.sides:
+            self.counters += [_text(value).alias(check) for check, _, value in clean_sides()]
+            self.counters.append(F.count_if(_odd_code(params)).alias("odd"))
+
+    def on(self, frame: DataFrame) -> DataFrame:
+        return frame.observe(self.seen, *self.counters)
+
+    def counted(self) -> Counted:
+        """Waits for the job that wrote the table."""
+        found = self.seen.get
+        violations = {name: found[f"rule{i}"] for i, name in enumerate(self.names)}
+        return Counted(violations, {check: found[check] for check in self.sides}, found.get("odd", 0))
+
+
+def _violations(rules: TableRules, frame: DataFrame, counted: Mapping[str, Counted]) -> DataFrame:
+    """Rows that break each rule: as counted when the table was written, or in one pass."""
+    if rules.table in counted:
+        rows = [(rules.table, rule, n) for rule, n in counted[rules.table].violations.items()]
+        return literal_table(frame.sparkSession, "table string, rule string, violations bigint", rows)
+    names = [f"c{i}" for i in range(len(rules.broken()))]
+    totals = frame.agg(*[F.count_if(x).alias(n) for n, (_, x) in zip(names, rules.broken())])
     rows = [
-        F.struct(
-            F.lit(table).alias("table"), F.lit(rule).alias("rule"), F.col(n).alias("violations")
-        )
-        for n, (rule, _) in zip(names, entries)
+        F.struct(F.lit(rules.table).alias("table"), F.lit(rule).alias("rule"), F.col(n).alias("violations"))
+        for n, (rule, _) in zip(names, rules.broken())
     ]
     return totals.select(F.inline(F.array(*rows)))
 
 
+def rejected_rows(rules: TableRules, frame: DataFrame) -> DataFrame:
+    """table, key (the key's columns as JSON text), rules: the rows that break a rule, and the names
+    of all rules that each of them breaks, in order."""
+    names = F.array_compact(F.array(*[F.when(x, F.lit(rule)) for rule, x in rules.broken()]))
+    key = F.to_json(F.struct(*rules.key), {"ignoreNullFields": "false"})
+    found = frame.select(F.lit(rules.table).alias("table"), key.alias("key"), names.alias("rules"))
+    return found.filter(F.size("rules") > 0)
+
+
 def _repeated_keys(table: str, frame: DataFrame, key: tuple[str, ...]) -> DataFrame:
     groups = repeated_rows(frame.select(*key), key).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.count_if(F.col("n") > 1).alias("violations")).select(
@@ -381,6 +459,7 @@ def customer_rules() -> Rules:
         ("last is not before first", F.col("last_purchase") >= F.col("first_purchase")),
         ("scores are 1 to 5", scores[0] & scores[1] & scores[2]),
         ("status is known", F.col("churn_status").isin("active", "at_risk", "inactive")),
+        ("segment is known", F.coalesce(F.col("segment").isin(*[s for s, _, _ in SEGMENTS]), F.lit(False))),
     ]
 
 
@@ -415,6 +494,39 @@ def clv_rules() -> Rules:
     return [("prediction is not negative", F.col("predicted") >= 0)]
 
 
+def model_rules() -> Rules:
+    return [("model is known", F.col("model").isin(*MODELS))]
+
+
+def table_rules(params: Parameters) -> dict[str, TableRules]:
+    """The row rules of every table that has some."""
+    listed = [
+        TableRules(
+            "clean_line",
+            LINE_KEY,
+            clean_rules(params),
+            ("invoice", "kind", "stock_code", "quantity", "ts_local", "unit_price", "country"),
+        ),
+        TableRules("orders", ("invoice",), order_rules(), ("invoice", "kind", "ts_local", "month")),
+        TableRules("customer", ("customer_id",), customer_rules(), ("customer_id", "segment", "clv_6m")),
+        TableRules("churn_validation", ("cutoff", "days"), churn_rules()),
+        TableRules("churn_band", ("cutoff", "ord"), band_rules()),
+        TableRules("cohort_retention", ("cohort", "months_since"), cohort_rules()),
+        TableRules("clv_validation_customer", ("customer_id",), clv_rules()),
+        TableRules(
+            "clv_validation",
+            ("model",),
+            model_rules(),
+            ("customers", "total_predicted", "total_actual", "mean_abs_error"),
+        ),
+    ]
+    return {rules.table: rules for rules in listed}
+
+
+#: Tables whose key is checked too.
+KEYED = ("clean_line", "orders", "customer")
+
+
 def check_rules(
     *,
     lines: DataFrame,
@@ -426,39 +538,21 @@ def check_rules(
     clv_validation_customer: DataFrame,
     clv_validation: DataFrame,
     params: Parameters,
+    counted: Mapping[str, Counted] | None = None,
 ) -> DataFrame:
-    """table, rule, violations. File tables have no CHECK constraints; this stands in."""
-    segments = literal_table(
-        lines.sparkSession, "segment string", [(name,) for name, _, _ in SEGMENTS]
-    )
-    unknown = customer.join(F.broadcast(segments), "segment", "left_anti").agg(
-        F.count(F.lit(1)).alias("violations")
-    )
-    parts = [
-        _violations(
-            "clean_line",
-            lines,
-            clean_rules(params),
-            ("invoice", "kind", "stock_code", "quantity", "ts_local", "unit_price", "country"),
-        ),
-        _repeated_keys("clean_line", lines, LINE_KEY),
-        _violations("orders", orders, order_rules(), ("invoice", "kind", "ts_local", "month")),
-        _repeated_keys("orders", orders, ("invoice",)),
-        _violations("customer", customer, customer_rules(), ("customer_id", "segment", "clv_6m")),
-        _repeated_keys("customer", customer, ("customer_id",)),
-        unknown.select(
-            F.lit("customer").alias("table"), F.lit("segment is known").alias("rule"), "violations"
-        ),
-        _violations("churn_validation", churn_validation, churn_rules(), ()),
-        _violations("churn_band", churn_band, band_rules(), ()),
-        _violations("cohort_retention", cohorts, cohort_rules(), ()),
-        _violations("clv_validation_customer", clv_validation_customer, clv_rules(), ()),
-        _violations(
-            "clv_validation",
-            clv_validation,
-            [("model is known", F.col("model").isin(*MODELS))],
-            ("customers", "total_predicted", "total_actual", "mean_abs_error"),
-        ),
-    ]
+    """table, rule, violations. File tables have no CHECK constraints; this stands in. Tables in
+    `counted` are not read for their row rules."""
+    frames = {
+        "clean_line": lines,
+        "orders": orders,
+        "customer": customer,
+        "churn_validation": churn_validation,
+        "churn_band": churn_band,
+        "cohort_retention": cohorts,
+        "clv_validation_customer": clv_validation_customer,
+        "clv_validation": clv_validation,
+    }
+    rules = table_rules(params)
+    parts = [_violations(rules[name], frame, counted or {}) for name, frame in frames.items()]
+    parts += [_repeated_keys(name, frames[name], rules[name].key) for name in KEYED]
     return reduce(DataFrame.unionByName, parts)
-
