@@ -13,7 +13,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from collections.abc import Iterator
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -24,17 +24,17 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import built
+from tillroll.llm.common import built, in_chunks
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
-#: Distinct words that a Python worker remembers beyond those at hand.
-REMEMBERED = 300_000
+#: Distinct words, and bytes of words and ids, that a Python worker remembers beyond those at hand.
+REMEMBERED, REMEMBERED_BYTES = 200_000, 8 << 20
 #: From this many bytes on, a word's merges are taken from a heap.
 LONG_WORD = 100
-#: Characters of text that are encoded at once.
-CHUNK = 4 << 20
+#: Bytes of text that are encoded at once.
+CHUNK = 1 << 20
 #: Ids that are decoded at once.
 CHUNK_IDS = 1 << 18
 #: Above every rank.
@@ -190,25 +190,28 @@ class Encoder:
         self.ranks = ranks
         self.merges = Merges(ranks)
         self.known: dict[bytes | str, bytes] = {}
+        self.size = 0
 
     def learn(self, words: set[bytes | str]) -> None:
         """Encodes words that are not known yet, each once."""
-        if len(self.known) + len(words) > REMEMBERED:
+        if len(self.known) + len(words) > REMEMBERED or self.size > REMEMBERED_BYTES:
             self.known = {word: self.known[word] for word in words if word in self.known}
-        folded, texts = [], []
+            self.size = sum(map(len, self.known)) + sum(map(len, self.known.values()))
+        folded, texts, own_ids = [], [], []
         for word in words - self.known.keys():
             own = as_utf8(word)
             if own in self.ranks:
-                self.known[word] = np.int32(self.ranks[own]).tobytes()
+                own_ids.append((word, np.int32(self.ranks[own]).tobytes()))
             elif len(own) >= LONG_WORD:
-                self.known[word] = np.array(_merged_long(own, self.ranks), np.int32).tobytes()
+                own_ids.append((word, np.array(_merged_long(own, self.ranks), np.int32).tobytes()))
             else:
                 folded.append(word)
                 texts.append(own)
         ids, ends = fold(texts, self.merges)
         data, ends = ids.tobytes(), (ends * ids.itemsize).tolist()
-        for word, start, end in zip(folded, ends, ends[1:], strict=False):
-            self.known[word] = data[start:end]
+        own_ids += [(word, data[a:b]) for word, a, b in zip(folded, ends, ends[1:], strict=False)]
+        self.known.update(own_ids)
+        self.size += sum(len(word) + len(found) for word, found in own_ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         words = [cut(text) for text in texts]
@@ -216,19 +219,6 @@ class Encoder:
         return [np.frombuffer(b"".join(map(self.known.__getitem__, own)), np.int32) for own in words]
 
 
-def in_chunks(texts: list[str]) -> Iterator[list[str]]:
-    """Texts in groups of about CHUNK characters, one text at least."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text)
-        if size >= CHUNK:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
 class Pieces:
     """All pieces in one buffer, by id."""
 
@@ -240,10 +230,10 @@ class Pieces:
         self.data = np.frombuffer(b"".join(pieces[k] for k in sorted(pieces)), np.uint8)
         self.starts = np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
 
-    def joined(self, ids: np.ndarray, stops: np.ndarray) -> tuple[bytes, np.ndarray]:
+    def joined(self, ids: np.ndarray, stops: np.ndarray) -> tuple[bytearray, np.ndarray]:
         """The bytes of all ids, one after the other, and where those of the first stops[k] ids
         end (stops do not fall)."""
-        out, ends, done = [], np.zeros(len(stops), np.int64), 0
+        out, ends, done = bytearray(), np.zeros(len(stops), np.int64), 0
         for start in range(0, len(ids), CHUNK_IDS):
             part = ids[start : start + CHUNK_IDS]
             if part.min() < 0 or part.max() >= len(self.sizes) or self.sizes[part].min() < 0:
@@ -251,15 +241,22 @@ class Pieces:
             sizes = self.sizes[part]
             stop = np.cumsum(sizes)
             at = np.repeat(self.starts[part] - stop + sizes, sizes) + np.arange(stop[-1])
-            out.append(self.data[at].tobytes())
+            out += self.data[at].tobytes()
             own = slice(*np.searchsorted(stops, [start, start + len(part)], "right"))
             ends[own] = done + stop[stops[own] - start - 1]
             done += stop[-1]
-        return b"".join(out), ends
+        return out, ends
+
+
+_SHARED: dict[tuple[str, str], Broadcast] = {}
 
 
 def _ranks(spark: SparkSession, path: str) -> Broadcast:
-    return spark.sparkContext.broadcast(load_ranks(path))
+    """The rank map of a file, broadcast once for encoding, decoding and later calls."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SHARED:
+        _SHARED[key] = spark.sparkContext.broadcast(load_ranks(path))
+    return _SHARED[key]
 
 
 def encode(
@@ -275,11 +272,13 @@ def encode(
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         encoder = built("encoder", ranks.value, Encoder)
-        own = [text or "" for text in texts.to_pylist()]
-        found = [x for group in in_chunks(own) for x in encoder.encode(group)]
-        offsets = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
-        values = np.concatenate([np.empty(0, np.int32), *found])
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        values, ends = array("i"), [0]
+        for group in in_chunks(texts, CHUNK):
+            for found in encoder.encode(group):
+                values.frombytes(found.view(np.uint8))
+                ends.append(len(values))
+        own = pa.Array.from_buffers(pa.int32(), len(values), [None, pa.py_buffer(values)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), own)
 
     return docs.withColumn(out, ids(F.col(text)))
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +36,18 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(FOLD).split()
 
 
+def in_chunks(texts: pa.Array, most: int) -> Iterator[list[str]]:
+    """The texts of a batch (null: empty) in groups of about `most` bytes, one text at least, so
+    that only one group is Python strings at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield [text or "" for text in texts.slice(start, stop - start).to_pylist()]
+        start = stop
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (the constants are those of SplitMix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -62,6 +78,7 @@ def built(name: str, value: object, build) -> object:
     """What `build` makes of a broadcast value, made once for each worker process.
 
     One result of each name is kept, with the value it was made of; the one before it goes first.
+    Names are few, and what is kept under one has a bound that its module states.
     """
     if name not in _BUILT or _BUILT[name][0] is not value:
         _BUILT.pop(name, None)

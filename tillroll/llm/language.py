@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import built
+from tillroll.llm.common import built, in_chunks
 
 UNKNOWN = "und"
 
@@ -257,7 +257,9 @@ def predict(docs: DataFrame, model: Model, out: str = "language") -> DataFrame:
     @F.arrow_udf("struct<lang_pred:string,score:double,accepted:boolean>")
     def predicted(texts: pa.Array) -> pa.Array:
         own: Model = built("language", shared.value, pickle.loads)
-        names, score = own.predict(texts.to_pylist())
+        found = [own.predict(group) for group in in_chunks(texts, CHUNK_BYTES)]
+        names = [name for group, _ in found for name in group]
+        score = np.concatenate([np.empty(0), *[scores for _, scores in found]])
         accepted = [x >= own.least and name != UNKNOWN for name, x in zip(names, score, strict=True)]
         return pa.StructArray.from_arrays(
             [pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(accepted, pa.bool_())],
