@@ -13,9 +13,10 @@ from tillroll.functions.predicates import CANCEL, SALE, counts_as_revenue
 def customer_months(orders: DataFrame) -> DataFrame:
     """Orders reduced to one row per customer and month, with the customer's first month.
 
-    Orders without a customer stay, under a NULL customer, as the month totals need them.
-    After this step no customer has more rows than there are months, NULL included, so the
-    window below is bounded by the calendar.
+    Orders without a customer stay, under a NULL customer without a cohort, as the month totals
+    need them; they are summed by month alone. After this step no customer has more rows than
+    there are months, so the window below is bounded by the calendar. Both groupings need the
+    orders by customer only, so orders that are stored so are not shuffled.
     """
     purchase = F.col("is_purchase")
     revenue = F.col("_revenue")
@@ -24,7 +25,7 @@ def customer_months(orders: DataFrame) -> DataFrame:
         "_revenue": money.thousandths(F.col("product_revenue")),
         "_other": money.thousandths(F.col("other_revenue")),
     }
-    months = orders.withColumns(whole).groupBy("customer_id", "month").agg(
+    totals = [
         F.count_if(purchase).alias("purchases"),
         F.min(F.when(purchase, F.col("ts_local"))).alias("first_ts"),
         money.from_thousandths(F.sum(F.when(counted, revenue))).alias("net"),
@@ -32,13 +33,16 @@ def customer_months(orders: DataFrame) -> DataFrame:
         money.from_thousandths(F.sum(F.when(F.col("kind") == CANCEL, revenue))).alias("cancelled"),
         money.from_thousandths(F.sum(revenue)).alias("product"),
         money.from_thousandths(F.sum("_other")).alias("other"),
-    )
+    ]
+    orders, known = orders.withColumns(whole), F.col("customer_id").isNotNull()
+    months = orders.filter(known).groupBy("customer_id", "month").agg(*totals)
     bought = F.when(F.col("purchases") > 0, F.col("month"))
     per_customer = Window.partitionBy("customer_id")
-    cohort = F.when(F.col("customer_id").isNotNull(), F.min(bought).over(per_customer))
-    return months.withColumns(
-        {"cohort": cohort, "first_purchase": F.min("first_ts").over(per_customer)}
+    months = months.withColumns(
+        {"cohort": F.min(bought).over(per_customer), "first_purchase": F.min("first_ts").over(per_customer)}
     )
+    unknown = orders.filter(~known).groupBy("month").agg(*totals)
+    return months.unionByName(unknown, allowMissingColumns=True)
 
 
 def cohort_retention(orders: DataFrame) -> DataFrame:

@@ -44,30 +44,89 @@ class QualityError(RuntimeError):
     """A run failed its checks or broke a row rule, and was not published."""
 
 
+# Tables stored by customer: customers are dealt to the same buckets in all of them, so grouping
+# or joining them by customer shuffles nothing.
+BY_CUSTOMER = ("customer_dim", "orders", "facts", "customer")
+# Orders of a bucket, about; also the most orders that one customer may have in it.
+BUCKET_ROWS = 4_000_000
+# Where the orders without a customer lie, which no bucket could hold.
+UNKNOWN = "orders_without_customer"
+
+
 class Run(Workspace):
     """The tables of one run, below <root>/runs/<run id>. Row rules are counted while a table that
-    has some is written; `counted` has what was found."""
+    has some is written; `counted` has what was found. With `buckets`, the tables of BY_CUSTOMER
+    are stored by customer."""
 
-    def __init__(self, spark: SparkSession, root: str, run_id: str, params: Parameters | None = None):
+    def __init__(
+        self, spark: SparkSession, root: str, run_id: str, params: Parameters | None = None, buckets: int = 0
+    ):
         self.spark = spark
         self.root, self.run_id = root, run_id
         self.folder = f"{root}/runs/{run_id}"
-        self.params = params
+        self.params, self.buckets = params, buckets
         self.rules = table_rules(params) if params else {}
         self.counted: dict[str, Counted] = {}
 
+    def lay_out(self, invoices: DataFrame) -> None:
+        """Chooses the number of buckets from the counted orders. If one customer alone has more
+        orders than a bucket may hold, tables are stored plainly: grouping then merges on the map
+        side, and no task reads all of that customer's orders."""
+        orders = invoices.filter("lines > 0 AND customer_id IS NOT NULL").groupBy("customer_id").count()
+        found = orders.agg(F.sum("count").alias("n"), F.max("count").alias("most")).first()
+        least = min(self.spark.sparkContext.defaultParallelism, 200)
+        fits = (found.most or 0) <= BUCKET_ROWS
+        self.buckets = max(-(-(found.n or 0) // BUCKET_ROWS), least) if fits else 0
+
     def store(self, frame: DataFrame, name: str) -> DataFrame:
-        if name in SORTED_BY:
-            frame = frame.sortWithinPartitions(SORTED_BY[name])
+        if not (self.buckets and name in BY_CUSTOMER):
+            if name in SORTED_BY:
+                frame = frame.sortWithinPartitions(SORTED_BY[name])
+            return self._write(frame, name, lambda own: super(Run, self).store(own, name))
+        if name == "orders":
+            known = F.col("customer_id").isNotNull()
+            self._write(frame.filter(~known), name, lambda own: super(Run, self).store(own, UNKNOWN))
+            frame = frame.filter(known)
+        by = frame.repartition(self.buckets, "customer_id")  # no shuffle where it is so already
+        self._write(by, name, lambda own: self._bucketed(own, name))
+        return self.table(name)
+
+    def _write(self, frame: DataFrame, name: str, write):
         if name not in self.rules:
-            return super().store(frame, name)
+            return write(frame)
         watch = Watch(self.rules[name], self.params)
-        stored = super().store(watch.on(frame), name)
-        self.counted[name] = watch.counted()
+        stored = write(watch.on(frame))
+        own = watch.counted()
+        self.counted[name] = self.counted[name].plus(own) if name in self.counted else own
         return stored
 
+    def _listed(self, name: str) -> str:
+        return f"tillroll_{self.run_id}_{name}"
+
+    def _bucketed(self, frame: DataFrame, name: str) -> None:
+        writer = frame.write.format("parquet").mode("error").option("path", self.path(name))
+        writer.bucketBy(self.buckets, "customer_id").sortBy("customer_id").saveAsTable(self._listed(name))
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        if not (self.buckets and name in BY_CUSTOMER):
+            return self.spark.read.parquet(self.path(name))
+        listed = self._listed(name)
+        if not self.spark.catalog.tableExists(listed):
+            # Another session wrote it: files alone do not say how they are dealt.
+            columns = ", ".join(
+                f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(self.path(name)).schema
+            )
+            place = self.path(name).replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {listed} ({columns}) USING parquet CLUSTERED BY (customer_id) "
+                f"SORTED BY (customer_id) INTO {self.buckets} BUCKETS LOCATION '{place}'"
+            )
+        known = self.spark.table(listed)
+        if name != "orders":
+            return known
+        unknown = self.spark.read.schema(known.schema).parquet(self.path(UNKNOWN))
+        # The literal lets plans over known customers leave this part out.
+        return known.unionByName(unknown.withColumn("customer_id", F.lit(None).cast("bigint")))
 
     def reject(self) -> int:
         """Writes the rows that break a rule, with the names of the rules, as rejected_rows; how
@@ -125,8 +184,8 @@ def rules_of(layers: Layers) -> DataFrame:
 # Tables of one step do not depend on each other; each step needs the ones before it.
 STEPS = (
     ("clean_line",),
-    ("customer_dim", "invoices"),
-    ("orders",),
+    ("invoices",),
+    ("customer_dim", "orders"),
     ("facts", "cohort_retention"),
     ("limits",),
     ("customer", "churn_validation", "churn_band", "clv_validation_customer"),
@@ -140,6 +199,8 @@ def build(layers: Layers) -> None:
     with ThreadPoolExecutor(max_workers=max(map(len, STEPS))) as pool:
         for step in STEPS:
             list(pool.map(inheritable_thread_target(layers.spark)(layers.table), step))
+            if step == ("invoices",) and isinstance(layers.workspace, Run):
+                layers.workspace.lay_out(layers.invoices)
 
 
 def process(
@@ -188,7 +249,9 @@ def log(spark: SparkSession, root: str) -> CommitLog:
 def publish(run: Run, after: int | None = None) -> Commit:
     """Enter the run in the commit log: one small file, visible all at once or not at all."""
     names = (*TABLES, *REFERENCE_TABLES, "quality", "row_rules")
-    return log(run.spark, run.root).commit(run.run_id, {"tables": ",".join(names)}, after)
+    return log(run.spark, run.root).commit(
+        run.run_id, {"tables": ",".join(names), "buckets": str(run.buckets)}, after
+    )
 
 
 def current(spark: SparkSession, root: str) -> Run:
@@ -196,7 +259,7 @@ def current(spark: SparkSession, root: str) -> Run:
     newest = log(spark, root).newest()
     if newest is None:
         raise LookupError(f"no run is published below {root}")
-    return Run(spark, root, newest.id)
+    return Run(spark, root, newest.id, buckets=int(newest.facts["buckets"]))
 
 
 def published(spark: SparkSession, root: str) -> DataFrame:

@@ -166,18 +166,20 @@ def _invoice_checks(invoices: DataFrame) -> DataFrame:
 
 
 def _order_checks(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Orders are merged per customer before they meet the snapshot, NULL customer included."""
-    revenue = F.col("product_revenue")
+    """Orders are merged per customer before they meet the snapshot; those without a customer are
+    one sum of their own. Tables that are stored by customer are not shuffled for it."""
+    revenue, known = F.col("product_revenue"), F.col("customer_id").isNotNull()
     counted = counts_as_revenue(F.col("kind"), F.col("is_purchase"))
-    per_customer = orders.groupBy("customer_id").agg(
+    totals = [
         F.count_if("is_purchase").alias("purchases"),
         F.sum(F.when(counted, revenue)).alias("net"),
         F.sum(revenue + F.col("other_revenue")).alias("everything"),
-    )
+    ]
     listed = customer.select("customer_id", F.lit(True).alias("listed"))
-    known = F.col("customer_id").isNotNull()
+    per_customer = orders.filter(known).groupBy("customer_id").agg(*totals).join(listed, "customer_id", "left")
+    unknown = orders.filter(~known).agg(*totals)
     return _facts(
-        per_customer.join(listed, "customer_id", "left"),
+        per_customer.unionByName(unknown, allowMissingColumns=True),
         [
             ("orders_sum_to_clean", OBTAINED, _sum3(F.col("everything"))),
             (
@@ -357,6 +359,11 @@ class Counted:
     sides: dict[str, str | None] = field(default_factory=dict)
     odd_lines: int = 0
 
+    def plus(self, other: Counted) -> Counted:
+        """The counts of a table written in two parts (clean lines are not)."""
+        both = {rule: n + other.violations[rule] for rule, n in self.violations.items()}
+        return Counted(both, self.sides, self.odd_lines + other.odd_lines)
+
 
 class Watch:
     """Counts a table's broken rules and checks while the table is written.
