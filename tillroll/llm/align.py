@@ -26,9 +26,10 @@ import sentencepiece
 import tiktoken
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.llm.bpe import Pieces
-from tillroll.llm.common import built
+from tillroll.llm.common import built, in_chunks
 from tillroll.workspace import Workspace
 
 FIRST = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,8 +37,8 @@ SECOND = public_tokenizers.path("piece_bpe_32k.model")
 
 #: Units that a worker remembers, about, and the characters of those: whichever comes first.
 REMEMBERED, REMEMBERED_CHARS = 200_000, 4 << 20
-#: Characters of text that are aligned at once.
-CHUNK = 2 << 20
+#: Bytes (of one long text: characters) that are aligned at once.
+CHUNK = 1 << 20
 #: Pairs of ids that are broadcast at most.
 BROADCAST_PAIRS = 1 << 19
 
@@ -106,12 +107,26 @@ class Tokenizers:
     def units(self, text: str) -> list[str]:
         return _UNIT.findall(text) if self.cuts_at_spaces else [text]
 
-    def encode_first(self, units: list[str]) -> list[list[int]]:
-        return [self.first.encode_ordinary(unit) for unit in units]
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units, one after the other, by each tokenizer.
 
-    def encode_second(self, units: list[str]) -> list[list[int]]:
-        """Units start with the space that the tokenizer adds by itself."""
-        return self.second.encode([unit[1:] for unit in units], num_threads=1)
+        For the first one, units that can stand side by side go through as one text.
+        """
+        texts, together = [], False
+        for unit in units:
+            if together and self.cuts_at_spaces and not unit[1:2].isspace():
+                texts[-1].append(unit)
+            else:
+                texts.append([unit])
+            together = not unit[-1].isspace()
+        first = [self.first.encode_ordinary("".join(text)) for text in texts]
+        # The second tokenizer adds the space that each unit starts with by itself.
+        second = self.second.encode([unit[1:] for unit in units], num_threads=1)
+        return tuple(np.fromiter(chain.from_iterable(x), np.int64) for x in (first, second))
+
+    def gives_back(self, ids: np.ndarray, text: bytes) -> bool:
+        """Whether the second tokenizer's ids stand for these bytes."""
+        return b"".join(map(self.second_pieces.__getitem__, ids.tolist())) == text
 
 
 def terminals(first_ends: np.ndarray, second_ends: np.ndarray) -> np.ndarray:
@@ -194,21 +209,23 @@ class Aligner:
         self.times = np.concatenate([self.times, times])
 
     def _align(self, units: list[str]):
+        """Of each unit: the text of its groups, counts, whether it is broken; the number of its
+        distinct pairs, and all of these with their occurrences."""
         own = self.tokenizers
-        first, second = own.encode_first(units), own.encode_second(units)
         texts = [unit.encode() for unit in units]
-        whole = np.array(
-            [b"".join(map(own.second_pieces.__getitem__, ids)) == text for ids, text in zip(second, texts, strict=True)]
-        )
-        n = len(units)
-        number = [np.repeat(np.arange(n), [len(x) for x in ids]) for ids in (first, second)]
-        ids = [np.fromiter(chain.from_iterable(x), np.int64) for x in (first, second)]
-        ids, number = zip(*[(i[whole[u]], u[whole[u]]) for i, u in zip(ids, number, strict=True)], strict=True)
+        ids, n = own.encode(units), len(units)
+        broken = np.zeros(n, bool)
+        if not own.gives_back(ids[1], b"".join(texts)):
+            broken[:] = [not own.gives_back(own.encode([u])[1], t) for u, t in zip(units, texts, strict=True)]
+            ids = own.encode([u for u, bad in zip(units, broken, strict=True) if not bad])
         counts = np.zeros((n, 4), np.int64)
         if not len(ids[0]):
             nothing = np.empty(0, np.int64)
-            return [b""] * n, counts, ~whole, np.zeros(n, np.int64), nothing, nothing
+            return [b""] * n, counts, broken, np.zeros(n, np.int64), nothing, nothing
         ends = np.cumsum(own.first_sizes[ids[0]]), np.cumsum(own.second_sizes[ids[1]])
+        good = np.flatnonzero(~broken)
+        unit_ends = np.cumsum([len(texts[i]) for i in good])
+        number = [good[np.searchsorted(unit_ends, x)] for x in ends]
         to = terminals(*ends)
         last = np.flatnonzero(to[: len(ids[0])] == np.arange(len(ids[0])))
         group = [np.searchsorted(last, x) for x in (to[: len(ids[0])], to[len(ids[0]) :])]
@@ -218,7 +235,7 @@ class Aligner:
         counts[:, 1] = np.bincount(number[1], minlength=n)
         counts[:, 2] = np.bincount(unit, minlength=n)
         np.add.at(counts[:, 3], unit, sizes[0] * sizes[1])
-        return [self._text(ids, group, sizes, counts), counts, ~whole, *self._links(ids, group, unit, n)]
+        return [self._text(ids, group, sizes, counts), counts, broken, *self._links(ids, group, unit, n)]
 
     def _text(self, ids, group, sizes, counts) -> list[bytes]:
         """a1,a2|b1 for each group, joined by semicolons, for each unit."""
@@ -230,7 +247,7 @@ class Aligner:
         order = np.argsort(np.concatenate([2 * group[0], 2 * group[1] + 1]), kind="stable")
         marked = np.concatenate([3 * i + m for i, m in zip(ids, marks, strict=True)])[order]
         data, ends = self.tokenizers.marked.joined(marked, np.cumsum(counts[:, 0] + counts[:, 1]))
-        ends = ends.tolist()
+        data, ends = bytes(data), ends.tolist()
         return [data[a : b - 1] if b > a else b"" for a, b in zip([0, *ends], ends, strict=False)]
 
     def _links(self, ids, group, unit, n):
@@ -279,19 +296,10 @@ def _chunks(pieces: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, str]]
         yield group
 
 
-_RESULT = pa.struct(
-    [
-        ("n_a", pa.int64()),
-        ("n_b", pa.int64()),
-        ("n_groups", pa.int64()),
-        ("n_links", pa.int64()),
-        ("groups", pa.string()),
-        ("pairs", pa.list_(pa.int64())),
-        ("times", pa.list_(pa.int64())),
-    ]
-)
-ALIGNMENT = (
-    "struct<n_a:long,n_b:long,n_groups:long,n_links:long,groups:string,pairs:array<long>,times:array<long>>"
+ALIGNMENT = T.StructType(
+    [T.StructField(name, T.LongType()) for name in ("n_a", "n_b", "n_groups", "n_links")]
+    + [T.StructField("groups", T.StringType())]
+    + [T.StructField(name, T.ArrayType(T.LongType())) for name in ("pairs", "times")]
 )
 
 
@@ -312,8 +320,9 @@ def aligned(texts: list[str | None], aligner: Aligner) -> pa.Array:
         # Each unit of a document once, with its number of occurrences.
         key, times = _counted((doc << 32) | unit)
         doc, unit = key >> 32, key & 0xFFFFFFFF
-        np.add.at(counts, doc, aligner.counts[unit] * times[:, None])
-        np.logical_or.at(broken, doc, aligner.broken[unit])
+        opens = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+        counts[doc[opens]] += np.add.reduceat(aligner.counts[unit] * times[:, None], opens)
+        broken[doc[aligner.broken[unit]]] = True
         sizes = np.diff(aligner.pair_ends)[unit]
         at = _ragged(aligner.pair_ends[unit], sizes)
         found.append((np.repeat(doc, sizes), aligner.pairs[at], aligner.times[at] * np.repeat(times, sizes)))
@@ -330,7 +339,7 @@ def aligned(texts: list[str | None], aligner: Aligner) -> pa.Array:
     columns = [pa.array(counts[:, k]) for k in range(4)]
     columns.append(pa.array(texts_, pa.binary()).cast(pa.string()))
     columns += [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (key % base, times)]
-    return pa.StructArray.from_arrays(columns, fields=list(_RESULT))
+    return pa.StructArray.from_arrays(columns, ALIGNMENT.names)
 
 
 def align(docs: DataFrame, text: str = "text", out: str = "alignment", first: str = FIRST, second: str = SECOND) -> DataFrame:
@@ -341,16 +350,24 @@ def align(docs: DataFrame, text: str = "text", out: str = "alignment", first: st
     empty text, or one whose bytes either tokenizer does not give back, has no tokens. A text
     without a single space, however long, is one unit; a document's pairs are one array, at most
     all ids of one side of a group with all of the other. Rows do not depend on each other, so
-    repeated ones are aligned alike. A column named as `out` is replaced; all others pass through.
+    repeated ones are aligned alike. A column named as `out` is replaced; all others pass through, before it.
     """
     with open(first, "rb") as a, open(second, "rb") as b:
         files = docs.sparkSession.sparkContext.broadcast((a.read(), b.read()))
-
-    @F.arrow_udf(ALIGNMENT)
-    def own(texts: pa.Array) -> pa.Array:
-        return aligned(texts.to_pylist(), built("aligner", files.value, Aligner))
-
-    return docs.withColumn(out, own(F.col(text)))
+    others = [field for field in docs.schema if field.name != out]
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner = built("aligner", files.value, Aligner)
+        for batch in batches:
+            start = 0
+            for texts in in_chunks(batch.column(text), CHUNK):
+                rows = batch.slice(start, len(texts))
+                start += len(texts)
+                columns = [rows.column(field.name) for field in others] + [aligned(texts, aligner)]
+                yield pa.RecordBatch.from_arrays(columns, [*[field.name for field in others], out])
+        aligner.forget()
+
+    return docs.mapInArrow(own, T.StructType([*others, T.StructField(out, ALIGNMENT)]))
 
 
 def pair_ids(pair: Column, second: str = SECOND) -> tuple[Column, Column]:
