@@ -14,13 +14,12 @@ from pyspark.sql.window import Window
 from tillroll.commits import CommitLog
 from tillroll.params import Batches
 from tillroll.schemas import RAW_COLUMNS, SOURCE_TITLES
+from tillroll.sources.digests import file_digests
 
 # Title of the column that carries a line's row in its source (row 1 holds the titles).
 ROW_TITLE = "Row"
 # Title of the column that carries a line's file, where its reader had to note it.
 FILE_TITLE = "File path"
-# A file's content is one cell when its digest is taken.
-LARGEST_FILE = (1 << 31) - 1
 
 
 class LoadError(RuntimeError):
@@ -111,20 +110,6 @@ def lines_per_sheet(raw: DataFrame) -> DataFrame:
     return raw.groupBy("sheet").agg(F.count(F.lit(1)).alias("lines"))
 
 
-def file_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Full path, name and SHA-256 of every file, each read by the task it falls to. A file's
-    identity is its path: files of one name in several folders are several files."""
-    files = spark.read.format("binaryFile").load(paths)
-    if not files.filter(F.col("length") > LARGEST_FILE).isEmpty():
-        raise LoadError("a file beyond 2 GB has no digest: split it, or load without `expected`")
-    path = F.col("_metadata.file_path")
-    return files.select(
-        path.alias("file"),
-        F.col("_metadata.file_name").alias("name"),
-        F.sha2("content", 256).alias("sha256"),
-    )
-
-
 def check_digests(spark: SparkSession, expected: Mapping[str, str], root: str) -> None:
     """Refuse the load when a file's digest is not the expected one (path to digest). The files
     that failed are all listed in a table, whose place the error names."""
