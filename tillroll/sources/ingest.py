@@ -15,6 +15,7 @@ from tillroll.commits import CommitLog
 from tillroll.params import Batches
 from tillroll.schemas import RAW_COLUMNS, SOURCE_TITLES
 from tillroll.sources.digests import file_digests
+from tillroll.sources.records import read_records
 
 # Title of the column that carries a line's row in its source (row 1 holds the titles).
 ROW_TITLE = "Row"
@@ -26,28 +27,49 @@ class LoadError(RuntimeError):
     """The source does not have the expected form."""
 
 
+# How cells are written: quotes doubled inside quotes, blanks kept.
+CSV_OPTIONS = {
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "",
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def read_csv(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
     """CSV as text: quotes doubled inside quotes, line breaks kept, empty cells NULL, and the
     words NULL or \\N taken literally. Lines are numbered where the file does not do so.
 
-    With line_breaks a file is one task, since a break may be inside a cell. Files whose cells
-    hold none can be split: `functools.partial(read_csv, line_breaks=False)` as the reader.
+    With line_breaks a break may be inside a cell: files of one split are one task each, larger
+    ones are read by a task for each split (see records). Without, splits are read as they are.
     """
-    frame = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("multiLine", line_breaks)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("inferSchema", False).options(**CSV_OPTIONS)
+    frame = reader.option("multiLine", line_breaks).csv(path)
+    if line_breaks and _largest(spark, path) > _split_bytes(spark):
+        return read_csv_in_splits(spark, path, frame.columns)
     return frame if ROW_TITLE in frame.columns else numbered(frame)
 
 
+def read_csv_in_splits(spark: SparkSession, path: str, titles: list[str]) -> DataFrame:
+    """The same rows with many tasks a file. `titles` are those of the files."""
+    frame = read_records(spark, path, titles, CSV_OPTIONS)
+    row = [] if ROW_TITLE in titles else [F.col("number").alias(ROW_TITLE)]
+    return frame.select(*[F.col(f"`{title}`") for title in titles], *row, F.col("file").alias(FILE_TITLE))
+
+
+def _largest(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file, from the listing alone."""
+    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+
+
+def _split_bytes(spark: SparkSession) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+
+
 def numbered(frame: DataFrame) -> DataFrame:
     """A file's lines numbered as in its source, the titles being line 1.
 
