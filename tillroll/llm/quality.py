@@ -275,8 +275,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
         .groupBy("doc_id", "label")
         .agg(F.min(F.struct(text_key().alias("key"), "text")).alias("own"))
         .select("doc_id", "label", figures("own.text").alias("figures"))
-        .orderBy("doc_id")
         .toArrow()
+        .sort_by("doc_id")
     )
     rows = found["figures"].combine_chunks()
     rows = rows.values.to_numpy().reshape(-1, len(FEATURES)) if len(rows) else np.empty((0, len(FEATURES)))
