@@ -935,6 +935,37 @@ def invariants_sql() -> str:
 
 SELECTS["invariants"] = invariants_sql()
 
+SELECTS["sql_customer_metrics"] = SELECTS["customer_metrics_cutoff"]
+SELECTS["sql_rfm"] = SELECTS["rfm_scores"]
+SELECTS["sql_validate_churn"] = f"SELECT * EXCLUDE (chosen) FROM churn_full WHERE cutoff = DATE '{CUT}'"
+SELECTS["sql_segment_retention"] = SELECTS["segment_retention"]
+SELECTS["sql_predict_clv"] = SELECTS["clv_predicted"]
+SELECTS["snapshot_difference"] = """
+  SELECT (SELECT count(*) FROM (SELECT customer_id, segment FROM cust EXCEPT SELECT customer_id, segment FROM rfm_end))
+      AS only_stored,
+    (SELECT count(*) FROM (SELECT customer_id, segment FROM rfm_end EXCEPT SELECT customer_id, segment FROM cust))
+      AS only_computed"""
+_HALF = "SELECT customer_id, CAST(month(month) AS INTEGER) AS month FROM event WHERE buys AND seen"
+SELECTS["sale_changes"] = f"""
+  SELECT *, 'left' AS side FROM ({_HALF} < DATE '{CUT}' EXCEPT {_HALF} >= DATE '{CUT}')
+  UNION ALL
+  SELECT *, 'right' FROM ({_HALF} >= DATE '{CUT}' EXCEPT {_HALF} < DATE '{CUT}')"""
+SELECTS["cohort_flags"] = """
+  SELECT cohort, bool_or(pre_existing) AS pre_existing,
+    array_to_string(array_agg(CAST(month AS VARCHAR) ORDER BY month) FILTER (WHERE partial_month), ',')
+      AS partial_months
+  FROM cohorts GROUP BY cohort"""
+SELECTS["cohort_arrays"] = f"""
+  SELECT customer_id, min(cohort) AS cohort,
+    array_to_string(array_agg(CAST(month AS VARCHAR) ORDER BY month) FILTER (WHERE n > 0), ',') AS months,
+    array_to_string(array_agg(CAST({money('net_m')} AS VARCHAR) ORDER BY month) FILTER (WHERE n > 0), ',') AS net,
+    count(*) FILTER (WHERE n > 0) AS n_months, coalesce(bool_or(net_m < 0), false) AS ever_negative,
+    bool_and(n > 0) AS always_bought
+  FROM (
+    SELECT o.customer_id, o.month, j.cohort, count(*) FILTER (WHERE is_purchase) AS n,
+      sum(CASE WHEN is_purchase OR kind = 'cancel' THEN product_m END) AS net_m
+    FROM ord o JOIN joined j USING (customer_id) GROUP BY ALL)
+  GROUP BY customer_id"""
 SELECTS["rejected_rows"] = """
   SELECT 'clean_line' AS "table",
     '{"sheet":"' || sheet || '","invoice":"' || invoice || '","stock_code":"' || stock_code

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll import sql
 from tillroll.functions import money
 from tillroll.functions.labels import money_label, month_label
 from tillroll.functions.predicates import SALE
@@ -259,6 +260,45 @@ def top10_share(spark, folder):
     return measurements.top10_share(customer_metrics_end(spark, folder))
 
 
+# The same functions as an analyst calls them in SQL
+
+
+def _sql(spark: SparkSession, folder: str, select: str) -> DataFrame:
+    sql.register(spark, _layers(spark, folder, keep=("orders",)).orders, PARAMS)
+    return spark.sql(select)
+
+
+@query
+def sql_customer_metrics(spark, folder):
+    return _sql(spark, folder, f"SELECT * FROM customer_metrics(DATE '{PARAMS.cutoff}')")
+
+
+@query
+def sql_rfm(spark, folder):
+    columns = "customer_id, recency_days, frequency, net_revenue, r, f, m, segment, is_wholesale, net_not_positive"
+    return _sql(spark, folder, f"SELECT {columns} FROM rfm(DATE '{PARAMS.end}')")
+
+
+@query
+def sql_validate_churn(spark, folder):
+    days = ", ".join(map(str, PARAMS.churn_thresholds))
+    call = f"validate_churn(DATE '{PARAMS.cutoff}', {PARAMS.churn_window_months}, array({days}))"
+    return _sql(spark, folder, f"SELECT * FROM {call}")
+
+
+@query
+def sql_segment_retention(spark, folder):
+    start = add_months(PARAMS.end, -12).date()
+    call = f"segment_retention(DATE '{start}', {PARAMS.clv_horizon_months})"
+    return _sql(spark, folder, f"SELECT * FROM {call}")
+
+
+@query
+def sql_predict_clv(spark, folder):
+    call = f"predict_clv(DATE '{PARAMS.end}', {PARAMS.clv_horizon_months})"
+    return _sql(spark, folder, f"SELECT * FROM {call}")
+
+
 # Churn
 
 
@@ -311,6 +351,16 @@ def cohort_retention(spark, folder):
     return _layers(spark, folder).cohort_retention
 
 
+@query
+def cohort_arrays(spark, folder):
+    return cohorts.cohort_arrays(_layers(spark, folder, keep=("orders",)).orders)
+
+
+@query
+def cohort_flags(spark, folder):
+    return cohorts.cohort_flags(_layers(spark, folder, keep=("orders",)).cohort_retention)
+
+
 @query
 def cohort_matrix(spark, folder):
     return cohorts.cohort_matrix(_layers(spark, folder).cohort_retention)
@@ -561,6 +611,30 @@ def published_run(spark, folder):
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def snapshot_difference(spark, folder):
+    """The stored scores of a full build against the function at the same date, both ways."""
+    layers = _full(spark, folder)
+    columns = ("customer_id", "recency_days", "frequency", "net_revenue", "r", "f", "m", "segment")
+    sql.register(spark, layers.orders, PARAMS)
+    again = spark.sql(f"SELECT {', '.join(columns)} FROM rfm(DATE '{PARAMS.end}')")
+    found = duplicates.set_difference(layers.customer.select(*columns), again)
+    return found.agg(
+        F.count_if(F.col("side") == "left").alias("only_stored"),
+        F.count_if(F.col("side") == "right").alias("only_computed"),
+    )
+
+
+@query
+def sale_changes(spark, folder):
+    """Customers' months of purchase before the cut-off and after it, as sets: what left, what came."""
+    orders_ = _layers(spark, folder, keep=("orders",)).orders.filter("is_purchase AND customer_id IS NOT NULL")
+    part = orders_.select("customer_id", F.month("month").alias("month"), "ts_local")
+    cut = F.lit(PARAMS.cutoff).cast("timestamp_ntz")
+    before, after = part.filter(F.col("ts_local") < cut), part.filter(F.col("ts_local") >= cut)
+    return duplicates.set_difference(before.drop("ts_local"), after.drop("ts_local"))
+
+
 @query
 def segment_map_rules(spark, folder):
     """The map over the scores that customers have: every one has a segment, and a segment's

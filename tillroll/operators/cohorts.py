@@ -114,6 +114,44 @@ def cohort_matrix(cohorts: DataFrame, last_month: int = 12) -> DataFrame:
     )
 
 
+def cohort_flags(cohorts: DataFrame) -> DataFrame:
+    """Per cohort: whether it was there from the start, and its partial months, in order."""
+    partial = F.array_sort(F.collect_list(F.when(F.col("partial_month"), F.col("month"))))
+    return cohorts.groupBy("cohort").agg(
+        F.bool_or("pre_existing").alias("pre_existing"),
+        F.array_join(F.transform(partial, lambda day: day.cast("string")), ",").alias("partial_months"),
+    )
+
+
+def cohort_arrays(orders: DataFrame) -> DataFrame:
+    """Per customer with a purchase: the months bought in, in order, their net revenue in the same
+    order, whether any month gave back more than it bought, and whether every month had a purchase.
+
+    Arrays hold at most a month each, which the calendar bounds, and are ordered by month whatever
+    the order of the rows; months without a purchase are left out of them.
+    """
+    months = customer_months(orders).filter(F.col("cohort").isNotNull())
+    bought = F.when(F.col("purchases") > 0, F.struct("month", "net"))
+    own = F.array_sort(F.collect_list(bought))  # collect_list leaves out nulls
+    return (
+        months.groupBy("customer_id", "cohort")
+        .agg(
+            own.alias("_own"),
+            F.bool_or(F.coalesce(F.col("net") < 0, F.lit(False))).alias("ever_negative"),
+            F.bool_and(F.col("purchases") > 0).alias("always_bought"),
+        )
+        .select(
+            "customer_id",
+            "cohort",
+            F.array_join(F.transform("_own", lambda x: x["month"].cast("string")), ",").alias("months"),
+            F.array_join(F.transform("_own", lambda x: x["net"].cast("string")), ",").alias("net"),
+            F.size("_own").cast("bigint").alias("n_months"),
+            "ever_negative",
+            "always_bought",
+        )
+    )
+
+
 def retention_curve(cohorts: DataFrame) -> DataFrame:
     """Retention by months since the first purchase, weighted by cohort size."""
     usable = cohorts.filter(~F.col("pre_existing") & ~F.col("partial_month"))

@@ -29,6 +29,24 @@ def repeated_rows(frame: DataFrame, columns: tuple[str, ...] = _LINE) -> DataFra
     return hashed.join(shared.drop("n"), list(hashes), "left_semi").drop(*hashes)
 
 
+def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """EXCEPT in both directions: the distinct rows of one side that the other lacks, with `side`
+    (left or right). Nulls equal nulls; the columns are those of left, by name.
+
+    One grouping of 128-bit hashes, merged on the map side, finds the hashes that one side lacks;
+    the rows of those alone are then compared in full. Rows that both sides have, which is nearly
+    all of them where tables should agree, are shuffled as hashes only.
+    """
+    columns = left.columns
+    sides = left.select("*", F.lit(1).alias("__side")).unionByName(right.select(*columns, F.lit(2).alias("__side")))
+    hashes = {"__hash": F.xxhash64(*columns), "__check": F.xxhash64(F.lit(1), *columns)}
+    hashed = sides.withColumns(hashes)
+    single = hashed.groupBy(*hashes).agg(F.bit_or("__side").alias("__sides")).filter("__sides < 3")
+    alone = hashed.join(single.drop("__sides"), list(hashes), "left_semi")
+    rows = alone.groupBy(*columns).agg(F.bit_or("__side").alias("__sides"))
+    return rows.select(*columns, F.when(F.col("__sides") == 1, "left").otherwise("right").alias("side"))
+
+
 def overlap_difference(
     raw: DataFrame, batches: Batches, start: Column | None = None, until: Column | None = None
 ) -> DataFrame:
