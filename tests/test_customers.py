@@ -1,5 +1,7 @@
 from datetime import date, datetime
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
+from zoneinfo import ZoneInfo
 
 import pytest
 
@@ -34,41 +36,50 @@ def test_freight_is_not_product_revenue(spark):
     }
 
 
-def test_metrics_of_one_customer(spark):
-    lines = [
-        buy(12345, "536001", "2011-01-10", 10),
-        buy(12345, "536002", "2011-03-10", 5),
-        buy(12345, "C536003", "2011-03-11", -3),
-        buy(None, "536004", "2011-03-11", 8),
-        buy(12346, "C536005", "2011-03-11", -1),
-    ]
-    rows = customer_metrics(orders_of(spark, lines), END).collect()
-    assert [r.customer_id for r in rows] == [12345]
-    row = rows[0]
-    assert (row.frequency, row.recency_days) == (2, 275)
-    assert (row.gross_revenue, row.cancelled_value, row.net_revenue) == (150, 30, 120)
-    assert (row.avg_ticket, row.cancel_rate) == (Decimal("60.00"), Decimal("0.2000"))
-    assert row.units_per_order == Decimal("7.5")
-    # 333 days and 14 hours after 2011-01-10 10:00.
-    assert row.months_of_life == Decimal("10.96")
-
-
-def test_nothing_after_the_reference_date_is_seen(spark):
-    lines = [
-        buy(12345, "536001", "2011-03-10"),
-        buy(12345, "536002", "2011-06-09"),
-        buy(12345, "536003", "2011-06-10 00:00:00"),
-        buy(12345, "C536004", "2011-07-01", -1),
-        buy(12346, "536005", "2011-08-01"),
-    ]
-    found = by(
-        customer_metrics(orders_of(spark, lines), PARAMS.cutoff),
-        "customer_id",
-        "frequency",
-        "cancelled_value",
-        "recency_days",
-    )
-    assert found == {12345: (2, 0, 1)}
+def half_up(value, places):
+    return Decimal(value).quantize(Decimal(1).scaleb(-places), rounding=ROUND_HALF_UP)
+
+
+def london_seconds(moment):
+    return moment.replace(tzinfo=ZoneInfo("Europe/London")).timestamp()
+
+
+def metrics_by_hand(events, ref):
+    """Every customer with a purchase before ref; each unit is worth 10."""
+    found = {}
+    for who in {who for who, _, _ in events if who is not None}:
+        seen = [(at, units) for other, at, units in events if other == who and at < ref]
+        bought = [(at, units) for at, units in seen if units > 0]
+        if not bought:
+            continue
+        first, last = min(bought)[0], max(bought)[0]
+        gross, units = 10 * sum(u for _, u in bought), sum(u for _, u in bought)
+        back = -10 * sum(u for _, u in seen if u < 0)
+        months = Fraction(int(london_seconds(ref) - london_seconds(first)), 2_629_800)
+        found[who] = (
+            first, last, (ref.date() - last.date()).days, len(bought), gross, back, gross - back,
+            half_up(Decimal(gross - back) / len(bought), 2), half_up(Decimal(back) / gross, 4),
+            half_up(Decimal(units) / len(bought), 1),
+            max(Decimal(1), half_up(Decimal(months.numerator) / months.denominator, 2)),
+        )
+    return found
+
+
+METRICS = (
+    "first_purchase", "last_purchase", "recency_days", "frequency", "gross_revenue", "cancelled_value",
+    "net_revenue", "avg_ticket", "cancel_rate", "units_per_order", "months_of_life",
+)
+
+
+@pytest.mark.parametrize("ref", [datetime(2011, 12, 10), datetime(2010, 10, 31, 12, 30), datetime(2010, 1, 1)])
+def test_metrics_against_brute_force(spark, ref):
+    """At any reference date, and whatever happens from it on."""
+    events = trade(31, customers=15, purchases=150)
+    expected = metrics_by_hand(events, ref)
+    assert by(customer_metrics(orders_of(spark, lines_of(events)), ref), "customer_id", *METRICS) == expected
+    before = [event for event in events if event[1] < ref]
+    if before:
+        assert by(customer_metrics(orders_of(spark, lines_of(before)), ref), "customer_id", *METRICS) == expected
 
 
 def score(values, own):
