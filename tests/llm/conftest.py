@@ -19,6 +19,7 @@ SCHEMA = T.StructType(
 CLASHING = (
     "key", "hash", "check", "row", "digest", "near", "name", "rank", "place", "runs", "wanted",
     "class", "bands", "n", "id", "first", "stop", "gone", "line", "site", "pos", "count",
+    "word", "bits", "slot", "chunk", "stays", "of", "doc", "spans", "size", "removed", "alignment0",
 )
 
 SYLLABLES = "ra ten mo li sku ver ost ai bel dor na pi que zan fu rol mi sha ket ung".split()
@@ -51,10 +52,12 @@ def table(spark, texts, langs=None, sources=None, ids=None):
 
 
 def clashing(docs):
-    """docs with columns named like internals of the operators."""
+    """docs with columns named like internals of the operators, plain, marked as private, with a
+    number, and quoted."""
     from pyspark.sql import functions as F
 
-    return docs.withColumns({name: F.lit("own") for name in CLASHING})
+    names = [f"{a}{name}{b}" for name in CLASHING for a, b in (("", ""), ("__", ""), ("_", "0"))]
+    return docs.withColumns({name: F.lit("own") for name in [*names, "a.b", "a`b"]})
 
 
 @pytest.fixture(scope="session")

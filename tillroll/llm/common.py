@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +49,16 @@ def in_chunks(texts: pa.Array, most: int) -> Iterator[list[str]]:
         start = stop
 
 
+def own_names(*names: str) -> list[str]:
+    """Names for columns of one's own beside a caller's, whatever those are called."""
+    mark = uuid.uuid4().hex
+    return [f"{name}_{mark}" for name in names]
+
+
+def quoted(names: list[str]) -> list[str]:
+    return [f"`{name.replace('`', '``')}`" for name in names]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (the constants are those of SplitMix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -5,9 +5,9 @@ slot and keeps, as 64-bit words, the bits of slots that two or more rows hit. Pa
 words: a row with both bits set may have an equal elsewhere and goes on to an exact grouping by
 SHA-256; every other row is certainly alone and passes straight through.
 
-The words are broadcast. Their number is at most 2 * slots / 64 whatever the input (a million for
-the default), so the broadcast is bounded by a parameter. Over far more rows than slots the filter
-only lets more rows through to the exact step; the result stays the same.
+The words are broadcast. The tables are sized from the counted rows up to a bound (see bloom); over
+far more rows than slots the filter only lets more rows through to the exact step, and the result
+stays the same.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.bloom import SLOTS, bit_words, probed
+from tillroll.llm.bloom import bit_filter, probed
 from tillroll.llm.common import text_or_empty
 from tillroll.workspace import Workspace
 
@@ -36,18 +36,19 @@ def digests(docs: DataFrame) -> DataFrame:
     ).withColumn("hash", F.xxhash64("digest"))
 
 
-def exact_groups(docs: DataFrame, slots: int = SLOTS, workspace: Workspace | None = None) -> DataFrame:
+def exact_groups(docs: DataFrame, slots: int | None = None, workspace: Workspace | None = None) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, digest.
 
     Texts are equal when they agree after each run of white space became one space; null is the
     empty text. The row with the smallest doc_id stays (a null doc_id comes last; among rows that
     share it, the first in reading order). Other columns of docs are not read, whatever their
-    names. No rows in, no rows out. Writes the digests to the shared folder when called.
+    names. No rows in, no rows out. A text of any length is one digest. `slots` fixes the size of the
+    bit tables instead. Writes the digests to the shared folder when called.
     """
     workspace = workspace or Workspace(docs.sparkSession)
     hashed = workspace.store(digests(docs), "digests")
-    words = workspace.store(bit_words(hashed.select("hash"), 2, slots), "filter")
-    marked = probed(hashed, F.col("hash"), words, "suspect", slots).drop("hash")
+    repeated = bit_filter(hashed.select("hash"), workspace, "filter", least_rows=2, slots=slots)
+    marked = probed(hashed, F.col("hash"), repeated, "suspect").drop("hash")
     alone = marked.filter(~F.col("suspect")).select(
         "doc_id",
         F.col("doc_id").alias("keep_id"),

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.bloom import bit_words, probed
-from tillroll.llm.common import text_key, text_or_empty, without_positions
+from tillroll.llm.bloom import bit_filter, probed
+from tillroll.llm.common import own_names, quoted, text_key, text_or_empty, without_positions
 from tillroll.workspace import Workspace
 
 #: Distinct sites from which on a line is boilerplate.
@@ -77,6 +77,7 @@ def dedup_lines(
     named as the two new ones are replaced; all others pass through. Writes small tables to the shared folder when called.
     """
     workspace = workspace or Workspace(docs.sparkSession)
+    doc, of, gone, near_, key = own_names("doc", "of", "gone", "near", "key")
     found = occurrences(docs)
     common = boilerplate(found, workspace, min_sites)
     own = (
@@ -88,38 +89,35 @@ def dedup_lines(
         found.drop("site")
         .join(common.select(*_LINE, "first"), _LINE)
         .filter(~own)
-        .groupBy(F.col("doc_id").alias("__lines_doc"), F.col("key").alias("__lines_of"))
-        .agg(F.sort_array(F.collect_set("pos")).alias("__lines_gone"))
+        .groupBy(F.col("doc_id").alias(doc), F.col("key").alias(of))
+        .agg(F.sort_array(F.collect_set("pos")).alias(gone))
     )
     docs = docs.drop("dedup_lines", "dedup_removed")
     removed = workspace.store(removed, "removed_lines")
-    marks = bit_words(removed.select(F.xxhash64("__lines_doc", "__lines_of").alias("hash")))
-    marks = workspace.store(marks, "removed_lines_filter")
+    changed_docs = removed.select(F.xxhash64(doc, of).alias("hash"))
+    marks = bit_filter(changed_docs, workspace, "removed_lines_filter")
     hash_ = F.xxhash64(F.col("doc_id").cast("long"), text_key())
-    marked = probed(docs, hash_, marks, "__lines_near")
-    near = marked.filter("__lines_near").withColumn("__lines_key", text_key())
+    marked = probed(docs, hash_, marks, near_)
+    near = marked.filter(F.col(near_)).withColumn(key, text_key())
     joined = near.hint("merge").join(
         removed,
-        F.col("doc_id").cast("long").eqNullSafe(F.col("__lines_doc"))
-        & (F.col("__lines_key") == F.col("__lines_of")),
+        F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(of)),
         "left",
     )
-    whole = marked.filter(~F.col("__lines_near")).withColumn(
-        "__lines_gone", F.lit(None).cast("array<int>")
-    )
-    names = [*docs.columns, "__lines_gone"]
+    whole = marked.filter(~F.col(near_)).withColumn(gone, F.lit(None).cast("array<int>"))
+    names = quoted([*docs.columns, gone])
     joined = whole.select(*names).unionByName(joined.select(*names))
     pieces = F.split("text", BREAK)
-    shorter = F.array_join(without_positions(pieces, F.col("__lines_gone")), BREAK)
-    changed = F.col("__lines_gone").isNotNull()
+    shorter = F.array_join(without_positions(pieces, F.col(gone)), BREAK)
+    changed = F.col(gone).isNotNull()
     out = {
         "text": F.when(changed, shorter).otherwise(F.col("text")),
         "dedup_lines": F.size(F.split(text_or_empty(), BREAK)).cast("long"),
-        "dedup_removed": F.coalesce(F.size("__lines_gone"), F.lit(0)).cast("long"),
+        "dedup_removed": F.coalesce(F.size(gone), F.lit(0)).cast("long"),
     }
     result = joined.withColumns(out)
     if "n_chars" in docs.columns:
         result = result.withColumn(
             "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
         )
-    return result.select(*docs.columns, "dedup_lines", "dedup_removed")
+    return result.select(*quoted(docs.columns), "dedup_lines", "dedup_removed")

@@ -22,8 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.bloom import bit_words, probed
-from tillroll.llm.common import mixed, text_key, text_or_empty, words
+from tillroll.llm.bloom import bit_filter, probed
+from tillroll.llm.common import mixed, own_names, quoted, text_key, text_or_empty, words
 from tillroll.llm.graph import components
 from tillroll.workspace import Workspace
 
@@ -281,8 +281,7 @@ def _compared(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     )
     # Only texts that a Bloom filter of the members lets through are shuffled.
-    wanted = bit_words(members.select(F.xxhash64("doc_id", "key").alias("hash")))
-    wanted = workspace.store(wanted, "members_filter")
+    wanted = bit_filter(members.select(F.xxhash64("doc_id", "key").alias("hash")), workspace, "members_filter")
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         text_key().alias("key"),
@@ -321,21 +320,21 @@ def one_of_each(
     Bloom filter and are not shuffled.
     """
     workspace = workspace or Workspace(docs.sparkSession)
+    stays, near_, key, doc, of = own_names("stays", "near", "key", "doc", "of")
     found = jaccard_classes(docs, n, threshold, recall, workspace)
     shared = found.filter((F.col("class_size") > 1) | (F.col("n_links") > 0))
-    decided = shared.groupBy("doc_id", "key").agg(F.max("stays").alias("__stays"))
+    decided = shared.groupBy("doc_id", "key").agg(F.max("stays").alias(stays))
     decided = workspace.store(decided, "decided")
-    words_ = bit_words(decided.select(F.xxhash64("doc_id", "key").alias("hash")))
-    words_ = workspace.store(words_, "decided_filter")
+    words_ = bit_filter(decided.select(F.xxhash64("doc_id", "key").alias("hash")), workspace, "decided_filter")
     hash_ = F.xxhash64(F.col("doc_id").cast("long"), text_key())
-    marked = probed(docs, hash_, words_, "__near")
-    near = marked.filter("__near").withColumn("__key", text_key())
-    decided = decided.select(F.col("doc_id").alias("__doc"), F.col("key").alias("__of"), "__stays")
-    same = near["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__of"))
+    marked = probed(docs, hash_, words_, near_)
+    near = marked.filter(F.col(near_)).withColumn(key, text_key())
+    decided = decided.select(F.col("doc_id").alias(doc), F.col("key").alias(of), stays)
+    same = near["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(of))
     kept = (
         near.hint("merge").join(decided, same, "left")
-        .filter(F.coalesce("__stays", F.lit(True)))
-        .dropDuplicates(["doc_id", "__key"])
+        .filter(F.coalesce(stays, F.lit(True)))
+        .dropDuplicates(["doc_id", key])
     )
-    alone = marked.filter(~F.col("__near"))
-    return alone.select(docs.columns).unionByName(kept.select(docs.columns))
+    alone = marked.filter(~F.col(near_))
+    return alone.select(quoted(docs.columns)).unionByName(kept.select(quoted(docs.columns)))

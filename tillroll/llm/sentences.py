@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.bloom import bit_words, probed
+from tillroll.llm.bloom import bit_filter, probed
 from tillroll.llm.common import text_key, text_or_empty, words
 from tillroll.workspace import Workspace
 
@@ -135,7 +135,7 @@ def covered(
     found = occurrences(docs, sentences, least_words, long_words)
     twice = found.groupBy("hash", "check").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     twice = workspace.store(twice.select("hash", "check"), "repeated")
-    words_ = workspace.store(bit_words(twice.select("hash")), "repeated_filter")
+    words_ = bit_filter(twice.select("hash"), workspace, "repeated_filter")
     near = probed(found, F.col("hash"), words_, "near").filter("near").drop("near")
     again = workspace.store(near.join(twice, ["hash", "check"]), "again")
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key", "first")
@@ -216,7 +216,7 @@ def dedup_spans(
     """
     workspace = workspace or Workspace(docs.sparkSession)
     gone = workspace.store(covered(docs, sentences, least_words, long_words, workspace), "gone")
-    marks = workspace.store(bit_words(gone.select(F.xxhash64("doc_id", "key").alias("hash"))), "gone_filter")
+    marks = bit_filter(gone.select(F.xxhash64("doc_id", "key").alias("hash")), workspace, "gone_filter")
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         text_key().alias("key"),

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.bloom import bit_words, probed
+from tillroll.llm.bloom import bit_filter, probed
 from tillroll.llm.common import text_key, text_or_empty
 from tillroll.workspace import Workspace
 
@@ -151,7 +151,7 @@ def _document(frame: DataFrame) -> F.Column:
 def _texts(docs: DataFrame, wanted: DataFrame, workspace: Workspace, name: str) -> DataFrame:
     """wanted (with doc_id and key, unique) with the texts; only texts that a Bloom filter of
     the wanted documents lets through are shuffled."""
-    words = workspace.store(bit_words(wanted.select(_document(wanted).alias("hash"))), name)
+    words = bit_filter(wanted.select(_document(wanted).alias("hash")), workspace, name)
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         text_key().alias("key"),
@@ -389,8 +389,7 @@ def _shared(halves: DataFrame, key: str, workspace: Workspace, level: int) -> Da
     sizes = halves.groupBy(key).agg(F.count(F.lit(1)).alias("size"), F.min("rank").alias("head"))
     sizes = sizes.filter("size > 1")
     sizes = workspace.store(sizes, f"{key}_{level}")
-    words = bit_words(sizes.select(F.col(key).alias("hash")))
-    words = workspace.store(words, f"{key}_{level}_filter")
+    words = bit_filter(sizes.select(F.col(key).alias("hash")), workspace, f"{key}_{level}_filter")
     near = probed(halves.drop("size", "head"), F.col(key), words, "near").filter("near").drop("near")
     return workspace.store(near.join(sizes, key), f"{key}_{level}_shared")
 
@@ -494,7 +493,7 @@ def dedup_substrings(
     """
     workspace = workspace or Workspace(docs.sparkSession)
     runs = workspace.store(repeated_runs(docs, length, workspace, bucket), "runs")
-    words = workspace.store(bit_words(runs.select(_document(runs).alias("hash"))), "runs_filter")
+    words = bit_filter(runs.select(_document(runs).alias("hash")), workspace, "runs_filter")
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         text_key().alias("key"),
