@@ -7,6 +7,7 @@ import numpy as np
 
 from tests.llm.conftest import clashing, prose, table
 from tillroll.llm import ngram_join
+from tillroll.workspace import Workspace
 
 
 def gram_set(text, n=5):
@@ -80,6 +81,55 @@ def test_parts_of_many_blocks(spark, monkeypatch):
     assert found(table(spark, texts)) == expected
 
 
+def chain(seed, texts, n_words, step):
+    """Texts that each share most of their words with the next ones, and none with those far off."""
+    words = [w.strip(".").lower() for w in prose(seed, n_words + step * texts).split()]
+    words = [f"{w}{k}" for k, w in enumerate(words)]
+    return [" ".join(words[k * step : k * step + n_words]) for k in range(texts)]
+
+
+def test_a_long_chain_is_verified_by_its_bands(spark, monkeypatch):
+    """One connected part, few links each: the groups are buckets, and their work is linear."""
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 20)
+    work = {}
+    for n in (100, 200):
+        texts = chain(11, n, 100, 9)
+        expected = brute(list(enumerate(texts)))
+        assert {group for *_, group in expected.values()} == {0}
+        workspace = Workspace(spark)
+        assert found(table(spark, texts), workspace=workspace) == expected
+        assert spark.read.parquet(workspace.path("parts_by_band")).count() == 1
+        buckets = spark.read.parquet(workspace.path("shared_bands"))
+        work[n] = buckets.selectExpr("sum(size * size)").first()[0]
+        assert buckets.selectExpr("max(size)").first()[0] < 40
+    assert work[200] < 2.5 * work[100] and work[200] < 200**2
+
+
+def test_near_copies_of_one_text_are_compared_as_a_part(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 13)
+    workspace = Workspace(spark)
+    texts = near_copies(9, 200, 40, 4)
+    assert found(table(spark, texts), workspace=workspace) == brute(list(enumerate(texts)))
+    assert spark.read.parquet(workspace.path("parts_by_band")).isEmpty()
+
+
+def test_hot_buckets_are_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 4)
+    texts = chain(12, 60, 120, 6) + near_copies(10, 150, 20, 5)
+    assert found(table(spark, texts)) == brute(list(enumerate(texts)))
+
+
+def test_recall_of_the_bands_on_pairs_at_the_threshold(spark, monkeypatch):
+    """A part of many blocks, verified by bands alone: the links found, against all of them."""
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 10)
+    texts = chain(13, 100, 150, 4)
+    expected = brute(list(enumerate(texts)))
+    got = found(table(spark, texts))
+    all_links = sum(x[2] for x in expected.values())
+    assert all_links > 500
+    assert sum(x[2] for x in got.values()) / all_links >= 0.99
+
+
 def test_one_of_each_group_stays(spark, odd_texts):
     texts = corpus(odd_texts)
     docs = clashing(table(spark, texts))

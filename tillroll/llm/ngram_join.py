@@ -2,12 +2,19 @@
 
 Texts with the same set of n-grams form a class; only one document of each class takes part. The
 number of bands and rows follows from the recall asked for at the threshold. Classes that share
-the hash of a band are tied together (each to the bucket's smallest), the connected parts of these
-ties are the candidates, and within a part all pairs are compared on their full n-gram sets. Each
-class's text travels once for each block of its part: parts beyond a block's size are cut into
-blocks and every pair of blocks is a group of its own, so no task holds more than two blocks. What
-leaves a task is one row per class (its number of links and the smallest class it is tied to), not
-its pairs.
+the hash of a band are tied together (each to the bucket's smallest); candidates lie in the
+connected parts of these ties, and are compared on their full n-gram sets.
+
+* A part of a block's size, which nearly all are, is one group; each text travels once.
+* In a larger part, pairs that share a band are verified bucket by bucket, each pair in the first
+  band that it shares, so the work follows the buckets and not the square of the part. Only where
+  the buckets would be more work than all pairs, as in a group of near copies of one text, is the
+  whole part compared.
+* A bucket or part beyond a block's size is cut into blocks, and every pair of blocks is a group of
+  its own, so no task holds more than two blocks.
+
+What leaves a task is one row per class (its number of links and the smallest class it is tied to),
+not its pairs.
 """
 
 from __future__ import annotations
@@ -136,6 +143,14 @@ def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
     return both
 
 
+def _share_one(bands: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether two classes share one of these bands: those pairs are another bucket's."""
+    shared = np.zeros((len(a), len(b)), bool)
+    for band in range(bands.shape[1]):
+        shared |= bands[a, band][:, None] == bands[b, band]
+    return shared
+
+
 def _verified(group: pd.DataFrame, n: int, threshold: float) -> pd.DataFrame:
     """For each class of a group: its links, and the smallest class it is tied to in the group."""
     group = group.drop_duplicates("id").sort_values("id").reset_index(drop=True)
@@ -153,12 +168,15 @@ def _verified(group: pd.DataFrame, n: int, threshold: float) -> pd.DataFrame:
             i = root[i]
         return i
 
+    band = int(group["band"][0])
     if len(a) and len(b):
         left = [sets[i] for i in a]
         right = left if low == high else [sets[i] for i in b]
         both = _intersections(left, right)
         either = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right]) - both
         linked = both >= threshold * either - 1e-6
+        if band > 0:
+            linked &= ~_share_one(np.stack(group["bands"])[:, :band], a, b)
         if low == high:
             np.fill_diagonal(linked, False)
             links[a] = linked.sum(axis=1)
@@ -208,7 +226,8 @@ def jaccard_classes(
         ),
         "members",
     )
-    verified = workspace.store(_compared(docs, members, n, threshold, workspace), "verified")
+    dealt = _dealt(members, classes.select("id", "bands"), workspace)
+    verified = workspace.store(_compared(docs, dealt, members, n, threshold, workspace), "verified")
     links = verified.groupBy("id").agg(F.sum("links").alias("n_links"))
     edges = verified.filter("id != tied").select(F.col("id").alias("a"), F.col("tied").alias("b"))
     groups = components(edges, workspace, "groups")
@@ -264,22 +283,44 @@ def _ties(classes: DataFrame, workspace: Workspace) -> DataFrame:
     return shared.filter("id != b").select(F.col("id").alias("a"), "b").distinct()
 
 
+_GROUP = ("part", "band", "value")
+
+
+def _blocks(size: str = "size", grams: str = "grams") -> F.Column:
+    needed = F.greatest(F.ceil(F.col(size) / BLOCK_CLASSES), F.ceil(F.col(grams) / BLOCK_GRAMS), F.lit(1))
+    return needed.cast("int")
+
+
+def _dealt(members: DataFrame, bands: DataFrame, workspace: Workspace) -> DataFrame:
+    """members for each group of _GROUP that they are compared in: the whole part (band -1), or in
+    a large part the buckets that they share; with the group's blocks, their own, and for buckets
+    the hashes of all bands."""
+    parts = members.groupBy("part").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("grams"))
+    parts = workspace.store(parts.withColumn("blocks", _blocks()), "part_sizes")
+    no_bands, whole = F.lit(None).cast("array<long>"), [F.lit(-1).alias("band"), F.lit(0).cast("long").alias("value")]
+    columns = ["id", "part", "doc_id", "key", "n", "band", "value", "blocks", "bands"]
+    by_part = parts.select("part", "blocks")
+    several = parts.filter("blocks > 1").select("part", "size")
+    own = None
+    if not several.isEmpty():
+        own = members.join(several.select("part"), "part").join(bands, "id")
+        own = workspace.store(own.select("*", F.posexplode("bands").alias("band", "value")), "band_members")
+        buckets = own.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("grams"))
+        buckets = workspace.store(buckets.filter("size > 1").withColumn("blocks", _blocks()), "shared_bands")
+        work = buckets.groupBy("part").agg(F.sum(F.col("size").cast("double") * F.col("size")).alias("work"))
+        cheaper = work.join(several, "part").filter(F.col("work") < F.col("size").cast("double") * F.col("size"))
+        cheaper = workspace.store(cheaper.select("part"), "parts_by_band")
+        own = own.join(cheaper, "part", "left_semi").join(buckets.drop("size", "grams"), list(_GROUP)).select(columns)
+        by_part = by_part.join(cheaper, "part", "left_anti")
+    dealt = members.join(by_part, "part").select("*", *whole, no_bands.alias("bands")).select(columns)
+    dealt = dealt if own is None else dealt.unionByName(own)
+    return dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+
+
 def _compared(
-    docs: DataFrame, members: DataFrame, n: int, threshold: float, workspace: Workspace
+    docs: DataFrame, dealt: DataFrame, members: DataFrame, n: int, threshold: float, workspace: Workspace
 ) -> DataFrame:
     """id, links, tied: a row for each class and pair of blocks that it is in."""
-    size = members.groupBy("part").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("grams"))
-    size = size.select(
-        "part",
-        F.greatest(
-            F.ceil(F.col("size") / BLOCK_CLASSES), F.ceil(F.col("grams") / BLOCK_GRAMS), F.lit(1)
-        )
-        .cast("int")
-        .alias("blocks"),
-    )
-    dealt = members.join(size, "part").withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    )
     # Only texts that a Bloom filter of the members lets through are shuffled.
     wanted = bit_filter(members.select(F.xxhash64("doc_id", "key").alias("hash")), workspace, "members_filter")
     texts = docs.select(
@@ -292,17 +333,18 @@ def _compared(
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     paired = (
         dealt.join(texts.hint("merge"), same)
-        .select("id", "part", "block", "text", other)
+        .select("id", *_GROUP, "bands", "block", "text", other)
         .select(
             "id",
-            "part",
+            *_GROUP,
+            "bands",
             "block",
             F.least("block", "other").alias("low"),
             F.greatest("block", "other").alias("high"),
             "text",
         )
     )
-    return paired.groupBy("part", "low", "high").applyInPandas(
+    return paired.groupBy(*_GROUP, "low", "high").applyInPandas(
         lambda group: _verified(group, n, threshold), "id long, links long, tied long"
     )
 
