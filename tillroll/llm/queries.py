@@ -137,7 +137,8 @@ def op6_license_scan(spark, folder):
 
 @query()
 def op7_secret_scan(spark, folder):
-    found = secrets.secrets(read(spark, folder, "documents").select("doc_id", "text"))
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.secrets(docs, novelty_out="novelties")
     spans = F.col("secrets")
     return found.select(
         "doc_id",
@@ -145,6 +146,7 @@ def op7_secret_scan(spark, folder):
         sha256(secrets.as_text(secrets.of_kind(spans, "assign", "access", "hex"))).alias("base_sha256"),
         secrets.as_text(spans).alias("spans"),
         F.size(secrets.of_kind(spans, "novel")).cast("long").alias("n_novel"),
+        F.size(F.filter("novelties", lambda x: x >= secrets.LEAST_NOVELTY)).cast("long").alias("n_incompressible"),
     )
 
 

@@ -3,18 +3,22 @@
 A candidate is a long token shortly after a sensitive word; all in reach are measured. Its novelty
 is what it adds to the compressed size of the code before it, with a dictionary of identifiers and
 that code as prefix: names and repeated text cost little, random strings nearly all their bytes.
-Candidates that stay incompressible are reported.
+Candidates that stay incompressible are reported. What the base patterns find is measured too, so
+that a value that is a name can be told from one that is a key; it stays reported either way.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import own_names
+
 KINDS = ("assign", "access", "hex", "novel")
 
 _ASSIGN = re.compile(
@@ -26,11 +30,17 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 
 #: A sensitive word, and the candidates that begin within REACH characters of its end.
 _SENSITIVE = re.compile(
-    r"(?i:passw(?:or)?d|passphrase|secret|token|api_?key|credential|private_?key|access_?key|auth)",
+    r"(?i:passw(?:or)?d|passphrase|secret|token|api_?key|credential|private[ _-]?key|access[ _-]?key|auth)",
     re.ASCII,
 )
-LENGTH = 16
-_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.-]{{{LENGTH},}}")
+#: Characters of a candidate. From LENGTH on one of names' and keys' characters alone will do; a
+#: shorter one, or one with other symbols, needs letters and digits.
+LENGTH, LEAST_LENGTH = 16, 12
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.!$%@~#^&*-]{{{LEAST_LENGTH},}}")
+_PLAIN = re.compile(rf"[A-Za-z0-9+/_=.-]{{{LENGTH},}}")
+_MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
+#: Marks that end a sentence or a phrase rather than a key.
+_CLOSING = "!.*&^~#"
 REACH = 48
 #: Characters of surrounding text that prime the compressor.
 AROUND = 512
@@ -94,59 +104,110 @@ def novelty(candidate: str, around: str) -> float:
     return (cost + len(blocks.flush())) / len(own)
 
 
+def _merged(spans_: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint runs that spans cover, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end in sorted((start, end) for _, start, end in spans_):
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def _candidate(text: str, at: int, until: int) -> tuple[int, int, bool] | None:
+    """The next run of candidate characters that begins at `at` or after and shows its first
+    LEAST_LENGTH before `until`: start, end, and whether it may be a key."""
+    match = _CANDIDATE.search(text, at, until)
+    if not match:
+        return None
+    match = _CANDIDATE.match(text, match.start())  # past the cut as well
+    start, end = match.span()
+    end = start + len(match[0].rstrip(_CLOSING))
+    own = text[start:end]
+    return start, max(end, start + 1), bool(_PLAIN.fullmatch(own) or len(own) >= LEAST_LENGTH and _MIXED.match(own))
+
+
 def novel_spans(text: str, taken: list[Span], least: float = LEAST_NOVELTY) -> list[Span]:
-    """Candidates with a novelty of at least `least` that touch no span already taken."""
+    """Candidates with a novelty of at least `least` that touch no span already taken, nor each
+    other: of two that overlap the one that begins first is reported."""
     found: list[Span] = []
-    busy = [(start, end) for _, start, end in taken]
+    starts, ends = _merged(taken)
     seen: set[int] = set()
     for word in _SENSITIVE.finditer(text):
-        at = word.end()
-        # The cut lets a candidate at the end of the reach show its first LENGTH characters.
-        while match := _CANDIDATE.search(text, at, word.end() + REACH + LENGTH):
-            match = _CANDIDATE.match(text, match.start())  # past the cut as well
-            start, end = match.span()
-            at = end
-            if start in seen:
+        at = max(word.end(), found[-1][2] if found else 0)
+        while candidate := _candidate(text, at, word.end() + REACH + LEAST_LENGTH):
+            start, at, may_be = candidate
+            if start in seen or not may_be:
                 continue
             seen.add(start)
-            if any(a < end and start < b for a, b in busy):
+            before = bisect_right(starts, at - 1) - 1
+            if before >= 0 and ends[before] > start:
                 continue
-            around = text[max(0, start - AROUND) : start] + " " + text[end : end + AROUND]
-            if novelty(match[0], around) >= least:
-                found.append(("novel", start, end))
+            if novelty(text[start:at], _around(text, start, at)) >= least:
+                found.append(("novel", start, at))
     return found
 
 
+def _around(text: str, start: int, end: int) -> str:
+    return text[max(0, start - AROUND) : start] + " " + text[end : end + AROUND]
+
+
 def spans(text: str | None, least: float = LEAST_NOVELTY) -> list[Span]:
     base = base_spans(text or "")
     return ordered(base + novel_spans(text or "", base, least))
 
 
-RESULT = "array<struct<kind:string,start:int,end:int>>"
+def novelties(text: str, found: list[Span]) -> list[float]:
+    """The novelty of each span, of an assignment that of its value."""
+    out = []
+    for kind, start, end in found:
+        if kind == "assign":
+            start = _ASSIGN.match(text, start).start(1)
+        out.append(novelty(text[start:end], _around(text, start, end)))
+    return out
+
+
+RESULT = "array<struct<kind:string,start:int,end:int,novelty:double>>"
 _RESULT = pa.list_(
-    pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+    pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("novelty", pa.float64())])
 )
 
 
-def secrets(docs: DataFrame, out: str = "secrets", least_novelty: float = LEAST_NOVELTY) -> DataFrame:
-    """docs with an array of spans (kind, start, end), by start, then kind as in KINDS.
+def secrets(
+    docs: DataFrame,
+    out: str = "secrets",
+    least_novelty: float = LEAST_NOVELTY,
+    novelty_out: str | None = None,
+) -> DataFrame:
+    """docs with an array of spans (kind, start, end), by start, then kind as in KINDS; if asked for,
+    with an array of their novelties too, of an assignment that of its value.
 
     Positions count code points of the whole text, the end is exclusive. Null and empty texts have
-    no span. Rows are independent of each other. A column named as `out` is replaced; all others
-    pass through.
+    no span. Spans of the base patterns may overlap those of another kind, as the patterns say;
+    novel ones overlap none, and of two candidates the first is reported. Texts of any length are
+    searched whole, in time that grows with the text and its spans. Rows are independent of each
+    other, so repeated ones are treated alike. Columns named as the new ones are replaced; all others pass
+    through.
     """
 
+    def rows(text: str) -> list[dict]:
+        own = spans(text, least_novelty)
+        measured = zip(own, novelties(text, own), strict=True)
+        return [{"kind": k, "start": a, "end": b, "novelty": x} for (k, a, b), x in measured]
+
     @F.arrow_udf(RESULT)
     def found(texts: pa.Array) -> pa.Array:
-        return pa.array(
-            (
-                [{"kind": k, "start": a, "end": b} for k, a, b in spans(x.as_py(), least_novelty)]
-                for x in texts
-            ),
-            _RESULT,
-        )
-
-    return docs.withColumn(out, found(F.col("text")))
+        return pa.array((rows(x.as_py() or "") for x in texts), _RESULT)
+
+    (own,) = own_names("found")
+    fields = lambda s: F.struct(s["kind"], s["start"], s["end"])
+    columns = {out: F.transform(own, fields)}
+    if novelty_out:
+        columns[novelty_out] = F.col(own)["novelty"]
+    return docs.withColumn(own, found(F.col("text"))).withColumns(columns).drop(own)
 
 
 def of_kind(spans_: F.Column, *kinds: str) -> F.Column:
