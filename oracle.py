@@ -966,6 +966,24 @@ SELECTS["cohort_arrays"] = f"""
       sum(CASE WHEN is_purchase OR kind = 'cancel' THEN product_m END) AS net_m
     FROM ord o JOIN joined j USING (customer_id) GROUP BY ALL)
   GROUP BY customer_id"""
+SELECTS["returns_in_windows"] = f"""
+  SELECT strftime(w.month, '%Y-%m-%d') || '+' || months AS id,
+    (SELECT count(*) FROM (SELECT min(seen) AS first FROM event WHERE buys GROUP BY customer_id) WHERE first < w.month)
+      AS customers,
+    count(DISTINCT e.customer_id) AS returned, coalesce({money('sum(worth)')}, CAST(0 AS DECIMAL(24,3))) AS spent
+  FROM (SELECT DISTINCT month, unnest(range(1, 7)) AS months FROM ord) w
+  LEFT JOIN (SELECT *, min(seen) OVER (PARTITION BY customer_id) AS first FROM event WHERE buys) e
+    ON e.first < w.month AND e.seen >= w.month AND e.seen < w.month + to_months(CAST(months AS INTEGER))
+  GROUP BY w.month, months"""
+SELECTS["idle_bands"] = f"""
+  SELECT recency // 7 AS band, count(*) AS customers, {money('sum(net_m)')} AS net_revenue
+  FROM cust GROUP BY band"""
+SELECTS["sketched_order_values"] = """
+  SELECT quarter, len(v) AS "rows", """ + ", ".join(
+    f"v[CAST(ceil(len(v) * {p} / 100) AS BIGINT)] AS p{p}" for p in (25, 50, 90)
+) + """
+  FROM (SELECT CAST(date_trunc('quarter', month) AS DATE) AS quarter, list_sort(list(CAST(product_m AS BIGINT))) AS v
+        FROM ord WHERE is_purchase GROUP BY quarter)"""
 SELECTS["rejected_rows"] = """
   SELECT 'clean_line' AS "table",
     '{"sheet":"' || sheet || '","invoice":"' || invoice || '","stock_code":"' || stock_code

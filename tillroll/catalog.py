@@ -13,7 +13,7 @@ from tillroll import sql
 from tillroll.functions import money
 from tillroll.functions.labels import money_label, month_label
 from tillroll.functions.predicates import SALE
-from tillroll.operators import churn, clv, cohorts, duplicates, measurements
+from tillroll.operators import churn, clv, cohorts, duplicates, measurements, sketches, windows
 from tillroll.operators import clean as cleaning
 from tillroll.operators.metrics import FactSpec, customer_metrics
 from tillroll.operators.rfm import rfm_at
@@ -326,6 +326,46 @@ def churn_band(spark, folder):
     return churn.churn_bands(facts, PARAMS)
 
 
+@query
+def returns_in_windows(spark, folder):
+    """Returns in every window of one to six months that begins with a month of the base."""
+    orders_ = _layers(spark, folder, keep=("orders",)).orders
+    starts = orders_.select(F.explode(F.sequence(F.lit(1), F.lit(6))).alias("months"), "month").distinct()
+    start = F.col("month").cast("timestamp_ntz")
+    made = starts.select(
+        F.concat_ws("+", F.col("month").cast("string"), "months").alias("id"),
+        start.alias("start"),
+        (start + F.make_ym_interval(F.lit(0), F.col("months"))).alias("end"),
+    )
+    return windows.returns_in_windows(orders_, Workspace(spark).store(made, "windows"))
+
+
+@query
+def idle_bands(spark, folder):
+    """Customers by bands of seven idle days, held in a table that follows the data."""
+    people = _snapshot(spark, folder, keep=True).select("recency_days", "net_revenue")
+    most = people.agg(F.max("recency_days")).first()[0] or 0
+    bands = spark.range(0, most // 7 + 2).select(
+        F.col("id").alias("band"), (F.col("id") * 7).alias("from_"), (F.col("id") * 7 + 6).alias("upto")
+    )
+    banded = windows.in_bands(people, "recency_days", bands)
+    return banded.groupBy("band").agg(
+        F.count(F.lit(1)).alias("customers"), F.sum("net_revenue").cast(money.MONEY).alias("net_revenue")
+    )
+
+
+@query
+def sketched_order_values(spark, folder):
+    """Percentiles of orders' product revenue by quarter, from sketches by month. Exact up to
+    sketches.K orders a quarter, within sketches.rank_error() of its orders beyond."""
+    orders_ = _layers(spark, folder).orders.filter("is_purchase")
+    values = orders_.select("month", money.thousandths(F.col("product_revenue")).alias("v"))
+    by_month = Workspace(spark).store(sketches.sketched(values, ["month"]), "sketches")
+    quarter = F.trunc("month", "quarter").alias("quarter")
+    quarters = sketches.merged(by_month.select("*", quarter), ["quarter"])
+    return sketches.percentiles(quarters, (25, 50, 90))
+
+
 @query
 def churn_status(spark, folder):
     return report.status_summary(_snapshot(spark, folder))
