@@ -67,3 +67,58 @@ def test_random_words(spark):
 def test_no_items_and_no_rows(spark):
     check(spark, ["a b c"], [])
     check(spark, [], [(1, "a b c")])
+
+
+def test_tables_take_little_memory():
+    """A megabyte of items in 20 MB or less, whatever their size."""
+    for n_words, n in ((25, 3000), (2000, 40), (4, 6000)):
+        items = [(str(k), prose(k, n_words).encode()) for k in range(n)]
+        size = sum(len(text) for _, text in items)
+        tables = decontaminate.tables(items)
+        assert size > 150_000 and sum(table.memory() for table in tables) <= 20 * size
+
+
+def test_each_block_is_built_once_in_a_worker(monkeypatch):
+    import pyarrow as pa
+
+    from tillroll.llm import common
+
+    built, original = [], decontaminate.tables
+    monkeypatch.setattr(decontaminate, "tables", lambda items, window: built.append(items) or original(items, window))
+    monkeypatch.setattr(decontaminate.F, "arrow_udf", lambda _: lambda function: function)
+    monkeypatch.setattr(common, "_BUILT", {})
+
+    class Value:
+        def __init__(self, value):
+            self.value = value
+
+    blocks = [Value([(str(k), prose(k, 15).encode())]) for k in range(3)]
+    searches = [decontaminate._searched(items, 10, k) for k, items in enumerate(blocks)]
+    for batch in range(4):
+        texts = pa.array([prose(batch % 3, 15).encode(), b"", None], pa.binary())
+        found = [search(texts).to_pylist()[0]["items"] for search in searches]
+        assert found == [[str(k)] if k == batch % 3 else [] for k in range(3)]
+    assert len(built) == 3
+
+
+def test_blocks_are_read_one_at_a_time(spark):
+    items = [(k, prose(k, 15)) for k in range(20)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    blocks = decontaminate.item_blocks(benchmark, 300)
+    assert iter(blocks) is blocks
+    named = sorted(item for block in blocks for item, _ in block)
+    assert named == sorted(str(k) for k in range(20))
+
+
+def test_search_of_one_table_by_brute_force():
+    own = random.Random(9)
+    for _ in range(50):
+        texts = [own.choices([b"a", b"b", b"c", b"d"], k=own.randint(3, 9)) for _ in range(4)]
+        table_ = decontaminate.Table(3, [(str(k), words) for k, words in enumerate(texts)])
+        doc, hits, items = own.choices([b"a", b"b", b"c", b"d"], k=40), [], set()
+        table_.search(doc, hits, items)
+        expected = {
+            (i, str(k)) for k, words in enumerate(texts) for a in range(len(words) - 2) for i in range(38)
+            if doc[i : i + 3] == words[a : a + 3]
+        }
+        assert {a for a, _ in hits} == {i for i, _ in expected} and items == {k for _, k in expected}

@@ -1,17 +1,22 @@
 """Benchmark decontamination: Wu-Manber search for windows of test items in document words.
 
 The search runs over words. A pattern is a window of WINDOW consecutive words of an item, or all
-words of a shorter item. Patterns of one length share a table: for every block of two words the
-shift says how far the next possible end of a match is, so most positions are never looked at. A
-shift of nought leads to the bucket of patterns that end in that block; those that begin with the
-right word are compared directly.
-
-The test set is a stated query set: it is searched in blocks of bounded size, and the tables of a
-block are what is broadcast.
+words of a shorter item. Patterns of one length share a table: for every block of two words, by its
+hash, the shift says how far the next possible end of a match is, so most positions are never
+looked at. A shift of nought leads to the bucket of patterns that end in such a block; these are
+compared directly, word for word.
+
+The test set is a stated query set: it is searched in blocks of bounded size. A block's items are
+broadcast, and each worker builds the block's tables once: arrays of about eight bytes for each
+byte of items, at most 20. A word that is in several items lies in each of them.
 """
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -21,7 +26,7 @@ from tillroll.llm.common import built, text_or_empty, words
 
 WINDOW = 10
 #: Bytes of item texts that are searched for (and broadcast) at once.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 RESULT = "struct<n_words:long,hits:array<struct<start:int,end:int>>,items:array<string>>"
 _RESULT = pa.struct(
@@ -32,54 +37,78 @@ _RESULT = pa.struct(
     ]
 )
 
-Pattern = tuple[bytes, ...]
-
-
 class Table:
-    """Patterns of one length."""
+    """Patterns of one length, as places in the words of all items.
 
-    def __init__(self, length: int, patterns: dict[Pattern, set[str]]):
+    `shifts` has a byte for each hash of a block: how far the next possible end of a match is at
+    least, over all blocks of that hash. A hash's patterns, by the block that they end in, are the
+    places order[starts[hash] : starts[hash + 1]].
+    """
+
+    def __init__(self, length: int, items: list[tuple[str, list[bytes]]]):
         self.length = length
         self.block = min(2, length)
         self.furthest = length - self.block + 1
-        self.shift: dict[Pattern, int] = {}
-        self.buckets: dict[Pattern, dict[bytes, list[tuple[Pattern, set[str]]]]] = {}
-        for pattern, items in patterns.items():
-            for end in range(self.block, length + 1):
-                block = pattern[end - self.block : end]
-                self.shift[block] = min(self.shift.get(block, self.furthest), length - end)
-            by_first = self.buckets.setdefault(pattern[-self.block :], {})
-            by_first.setdefault(pattern[0], []).append((pattern, items))
+        n_patterns = sum(len(own) - length + 1 for _, own in items)
+        self.mask = (1 << max(8, (2 * n_patterns - 1).bit_length())) - 1
+        if self.furthest > 255:
+            raise ValueError("a window of more than 256 words")
+        self.shifts = bytearray([self.furthest]) * (self.mask + 1)
+        self.names = [name for name, _ in items]
+        first, ends, places, at = [], array("q"), array("i"), 0
+        for _, own in items:
+            first.append(at)
+            for last in range(self.block - 1, len(own)):
+                key = hash(tuple(own[last - self.block + 1 : last + 1])) & self.mask
+                # A block before the first possible end is as far from it as words are missing.
+                self.shifts[key] = min(self.shifts[key], max(0, length - 1 - last))
+                if last >= length - 1:
+                    ends.append(key)
+                    places.append(at + last - length + 1)
+            at += len(own)
+        self.first = np.array(first, np.int32)  # of each item, its first word's place
+        keys = np.frombuffer(ends, np.int64) if len(ends) else np.empty(0, np.int64)
+        self.order = np.frombuffer(places, np.int32)[np.argsort(keys, kind="stable")] if len(keys) else keys
+        self.starts = np.zeros(self.mask + 2, np.int32)
+        np.cumsum(np.bincount(keys, minlength=self.mask + 1), out=self.starts[1:])
+        # The words of all items, one space between two, and where each begins.
+        self.text = b" ".join(word for _, own in items for word in own)
+        sizes = np.fromiter((len(word) + 1 for _, own in items for word in own), np.int64, at)
+        self.offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32 if len(self.text) < 1 << 31 else np.int64)
+
+    def memory(self) -> int:
+        """Bytes of the arrays."""
+        arrays = (self.first, self.order, self.starts, self.offsets)
+        return len(self.shifts) + len(self.text) + sum(own.nbytes for own in arrays)
 
     def search(self, text: list[bytes], hits: list[tuple[int, int]], items: set[str]) -> None:
         """Adds the places (end exclusive) and the items of all matches."""
-        shift, furthest, length, block = self.shift, self.furthest, self.length, self.block
+        shifts, mask, length, block = self.shifts, self.mask, self.length, self.block
         last, n = length - 1, len(text)
         while last < n:
-            key = tuple(text[last - block + 1 : last + 1])
-            step = shift.get(key, furthest)
+            key = hash(tuple(text[last - block + 1 : last + 1])) & mask
+            step = shifts[key]
             if step:
                 last += step
                 continue
-            start = last - length + 1
-            for pattern, own in self.buckets[key].get(text[start], ()):
-                if tuple(text[start : last + 1]) == pattern:
-                    hits.append((start, last + 1))
-                    items |= own
+            a, b = self.starts[key], self.starts[key + 1]
+            if a < b:
+                start = last - length + 1
+                wanted = b" ".join(text[start : last + 1])
+                for place in self.order[a:b].tolist():
+                    if self.text[self.offsets[place] : self.offsets[place + length] - 1] == wanted:
+                        hits.append((start, last + 1))
+                        items.add(self.names[int(np.searchsorted(self.first, place, "right")) - 1])
             last += 1
 
 
 def tables(items: list[tuple[str, bytes]], window: int = WINDOW) -> list[Table]:
-    by_length: dict[int, dict[Pattern, set[str]]] = {}
+    by_length: dict[int, list[tuple[str, list[bytes]]]] = {}
     for item, text in items:
         own = words(text)
-        if not own:
-            continue
-        length = min(window, len(own))
-        patterns = by_length.setdefault(length, {})
-        for start in range(len(own) - length + 1):
-            patterns.setdefault(tuple(own[start : start + length]), set()).add(item)
-    return [Table(length, patterns) for length, patterns in sorted(by_length.items())]
+        if own:
+            by_length.setdefault(min(window, len(own)), []).append((item, own))
+    return [Table(length, own) for length, own in sorted(by_length.items())]
 
 
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -93,10 +122,10 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _searched(items: Broadcast, window: int):
+def _searched(items: Broadcast, window: int, block: int):
     @F.arrow_udf(RESULT)
     def search(texts: pa.Array) -> pa.Array:
-        own, out = built("tables", items.value, lambda x: tables(x, window)), []
+        own, out = built(f"tables of block {block}", items.value, lambda x: tables(x, window)), []
         for text in texts:
             text_words, hits, found = words(text.as_py() or b""), [], set()
             for table in own:
@@ -119,8 +148,9 @@ def _together(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, _RESULT)
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[list[tuple[str, bytes]]]:
-    """The test set in blocks of about block_bytes of text, each small enough to broadcast."""
+def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, bytes]]]:
+    """The test set in blocks of about block_bytes of text, each small enough to broadcast; the
+    driver holds one at a time."""
     texts = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
         text_or_empty().cast("binary").alias("words"),
@@ -128,9 +158,8 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[li
     size = texts.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     n = -(-size // block_bytes) or 1
     block = F.pmod(F.xxhash64("item", "words"), F.lit(n))
-    return [
-        [(row.item, bytes(row.words)) for row in texts.filter(block == i).collect()] for i in range(n)
-    ]
+    for i in range(n):
+        yield [(row.item, bytes(row.words)) for row in texts.filter(block == i).collect()]
 
 
 def contaminated(
@@ -144,15 +173,17 @@ def contaminated(
     (ids of the items with an occurring window, sorted as strings).
 
     Null and wordless texts have no words and no hits; so have null or wordless items. Items that
-    share an id count as one, and null ids as the id "". Rows are independent of each other. A
-    column named as `out` is replaced; all others pass through. Reads the benchmark when called.
+    share an id count as one, and null ids as the id "". A text of any length is searched whole, as
+    one list of words; of windows that overlap or are in several items each one counts. Rows are
+    independent of each other, so repeated ones are treated alike. A column named as `out` is
+    replaced; all others pass through. Reads the benchmark when called.
     """
     text = F.col("text").cast("binary")
     sc = docs.sparkSession.sparkContext
     found = None
     together = F.arrow_udf(_together, RESULT)
-    for items in item_blocks(benchmark, block_bytes):
-        own = _searched(sc.broadcast(items), window)(text)
+    for block, items in enumerate(item_blocks(benchmark, block_bytes)):
+        own = _searched(sc.broadcast(items), window, block)(text)
         found = own if found is None else together(found, own)
     return docs.withColumn(out, found)
 

@@ -385,8 +385,9 @@ def licenses(
     another's gives way to that one where both are found.
 
     Null and wordless texts have none. Templates are a parameter of the caller's size and are
-    broadcast; one without words is never found. Rows are independent of each other. A column
-    named as `out` is replaced; all others pass through.
+    broadcast; one without words is never found. A text of any length is scanned whole, in memory of
+    its task. Rows are independent of each other, so repeated ones are treated alike. A column named
+    as `out` is replaced; all others pass through.
     """
     shared = docs.sparkSession.sparkContext.broadcast((dict(templates), dict(telling)))
 

@@ -206,7 +206,8 @@ def jaccard_classes(
     or more. group_id is the smallest doc_id that links lead to, and `stays` marks the rows with
     that doc_id (and text): a row that is repeated whole stays as often as it comes. Texts
     without a word (null, empty) share a class without links, and all of them stay. A null doc_id
-    comes last. Other columns are not read. Runs jobs and writes to the shared folder when called.
+    comes last. A text of any length is one set of n-grams. Other columns are not read. Runs jobs and
+    writes to the shared folder when called.
     """
     workspace = workspace or Workspace(docs.sparkSession)
     bands, rows = bands_and_rows(threshold, recall)

@@ -211,8 +211,8 @@ def dedup_spans(
 
     The first occurrence has the smallest doc_id (null last), then the first sentence. Spans
     compare by lower-cased words. A text with fewer sentences or words than any span is one span; a
-    text without words has none. Null counts as empty. Rows that repeat doc_id and text are treated alike. Other columns are not
-    read. Runs jobs and writes to the shared folder when called.
+    text without words has none. Null counts as empty. A text of any length is cut whole, in memory of
+    its task. Rows that repeat doc_id and text are treated alike. Other columns are not read. Runs jobs and writes to the shared folder when called.
     """
     workspace = workspace or Workspace(docs.sparkSession)
     gone = workspace.store(covered(docs, sentences, least_words, long_words, workspace), "gone")
