@@ -355,19 +355,21 @@ def align(docs: DataFrame, text: str = "text", out: str = "alignment", first: st
     with open(first, "rb") as a, open(second, "rb") as b:
         files = docs.sparkSession.sparkContext.broadcast((a.read(), b.read()))
     others = [field for field in docs.schema if field.name != out]
+    places, at = [docs.columns.index(field.name) for field in others], docs.columns.index(text)
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = built("aligner", files.value, Aligner)
         for batch in batches:
             start = 0
-            for texts in in_chunks(batch.column(text), CHUNK):
+            for texts in in_chunks(batch.column(at), CHUNK):
                 rows = batch.slice(start, len(texts))
                 start += len(texts)
-                columns = [rows.column(field.name) for field in others] + [aligned(texts, aligner)]
+                columns = [rows.column(place) for place in places] + [aligned(texts, aligner)]
                 yield pa.RecordBatch.from_arrays(columns, [*[field.name for field in others], out])
         aligner.forget()
 
-    return docs.mapInArrow(own, T.StructType([*others, T.StructField(out, ALIGNMENT)]))
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names of any form
+    return plain.mapInArrow(own, T.StructType([*others, T.StructField(out, ALIGNMENT)]))
 
 
 def pair_ids(pair: Column, second: str = SECOND) -> tuple[Column, Column]:

@@ -49,21 +49,23 @@ class Table:
         self.length = length
         self.block = min(2, length)
         self.furthest = length - self.block + 1
-        n_patterns = sum(len(own) - length + 1 for _, own in items)
-        self.mask = (1 << max(8, (2 * n_patterns - 1).bit_length())) - 1
+        n_words = sum(len(own) for _, own in items)
+        # Few blocks share a hash for shifts, which would shorten them; buckets need no such room.
+        self.shift_mask = (1 << max(8, (8 * n_words).bit_length())) - 1
+        self.mask = (1 << max(8, n_words.bit_length())) - 1
         if self.furthest > 255:
             raise ValueError("a window of more than 256 words")
-        self.shifts = bytearray([self.furthest]) * (self.mask + 1)
+        self.shifts = bytearray([self.furthest]) * (self.shift_mask + 1)
         self.names = [name for name, _ in items]
         first, ends, places, at = [], array("q"), array("i"), 0
         for _, own in items:
             first.append(at)
             for last in range(self.block - 1, len(own)):
-                key = hash(tuple(own[last - self.block + 1 : last + 1])) & self.mask
+                key = hash(tuple(own[last - self.block + 1 : last + 1])) & self.shift_mask
                 # A block before the first possible end is as far from it as words are missing.
                 self.shifts[key] = min(self.shifts[key], max(0, length - 1 - last))
                 if last >= length - 1:
-                    ends.append(key)
+                    ends.append(key & self.mask)
                     places.append(at + last - length + 1)
             at += len(own)
         self.first = np.array(first, np.int32)  # of each item, its first word's place
@@ -83,7 +85,7 @@ class Table:
 
     def search(self, text: list[bytes], hits: list[tuple[int, int]], items: set[str]) -> None:
         """Adds the places (end exclusive) and the items of all matches."""
-        shifts, mask, length, block = self.shifts, self.mask, self.length, self.block
+        shifts, mask, length, block = self.shifts, self.shift_mask, self.length, self.block
         last, n = length - 1, len(text)
         while last < n:
             key = hash(tuple(text[last - block + 1 : last + 1])) & mask
@@ -91,6 +93,7 @@ class Table:
             if step:
                 last += step
                 continue
+            key &= self.mask
             a, b = self.starts[key], self.starts[key + 1]
             if a < b:
                 start = last - length + 1
