@@ -391,20 +391,26 @@ class Watch:
         return Counted(violations, {check: found[check] for check in self.sides}, found.get("odd", 0))
 
 
-def _violations(rules: TableRules, frame: DataFrame, counted: Mapping[str, Counted]) -> DataFrame:
-    """Rows that break each rule: as counted when the table was written, or in one pass."""
-    if rules.table in counted:
-        rows = [(rules.table, rule, n) for rule, n in counted[rules.table].violations.items()]
-        return literal_table(frame.sparkSession, "table string, rule string, violations bigint", rows)
-    names = [f"c{i}" for i in range(len(rules.broken()))]
-    totals = frame.agg(*[F.count_if(x).alias(n) for n, (_, x) in zip(names, rules.broken())])
+def _violations(table: str, frame: DataFrame, rules: Rules, required: tuple[str, ...]) -> DataFrame:
+    """Rows that break each rule, in one pass."""
+    broken = TableRules(table, (), rules, required).broken()
+    names = [f"c{i}" for i in range(len(broken))]
+    totals = frame.agg(*[F.count_if(x).alias(n) for n, (_, x) in zip(names, broken)])
     rows = [
-        F.struct(F.lit(rules.table).alias("table"), F.lit(rule).alias("rule"), F.col(n).alias("violations"))
-        for n, (rule, _) in zip(names, rules.broken())
+        F.struct(F.lit(table).alias("table"), F.lit(rule).alias("rule"), F.col(n).alias("violations"))
+        for n, (rule, _) in zip(names, broken)
     ]
     return totals.select(F.inline(F.array(*rows)))
 
 
+def _rule_counts(rules: TableRules, frame: DataFrame, counted: Mapping[str, Counted]) -> DataFrame:
+    """The same as counted when the table was written, where it was."""
+    if rules.table not in counted:
+        return _violations(rules.table, frame, rules.rules, rules.required)
+    rows = [(rules.table, rule, n) for rule, n in counted[rules.table].violations.items()]
+    return literal_table(frame.sparkSession, "table string, rule string, violations bigint", rows)
+
+
 def rejected_rows(rules: TableRules, frame: DataFrame) -> DataFrame:
     """table, key (the key's columns as JSON text), rules: the rows that break a rule, and the names
     of all rules that each of them breaks, in order."""
@@ -560,6 +566,6 @@ def check_rules(
         "clv_validation": clv_validation,
     }
     rules = table_rules(params)
-    parts = [_violations(rules[name], frame, counted or {}) for name, frame in frames.items()]
+    parts = [_rule_counts(rules[name], frame, counted or {}) for name, frame in frames.items()]
     parts += [_repeated_keys(name, frames[name], rules[name].key) for name in KEYED]
     return reduce(DataFrame.unionByName, parts)
