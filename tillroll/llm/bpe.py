@@ -24,17 +24,17 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import built, in_chunks
+from tillroll.llm.common import built, in_chunks, release
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 #: Distinct words, and bytes of words and ids, that a Python worker remembers beyond those at hand.
-REMEMBERED, REMEMBERED_BYTES = 200_000, 8 << 20
+REMEMBERED, REMEMBERED_BYTES = 300_000, 12 << 20
 #: From this many bytes on, a word's merges are taken from a heap.
 LONG_WORD = 100
 #: Bytes of text that are encoded at once.
-CHUNK = 1 << 20
+CHUNK = 4 << 20
 #: Ids that are decoded at once.
 CHUNK_IDS = 1 << 18
 #: Above every rank.
@@ -271,6 +271,7 @@ def encode(
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
+        release()
         encoder = built("encoder", ranks.value, Encoder)
         values, ends = array("i"), [0]
         for group in in_chunks(texts, CHUNK):
@@ -292,6 +293,7 @@ def decode(
 
     @F.arrow_udf("binary")
     def joined(lists: pa.Array) -> pa.Array:
+        release()
         pieces = built("pieces", ranks.value, Pieces)
         sizes = [0 if n is None else n for n in pc.list_value_length(lists).to_pylist()]
         data, ends = pieces.joined(lists.flatten().to_numpy(), np.cumsum(sizes, dtype=np.int64))

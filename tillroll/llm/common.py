@@ -59,6 +59,12 @@ def quoted(names: list[str]) -> list[str]:
     return [f"`{name.replace('`', '``')}`" for name in names]
 
 
+def release() -> None:
+    """Gives back what Arrow's pool holds beyond its arrays: workers live as long as the session, and
+    the tasks of an executor share its memory."""
+    pa.default_memory_pool().release_unused()
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (the constants are those of SplitMix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

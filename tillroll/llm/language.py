@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import built, in_chunks
+from tillroll.llm.common import built, in_chunks, release
 
 UNKNOWN = "und"
 
@@ -256,6 +256,7 @@ def predict(docs: DataFrame, model: Model, out: str = "language") -> DataFrame:
 
     @F.arrow_udf("struct<lang_pred:string,score:double,accepted:boolean>")
     def predicted(texts: pa.Array) -> pa.Array:
+        release()
         own: Model = built("language", shared.value, pickle.loads)
         found = [own.predict(group) for group in in_chunks(texts, CHUNK_BYTES)]
         names = [name for group, _ in found for name in group]
