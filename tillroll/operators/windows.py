@@ -71,12 +71,21 @@ def returns_in_windows(orders: DataFrame, windows: DataFrame) -> DataFrame:
     moments = bought.groupBy("customer_id", seconds(F.col("ts_local")).alias("at")).agg(
         F.sum("product_revenue").alias("spent")
     )
-    first = Window.partitionBy("customer_id")
-    moments = moments.withColumn("first", F.min("at").over(first))
+    moments = moments.filter(F.col("at").isNotNull())
+    own = Window.partitionBy("customer_id").orderBy("at")
+    moments = moments.withColumns(
+        {
+            "first": F.first("at").over(own.rowsBetween(Window.unboundedPreceding, 0)),
+            "before": F.lag("at").over(own),
+        }
+    )
     spans = windows.select("id", seconds(F.col("start")).alias("from_"), seconds(F.col("end")).alias("until"))
     inside = range_join(moments, F.col("at"), spans, "from_", "until").filter(F.col("first") < F.col("from_"))
-    people = inside.groupBy("id", "customer_id").agg(F.sum("spent").alias("spent"))
-    returned = people.groupBy("id").agg(F.count(F.lit(1)).alias("returned"), F.sum("spent").alias("spent"))
+    # A customer is counted at the first moment inside, the one whose predecessor is before the
+    # start: so a task holds a row per window, not one per window and customer.
+    returned = inside.groupBy("id").agg(
+        F.count_if(F.col("before") < F.col("from_")).alias("returned"), F.sum("spent").alias("spent")
+    )
     # A first purchase on an earlier day than the start is counted by day, which the calendar
     # bounds; one on the same day by its second.
     firsts = bought.groupBy("customer_id").agg(F.min(seconds(F.col("ts_local"))).alias("first"))
