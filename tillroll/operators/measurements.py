@@ -13,6 +13,7 @@ from tillroll.functions.predicates import AT_RISK, CANCEL, SALE
 from tillroll.operators import rank
 from tillroll.operators.churn import interval_counts
 from tillroll.operators.cohorts import customer_months
+from tillroll.workspace import Workspace, row_parts
 
 
 def kind_totals(lines: DataFrame) -> DataFrame:
@@ -108,14 +109,16 @@ def sold_products(lines: DataFrame) -> DataFrame:
 def order_medians(sold: DataFrame) -> DataFrame:
     """The typical purchase: products and value (medians), and the typical unit price.
 
-    Lines are reduced to invoice, product and price first, so no task holds all lines of one
-    invoice; both halves start from that one shuffle.
+    The sold lines are stored, as both halves read them. They are dealt out by invoice and product,
+    then their sums by invoice, to as many partitions as there are rows for: no task holds all lines
+    of one invoice, and none holds more groups as the table grows.
     """
-    dealt = sold.groupBy("invoice", "stock_code", "unit_price").agg(
-        F.sum("value").alias("value"), F.count(F.lit(1)).alias("lines")
-    )
-    pairs = dealt.groupBy("invoice", "stock_code").agg(F.sum("value").alias("value"))
-    invoices = pairs.groupBy("invoice").agg(
+    spark = sold.sparkSession
+    sold = Workspace(spark).store(sold, "sold")
+    parts = row_parts(spark, sold.count())
+    pairs = sold.repartition(parts, "invoice", "stock_code").groupBy("invoice", "stock_code")
+    pairs = pairs.agg(F.sum("value").alias("value"))
+    invoices = pairs.repartition(parts, "invoice").groupBy("invoice").agg(
         F.count(F.lit(1)).alias("products"), F.sum("value").cast(money.MONEY).alias("value")
     )
     values = invoices.select(
@@ -126,7 +129,8 @@ def order_medians(sold: DataFrame) -> DataFrame:
             )
         )
     ).withColumn("lines", F.lit(1).cast("bigint"))
-    prices = dealt.select(
+    prices = sold.groupBy("unit_price").agg(F.count(F.lit(1)).alias("lines"))
+    prices = prices.select(
         F.lit("unit_price").alias("what"), money.thousandths(F.col("unit_price")).alias("v"), "lines"
     )
     spread = rank.percentiles(values.unionByName(prices), "what", (50,), F.col("lines"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import clock, money
 from tillroll.params import Batches, Formats, Parameters
+from tillroll.workspace import row_parts
 
 OLDER, NEWER = "batch 1995-1998", "batch 1998-2001"
 
@@ -116,7 +117,6 @@ def raw_lines(spark: SparkSession, folder: str, days: tuple[Column, Column] | No
     the join with its lines. Suppliers are grouped by their key, so that Spark knows that the
     join adds no rows and leaves it out of plans that do not use the country.
     """
-    order_key = F.col("l_orderkey")
     discount, tax = _hundredths(F.col("l_discount")), _hundredths(F.col("l_tax"))
     flag = F.col("l_returnflag")
     cancels = _cancels()
@@ -126,26 +126,20 @@ def raw_lines(spark: SparkSession, folder: str, days: tuple[Column, Column] | No
     prefix = F.when(cancels, F.lit("C")).when(adjusts, F.lit("A")).otherwise(F.lit(""))
     quantity = F.col("l_quantity").cast("int")
 
-    scan = _table(spark, folder, "lineitem").select(
+    table = _table(spark, folder, "lineitem")
+    # Text is made after the joins, so that they move numbers. The count is in the files' footers;
+    # lines are dealt out by the key of the join that follows, which needs it in any case.
+    lines = table.select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.row_index").alias("source_row"),
-        "*",
-    )
-    # Dealt out by the key of the join that follows, which needs it in any case.
-    lines = scan.repartition("l_orderkey").select(
-        "source_file",
-        "source_row",
-        order_key,
+        "l_orderkey",
         "l_partkey",
         "l_suppkey",
-        F.concat(prefix, _padded(order_key, 6)).alias("invoice"),
-        F.concat(
-            _padded(F.col("l_partkey"), 5),
-            F.when(F.col("l_linenumber") == 1, F.lit(" ")).otherwise(F.lit("")),
-        ).alias("stock_code"),
-        F.when(cancels & ~keeps_sign, -quantity).otherwise(quantity).cast("string").alias("quantity"),
+        prefix.alias("prefix"),
+        (F.col("l_linenumber") == 1).alias("first"),
+        F.when(cancels & ~keeps_sign, -quantity).otherwise(quantity).alias("quantity"),
         free.alias("free"),
-    )
+    ).repartition(row_parts(spark, table.count()), "l_orderkey")
     orders = _table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_custkey") + 10000)
@@ -173,7 +167,8 @@ def raw_lines(spark: SparkSession, folder: str, days: tuple[Column, Column] | No
         F.col("p_name").alias("description"),
         F.col("p_retailprice").cast(money.PRICE).cast("string").alias("price"),
     )
-    joined = lines.join(orders, "l_orderkey").join(parts, "l_partkey", "left")
+    # Hashed, as neither side is sorted: a partition has few orders, whatever the tables' size.
+    joined = lines.join(orders.hint("shuffle_hash"), "l_orderkey").join(parts, "l_partkey", "left")
     # 25 nations; suppliers grow with the data and get no hint.
     nations = _table(spark, folder, "nation").select(
         F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("country")
@@ -188,10 +183,13 @@ def raw_lines(spark: SparkSession, folder: str, days: tuple[Column, Column] | No
         "sheet",
         "source_file",
         "source_row",
-        "invoice",
-        "stock_code",
+        F.concat("prefix", _padded(F.col("l_orderkey"), 6)).alias("invoice"),
+        F.concat(
+            _padded(F.col("l_partkey"), 5),
+            F.when(F.col("first"), F.lit(" ")).otherwise(F.lit("")),
+        ).alias("stock_code"),
         "description",
-        "quantity",
+        F.col("quantity").cast("string").alias("quantity"),
         "invoice_date",
         F.when(F.col("free"), F.lit("0.000")).otherwise(F.col("price")).alias("unit_price"),
         "customer_id",
