@@ -156,16 +156,20 @@ def repeat_lines(spark, folder):
 
 @query
 def duplicate_profile(spark, folder):
-    layers = _full(spark, folder)
-    start = layers.overlap_from
-    report_ = duplicates.cleaning_report(layers.raw, PARAMS.batches, start)
-    kept = cleaning.kept_raw(layers.raw, PARAMS.batches, start)
+    start, _ = tables.overlap_days(spark, folder)
+    workspace = Workspace(spark)
+    raw = workspace.store(tables.raw_lines(spark, folder), "raw")
+    layers = Layers(raw, tables.codes(spark, folder), PARAMS, workspace=workspace, overlap_from=start)
+    kept = cleaning.kept_raw(raw, PARAMS.batches, start)
+    # One search for both: the lines that may repeat another one are few, and kept.
+    repeated = workspace.store(duplicates.repeated_rows(kept), "repeated")
+    report_ = duplicates.cleaning_report(raw, PARAMS.batches, start, repeated)
     pairs = duplicates.repeated_pairs(layers.clean_line)
     pair_counts = pairs.select(F.struct("*")).scalar()
     return report_.select(
         "overlap_lines",
         "repeats_kept",
-        duplicates.adjacent_repeats(kept).scalar().alias("adjacent_repeats"),
+        duplicates.adjacent_repeats(kept, repeated).scalar().alias("adjacent_repeats"),
         pair_counts.getField("repeated_pairs").alias("repeated_pairs"),
         pair_counts.getField("pairs_with_other_quantity").alias("pairs_with_other_quantity"),
     )

@@ -11,6 +11,7 @@ from tillroll.functions.predicates import SALE, line_kind
 from tillroll.operators.clean import is_overlap, overlap_start
 from tillroll.params import Batches
 from tillroll.schemas import RAW_COLUMNS
+from tillroll.workspace import Workspace
 
 # Rows per stretch when neighbouring rows are compared.
 _STRETCH = 1_000_000
@@ -21,12 +22,15 @@ _LINE = ("sheet", *RAW_COLUMNS)
 def repeated_rows(frame: DataFrame, columns: tuple[str, ...] = _LINE) -> DataFrame:
     """Rows that may repeat another one's columns: those that share a 96-bit hash of them.
 
-    Only hashes are shuffled to find them; the few rows left are compared in full by callers.
+    Only hashes are shuffled to find them; the few rows left are compared in full by callers. The
+    shared hashes are stored and counted when this is called: few go to the rows, which then stay
+    where they are; rows meet many of them in a shuffle.
     """
     hashes = {"__hash": F.xxhash64(*columns), "__check": F.hash(*columns)}
     hashed = frame.withColumns(hashes)
     shared = hashed.groupBy(*hashes).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return hashed.join(shared.drop("n"), list(hashes), "left_semi").drop(*hashes)
+    shared = Workspace(frame.sparkSession).store_small(shared.drop("n"), "shared_hashes")
+    return hashed.join(shared, list(hashes), "left_semi").drop(*hashes)
 
 
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -71,8 +75,11 @@ def overlap_difference(
     return balance.agg(F.coalesce(F.sum(F.abs("balance")), F.lit(0)).alias("different_lines"))
 
 
-def cleaning_report(raw: DataFrame, batches: Batches, start: Column | None = None) -> DataFrame:
-    """Raw lines, overlap removed, repeats kept and the sales value of those repeats."""
+def cleaning_report(
+    raw: DataFrame, batches: Batches, start: Column | None = None, repeated: DataFrame | None = None
+) -> DataFrame:
+    """Raw lines, overlap removed, repeats kept and the sales value of those repeats. `repeated`:
+    the repeated_rows of the kept lines, where the caller has them already."""
     ts = F.col("invoice_date").cast("timestamp_ntz")
     start = overlap_start(raw, batches) if start is None else start
     older = is_overlap(batches, ts, start)
@@ -81,7 +88,8 @@ def cleaning_report(raw: DataFrame, batches: Batches, start: Column | None = Non
     totals = totals.select(F.struct("lines", "copied")).scalar()
     # The repeats of a line are its count minus one. Numbering them would put all copies of a
     # line into one task; counting merges them on the map side.
-    groups = repeated_rows(raw.filter(~older)).groupBy(*_LINE).agg(F.count(F.lit(1)).alias("n"))
+    repeated = repeated_rows(raw.filter(~older)) if repeated is None else repeated
+    groups = repeated.groupBy(*_LINE).agg(F.count(F.lit(1)).alias("n"))
     groups = groups.select(
         (F.col("n") - 1).alias("repeats"),
         line_kind(F.col("invoice"), quantity, price).alias("kind"),
@@ -99,14 +107,15 @@ def cleaning_report(raw: DataFrame, batches: Batches, start: Column | None = Non
     )
 
 
-def adjacent_repeats(kept: DataFrame) -> DataFrame:
-    """Repeats that directly follow their copy in the source, as a count.
+def adjacent_repeats(kept: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """Repeats that directly follow their copy in the source, as a count. `repeated`: the
+    repeated_rows of these lines, where the caller has them already.
 
     Only lines that have an equal one are looked at. Neighbours are compared inside stretches of
     a million rows; a stretch's last row is also the first of the next one, so no pair is missed
     and no task holds a whole file.
     """
-    kept = repeated_rows(kept)
+    kept = repeated_rows(kept) if repeated is None else repeated
     row = F.col("source_row")
     stretch = F.call_function("div", row, F.lit(_STRETCH))
     is_last = row % _STRETCH == _STRETCH - 1
