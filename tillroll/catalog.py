@@ -22,6 +22,7 @@ from tillroll.plans import measures, publish, quality, report
 from tillroll.plans.export import checked_document, sections
 from tillroll.plans.layers import Layers, snapshot_needs
 from tillroll.reference_data import segment_map, segments
+from tillroll.schemas import LINE_KEY
 from tillroll.sources import ingest, tables
 from tillroll.workspace import Workspace
 
@@ -64,7 +65,12 @@ def _snapshot(spark: SparkSession, folder: str, keep: bool = False) -> DataFrame
     return layers.snapshot
 
 
-def _full(spark: SparkSession, folder: str) -> Layers:
+#: What no query reads of the stored layers, and what the checks do not read besides.
+UNREAD = ("ts_utc", "description")
+UNREAD_BY_CHECKS = (*UNREAD, *LINE_KEY, "country")
+
+
+def _full(spark: SparkSession, folder: str, unread: tuple[str, ...] = UNREAD) -> Layers:
     """For queries over many tables: the raw lines and each layer read more than once are
     stored, as a run does."""
     workspace = Workspace(spark)
@@ -72,7 +78,13 @@ def _full(spark: SparkSession, folder: str) -> Layers:
     start, _ = tables.overlap_days(spark, folder)
     keep = (*publish.TABLES, "invoices", "snapshot")
     return Layers(
-        raw, tables.codes(spark, folder), PARAMS, keep=keep, workspace=workspace, overlap_from=start
+        raw,
+        tables.codes(spark, folder),
+        PARAMS,
+        keep=keep,
+        workspace=workspace,
+        overlap_from=start,
+        unread=unread,
     )
 
 
@@ -525,18 +537,18 @@ def _quality(layers: Layers, folder: str, known_anomalies: bool = False) -> Data
 def _checked(
     spark: SparkSession, folder: str, known_anomalies: bool = False
 ) -> tuple[Layers, DataFrame]:
-    layers = _full(spark, folder)
+    layers = _full(spark, folder, UNREAD_BY_CHECKS)
     return layers, layers.workspace.store(_quality(layers, folder, known_anomalies), "quality")
 
 
 @query
 def dq_checks(spark, folder):
-    return _quality(_full(spark, folder), folder)
+    return _quality(_full(spark, folder, UNREAD_BY_CHECKS), folder)
 
 
 @query
 def checks_card(spark, folder):
-    return measures.checks_card(_quality(_full(spark, folder), folder))
+    return measures.checks_card(_quality(_full(spark, folder, UNREAD_BY_CHECKS), folder))
 
 
 @query

@@ -22,7 +22,17 @@ def moment(value: date | datetime) -> Column:
 
 
 def to_utc(wall_clock: Column) -> Column:
-    return F.convert_timezone(F.lit(LONDON), F.lit("UTC"), wall_clock)
+    """Since 1996 summer time begins and ends on the last Sundays of March and October: worked out
+    from the date, as looking up the zone for every row costs more than the rest of a line. Of the
+    hour that comes twice the first is meant; the hour that is skipped is read as winter time."""
+    # Both changes are at two o'clock by the clock of summer, so they fall on midnight here.
+    shifted = wall_clock - F.make_dt_interval(F.lit(0), F.lit(2))
+    month = F.month(shifted)
+    last_sunday = F.dayofmonth(shifted) - F.dayofweek(shifted) >= 24
+    summer = month.between(4, 9) | ((month == 3) & last_sunday) | ((month == 10) & ~last_sunday)
+    by_rule = F.when(summer, wall_clock - F.make_dt_interval(F.lit(0), F.lit(1))).otherwise(wall_clock)
+    by_zone = F.convert_timezone(F.lit(LONDON), F.lit("UTC"), wall_clock)
+    return F.when(F.year(wall_clock).between(1996, 2200), by_rule).otherwise(by_zone)
 
 
 def start_of_day(wall_clock: Column) -> Column:

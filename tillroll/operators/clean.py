@@ -9,6 +9,7 @@ from tillroll.functions import clock, money
 from tillroll.functions.predicates import line_kind
 from tillroll.params import Batches
 from tillroll.schemas import LINE_KEY
+from tillroll.workspace import Workspace
 
 
 def typed(raw: DataFrame) -> DataFrame:
@@ -60,17 +61,23 @@ def kept_raw(raw: DataFrame, batches: Batches, start: Column | None = None) -> D
     return raw.filter(~is_overlap(batches, ts_local, start))
 
 
+def _listed(codes: DataFrame, code: str, mark: str) -> DataFrame:
+    listed = codes.select(F.col("code").alias(code), F.lit(True).alias(mark)).distinct()
+    return Workspace(codes.sparkSession).store_small(listed, "listed_codes")
+
+
 def clean(
     raw: DataFrame, codes: DataFrame, batches: Batches, start: Column | None = None
 ) -> DataFrame:
     """Typed lines without the overlap, with kind, value and the product flag.
 
-    `start` is the overlap's first day when it is known already. `codes` lists the codes that are not goods. The join carries no broadcast hint: Spark
-    broadcasts the list while it is small and shuffles when it is not.
+    `start` is the overlap's first day when it is known already. `codes` lists the codes that are
+    not goods; the list is stored and counted when this is called, and sent to the lines while it is
+    short. Its size on disk alone would have all lines shuffled by code.
     """
     start = overlap_start(raw, batches) if start is None else start
     lines = typed(raw).filter(~is_overlap(batches, F.col("ts_local"), start))
-    listed = codes.select(F.col("code").alias("stock_code"), F.lit(True).alias("listed")).distinct()
+    listed = _listed(codes, "stock_code", "listed")
     value = (F.col("quantity") * F.col("unit_price")).cast(money.LINE_VALUE)
     return lines.join(listed, "stock_code", "left").select(
         *LINE_KEY,
@@ -112,7 +119,7 @@ def lineage(
 ) -> DataFrame:
     """Raw text beside what its clean line became, worked out in one pass over the text."""
     quantity, price = F.col("quantity").cast("int"), F.col("unit_price").cast(money.PRICE)
-    listed = codes.select(F.col("code").alias("__code"), F.lit(True).alias("__listed")).distinct()
+    listed = _listed(codes, "__code", "__listed")
     kept = kept_raw(raw, batches, start)
     return kept.join(listed, F.trim("stock_code") == F.col("__code"), "left").select(
         *raw.columns,

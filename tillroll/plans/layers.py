@@ -38,7 +38,8 @@ class Layers:
     """Lazy layers over raw lines.
 
     `keep` names the layers to store when first used, for plans that read them more than once;
-    others stay part of the plan that uses them. The facts are always stored: every ranking
+    others stay part of the plan that uses them. `unread` names columns that no reader of the
+    stored layers wants: they are not worked out. The facts are always stored: every ranking
     reads them twice, and they are one row per customer.
     """
 
@@ -51,17 +52,19 @@ class Layers:
         keep: tuple[str, ...] = (),
         workspace: Workspace | None = None,
         overlap_from: Column | None = None,
+        unread: tuple[str, ...] = (),
     ):
         self.spark = raw.sparkSession
         self.raw, self.codes, self.params = raw, codes, params
         self.spec = spec or all_needs(params)
         self.keep = keep
         self.workspace = workspace or Workspace(self.spark)
+        self.unread = unread
         self._overlap_from = overlap_from
 
     def _layer(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         frame = build()
-        return self.workspace.store(frame, name) if name in self.keep else frame
+        return self.workspace.store(frame.drop(*self.unread), name) if name in self.keep else frame
 
     @cached_property
     def overlap_from(self) -> Column | None:
