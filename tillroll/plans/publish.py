@@ -9,6 +9,7 @@ in its folder for diagnosis until remove_unpublished takes it away.
 from __future__ import annotations
 
 import uuid
+import zlib
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -101,7 +102,8 @@ class Run(Workspace):
         return stored
 
     def _listed(self, name: str) -> str:
-        return f"tillroll_{self.run_id}_{name}"
+        # With its place, as a session may know runs of one id below several roots.
+        return f"tillroll_{self.run_id}_{zlib.crc32(self.folder.encode()):08x}_{name}"
 
     def _bucketed(self, frame: DataFrame, name: str) -> None:
         writer = frame.write.format("parquet").mode("error").option("path", self.path(name))
