@@ -1,11 +1,15 @@
+import gc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import clashing, prose, table
-from tillroll.llm import bpe
+from tillroll.llm import bpe, common
 
 RANKS = bpe.load_ranks()
 PUBLIC = tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=RANKS, special_tokens={})
@@ -66,3 +70,52 @@ def test_few_words_are_remembered(monkeypatch):
     for part in (text[:99], text[99:], text):
         assert encoder.encode([part])[0].tolist() == PUBLIC.encode_ordinary(part)
     assert len(encoder.known) <= len(set(bpe._CUT.findall(text)))
+
+
+def test_a_batch_is_encoded_once_for_encode_and_decode(spark):
+    """One batch a row: the worker's count of encoded batches goes up by one with each."""
+
+    @F.arrow_udf("long")
+    def count(ids: pa.Array) -> pa.Array:
+        return pa.array([bpe._LATEST.made] * len(ids))
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        texts = [prose(k, 9) for k in range(5)]
+        encoded = bpe.encode(table(spark, texts).coalesce(1))
+        rows = encoded.withColumn("made", count("token_ids")).orderBy("doc_id").collect()
+    finally:
+        spark.conf.set(key, before)
+    assert [r.token_ids for r in rows] == [PUBLIC.encode_ordinary(t) for t in texts]
+    assert [r.made - rows[0].made for r in rows] == [0, 1, 2, 3, 4]
+
+
+def test_the_latest_result_is_neither_held_nor_mistaken():
+    latest, given = bpe.Latest(), pa.array(["a"])
+    first = latest.of(RANKS, given, lambda: pa.array([1]))
+    assert latest.of(RANKS, given, lambda: pa.array([2])) is first
+    assert latest.of({}, given, lambda: pa.array([3])).to_pylist() == [3]
+    first = latest.of(RANKS, given, lambda: pa.array([4]))
+    assert latest.of(RANKS, pa.array(["a"]), lambda: pa.array([5])).to_pylist() == [5]
+    texts = pa.array(["a", "b", "c"])
+    whole = latest.of(RANKS, texts, lambda: pa.array([6]))
+    assert latest.of(RANKS, texts.slice(0), lambda: pa.array([7])) is whole
+    part = latest.of(RANKS, texts.slice(1), lambda: pa.array([8]))
+    assert part.to_pylist() == [8] and first.to_pylist() == [4]
+    del whole, part
+    gc.collect()
+    assert latest.given is None and latest.result is None
+
+
+def test_a_worker_keeps_what_one_operator_built(monkeypatch):
+    monkeypatch.setattr(common, "_BUILT", {})
+    value, other = [1], [2]
+    one = common.built("bpe", value, list, "encoder")
+    two = common.built("bpe", value, list, "pieces")
+    assert common.built("bpe", value, list, "encoder") is one
+    assert common.built("bpe", other, list, "encoder") is not one
+    assert common.built("bpe", value, list, "pieces") is two
+    common.built("language", value, list)
+    assert list(common._BUILT) == [("language", "")]

@@ -13,7 +13,9 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import weakref
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +32,11 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 #: Distinct words, and bytes of words and ids, that a Python worker remembers beyond those at hand.
-REMEMBERED, REMEMBERED_BYTES = 300_000, 12 << 20
+REMEMBERED, REMEMBERED_BYTES = 200_000, 8 << 20
 #: From this many bytes on, a word's merges are taken from a heap.
 LONG_WORD = 100
 #: Bytes of text that are encoded at once.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 #: Ids that are decoded at once.
 CHUNK_IDS = 1 << 18
 #: Above every rank.
@@ -248,6 +250,41 @@ class Pieces:
         return out, ends
 
 
+def _same_memory(a: pa.Array, b: pa.Array) -> bool:
+    """Whether two arrays that are both held are views of one."""
+    at = [(x.type, x.offset, len(x), [y and y.address for y in x.buffers()]) for x in (a, b)]
+    return at[0] == at[1]
+
+
+class Latest:
+    """The last result of a worker, for as long as others hold it.
+
+    Where encode and decode meet in one Python node, Spark calls the function of encode twice on
+    each batch: once for the ids, and once more for decode to start from. What a result was made of
+    is held with it, so that no other array can be in its place.
+    """
+
+    def __init__(self):
+        self.made = 0
+        self._forget()
+
+    def _forget(self, gone: weakref.ref | None = None) -> None:
+        if gone is None or gone is self.result:
+            self.value = self.given = self.result = None
+
+    def of(self, value: object, given: pa.Array, make: Callable[[], pa.Array]) -> pa.Array:
+        if self.result and self.value is value and _same_memory(self.given, given):
+            found = self.result()
+            if found is not None:
+                return found
+        self._forget()
+        made = make()
+        self.made += 1
+        self.value, self.given, self.result = value, given, weakref.ref(made, self._forget)
+        return made
+
+
+_LATEST = Latest()
 _SHARED: dict[tuple[str, str], Broadcast] = {}
 
 
@@ -259,6 +296,23 @@ def _ranks(spark: SparkSession, path: str) -> Broadcast:
     return _SHARED[key]
 
 
+def _encoded(texts: pa.Array, ranks: dict[bytes, int]) -> pa.Array:
+    release()
+    encoder = built("bpe", ranks, Encoder, "encoder")
+    values, ends = array("i"), [0]
+    for group in in_chunks(texts, CHUNK):
+        for found in encoder.encode(group):
+            values.frombytes(found.view(np.uint8))
+            ends.append(len(values))
+    own = pa.Array.from_buffers(pa.int32(), len(values), [None, pa.py_buffer(values)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), own)
+
+
+def _encoded_once(texts: pa.Array, ranks: dict[bytes, int]) -> pa.Array:
+    """Beside the function that Spark pickles, which would take a copy of _LATEST along."""
+    return _LATEST.of(ranks, texts, lambda: _encoded(texts, ranks))
+
+
 def encode(
     docs: DataFrame, text: str = "text", out: str = "token_ids", path: str = VOCABULARY
 ) -> DataFrame:
@@ -271,15 +325,7 @@ def encode(
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        release()
-        encoder = built("encoder", ranks.value, Encoder)
-        values, ends = array("i"), [0]
-        for group in in_chunks(texts, CHUNK):
-            for found in encoder.encode(group):
-                values.frombytes(found.view(np.uint8))
-                ends.append(len(values))
-        own = pa.Array.from_buffers(pa.int32(), len(values), [None, pa.py_buffer(values)])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), own)
+        return _encoded_once(texts, ranks.value)
 
     return docs.withColumn(out, ids(F.col(text)))
 
@@ -294,7 +340,7 @@ def decode(
     @F.arrow_udf("binary")
     def joined(lists: pa.Array) -> pa.Array:
         release()
-        pieces = built("pieces", ranks.value, Pieces)
+        pieces = built("bpe", ranks.value, Pieces, "pieces")
         sizes = [0 if n is None else n for n in pc.list_value_length(lists).to_pylist()]
         data, ends = pieces.joined(lists.flatten().to_numpy(), np.cumsum(sizes, dtype=np.int64))
         ends = np.concatenate(([0], ends)).astype(np.int32)

@@ -128,7 +128,7 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def _searched(items: Broadcast, window: int, block: int):
     @F.arrow_udf(RESULT)
     def search(texts: pa.Array) -> pa.Array:
-        own, out = built(f"tables of block {block}", items.value, lambda x: tables(x, window)), []
+        own, out = built("decontaminate", items.value, lambda x: tables(x, window), f"block {block}"), []
         for text in texts:
             text_words, hits, found = words(text.as_py() or b""), [], set()
             for table in own:
